@@ -47,7 +47,7 @@ select doc_id as wiki_id, concat('Animal ', doc_id, ' (', lang, ')') as title, c
  case doc_id % 3 when 0 then '{{Speciesbox' when 1 then '{{ speciesbox' else '{{Infobox' end, chr(10),
  '| status = LC <!-- c -->', chr(10), '| genus = ''''Genus''''', chr(10), '| species = ', lang, chr(10), '| taxon =', chr(10),
  '| status_ref = {{cite|title=''''Panthera leo'''' and Felis catus}}', chr(10), '| synonyms_ref = {{cite|title=Canis lupus familiaris}}', chr(10),
- '| title = [[Synonymy]]', chr(10), '|{{Species list', chr(10), '|''''Vulpes vulpes'''' L.', chr(10), '| range = wide', chr(10), '|''''Ursus arctos''''', chr(10), '}}', chr(10),
+ '| title = [[Synonymy]]', chr(10), '|{{Species list', chr(10), '|''''Vulpes vulpes'''' L.', chr(10), '| range = wide', chr(10), '|''''Ursus arctos''''', chr(10), '}}', chr(10), '}}', chr(10), '}}', chr(10),
  'Intro [[A|', source, ']] [[B]] {{a|{{b}}}}<ref name="q"/><ref>x</ref> [[File:a.jpg|thumb]] ', text, chr(10), chr(10), chr(10), chr(10),
  '== Range ==', chr(10), 'x', chr(10), '=== Sub ===', chr(10), '== range ==', chr(10), '==Diet', source, '==', chr(10), '== References ==', chr(10),
  '[[Category:', lang, ' animals|k]] [[category:All]]') as text from documents
@@ -59,7 +59,8 @@ def for_duckdb(sql: str) -> str:
 
 
 def spark_fixture(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
-    text = sql.replace("ARR(", "array(").replace("EACH(", "explode(").replace(f"from {table}", f"from {{{table}}}")
+    text = sql.replace("{", "{{").replace("}", "}}").replace("ARR(", "array(").replace("EACH(", "explode(")
+    text = text.replace(f"from {table}", f"from {{{table}}}")
     return spark.sql(text, **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
 
 
