@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import fixtures
+from checks.index_queries import read
 from sparkloom.functions import html as H, text as T
 from sparkloom.operators import facts as X
 
@@ -57,7 +58,7 @@ def iucn_code(spark, sf_dir):
 
 def conservation_code(spark, sf_dir):
     """Any text as a status: whole documents, of which few hold a known phrase."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     near = F.concat(F.lit("Critically ENDANGERED or "), "text")
     col = F.when(F.col("doc_id") % 2 == 0, near).otherwise(F.col("text"))
     return docs.select("doc_id", T.conservation_code(col).alias("status"))
@@ -97,7 +98,7 @@ def facts_dataset(spark, sf_dir):
 
 def facts_of_pages(spark, sf_dir):
     """Given pages have no facts: empty parts are NULL, the headline is the only name."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = read(spark, sf_dir, "pages")
     facts = X.extract_facts(pages)
     return facts.select(
         "page_id",

@@ -5,6 +5,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkloom.sources.readers import read_table
+
 LEFT = """
 select cast(c_custkey as varchar(20)) as key, c_name as common_name, ARR(concat('Alias ', c_custkey)) as common_name_alternative,
  concat('Genus', c_custkey, ' species', c_nationkey) as scientific_name from customer
@@ -61,7 +63,7 @@ def for_duckdb(sql: str) -> str:
 def spark_fixture(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
     text = sql.replace("{", "{{").replace("}", "}}").replace("ARR(", "array(").replace("EACH(", "explode(")
     text = text.replace(f"from {table}", f"from {{{table}}}")
-    return spark.sql(text, **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    return spark.sql(text, **{table: read_table(spark, f"{sf_dir}/{table}.parquet")})
 
 
 def left(spark, sf_dir):

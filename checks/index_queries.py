@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
 from sparkloom.operators import index as I, leaves as L
+from sparkloom.sources.readers import read_table
 
 
 def read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark, sf_dir):

@@ -18,10 +18,16 @@ def _matches(spark, sf_dir):
     return M.match_entities(M.left_rows(left), M.right_rows(right))
 
 
-def _merged(spark, sf_dir):
+def _merged(spark, sf_dir, matches=None):
     left, right = _sides(spark, sf_dir)
     facts = left.withColumn("meta", F.struct(F.concat(F.lit("u"), "key").alias("url")))
-    return G.merge_records(facts, right, _matches(spark, sf_dir))
+    return G.merge_records(facts, right, matches or _matches(spark, sf_dir))
+
+
+def _both(spark, sf_dir):
+    """Merged and right-only records from one run of the matcher."""
+    matches = scale.cut_lineage(_matches(spark, sf_dir))
+    return _merged(spark, sf_dir, matches), _rest(spark, sf_dir, matches)
 
 
 def _flat(df):
@@ -109,9 +115,9 @@ def finished_records(spark, sf_dir):
     return _flat_meta(G.finish_merged(_merged(spark, sf_dir)))
 
 
-def _rest(spark, sf_dir):
+def _rest(spark, sf_dir, matches=None):
     _, right = _sides(spark, sf_dir)
-    return G.right_only(right, _matches(spark, sf_dir))
+    return G.right_only(right, matches or _matches(spark, sf_dir))
 
 
 def right_only(spark, sf_dir):
@@ -119,12 +125,13 @@ def right_only(spark, sf_dir):
 
 
 def merged_union(spark, sf_dir):
-    rows = G.merged_union(G.finish_merged(_merged(spark, sf_dir)), _rest(spark, sf_dir))
+    merged, rest = _both(spark, sf_dir)
+    rows = G.merged_union(G.finish_merged(merged), rest)
     return rows.select("origin", "key", "common_name", "match_type", F.col("meta.wiki_id").alias("wiki_id"), "abstract")
 
 
 def match_stats(spark, sf_dir):
-    return G.match_stats(_merged(spark, sf_dir), _rest(spark, sf_dir))
+    return G.match_stats(*_both(spark, sf_dir))
 
 
 def match_type_counts(spark, sf_dir):
@@ -134,7 +141,7 @@ def match_type_counts(spark, sf_dir):
 def stats_round_trip(spark, sf_dir):
     """Statistics written as JSON and read back."""
     path = scale.scratch_path(spark, "stats")
-    writers.write_stats(G.match_stats(_merged(spark, sf_dir), _rest(spark, sf_dir)), path)
+    writers.write_stats(G.match_stats(*_both(spark, sf_dir)), path)
     return readers.read_records(spark, path, "total_records bigint, matched_records bigint, right_only_records bigint")
 
 

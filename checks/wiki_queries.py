@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import fixtures
+from checks.index_queries import read
 from sparkloom.functions import wikitext as W
 from sparkloom.operators import wiki as R
 from sparkloom.operators.scale import scratch_path
@@ -61,7 +62,7 @@ def strip_templates(spark, sf_dir):
 
 def strip_refs_and_tags(spark, sf_dir):
     """Whole HTML pages, which hold every kind of tag."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = read(spark, sf_dir, "pages")
     return pages.select("page_id", W.strip_refs_and_tags(F.col("html")).alias("cleaned"))
 
 
@@ -90,7 +91,7 @@ def wiki_records(spark, sf_dir):
 
 def wiki_mapping(spark, sf_dir):
     """Records that share a name: every title is used by all documents of one source and language."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     named = docs.select(F.col("doc_id").alias("wiki_id"), F.concat_ws(" ", "lang", "source").alias("animal_name"))
     lists = named.withColumn("categories", F.when(F.col("wiki_id") % 2 == 0, F.array(F.lit("even"))).otherwise(F.array().cast("array<string>")))
     return _flat(R.records_by_name(lists))
@@ -98,7 +99,7 @@ def wiki_mapping(spark, sf_dir):
 
 def wiki_dedupe(spark, sf_dir):
     """Pages of which all copies but one go: ids repeat per order, some ids are missing."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = read(spark, sf_dir, "lineitem")
     pages = lines.select(
         F.when(F.col("l_orderkey") % 5 != 0, F.col("l_orderkey")).alias("wiki_id"),
         F.concat(F.lit("Order "), "l_orderkey").alias("title"),
@@ -148,7 +149,7 @@ def records_round_trip(spark, sf_dir):
 
 def key_records(spark, sf_dir):
     """Records keyed by the first usable of several columns; of equal keys the last record stays."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = read(spark, sf_dir, "events")
     rows = events.select(
         F.col("event_id").alias("i"),
         F.when(F.col("user_id") % 3 == 0, F.lit("")).when(F.col("user_id") % 3 == 1, F.concat(F.lit("u"), "user_id")).alias("a"),

@@ -10,6 +10,7 @@ from sparkloom.fixed_values import (
     HTML_ENTITIES,
     SNIPPET_MAX_CHARS,
 )
+from sparkloom.functions.columns import bind
 
 # Letters and digits only, at least two of them, or one digit.
 _TERM = r"([a-z0-9]{2,}|[0-9])"
@@ -28,9 +29,13 @@ def decode_entities(col: Column) -> Column:
     """Decode the known entities in one pass; the result is not decoded again."""
     known = "|".join(re.escape(e) for e in HTML_ENTITIES)
     table = F.create_map(*[F.lit(x) for pair in HTML_ENTITIES.items() for x in pair])
-    parts = F.regexp_extract_all(col, F.lit(f"({known}|[^&]+|&)"), F.lit(1))
-    decoded = F.transform(parts, lambda t: F.when(t.startswith("&"), F.coalesce(F.try_element_at(table, t), t)).otherwise(t))
-    return F.when(col.contains("&"), F.array_join(decoded, "")).otherwise(col)
+
+    def decoded(text: Column) -> Column:
+        parts = F.regexp_extract_all(text, F.lit(f"({known}|[^&]+|&)"), F.lit(1))
+        parts = F.transform(parts, lambda t: F.when(t.startswith("&"), F.coalesce(F.try_element_at(table, t), t)).otherwise(t))
+        return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
+
+    return bind(col, decoded)
 
 
 def unescape_html(col: Column) -> Column:
@@ -88,19 +93,26 @@ def norm_array(col: Column, unicode: bool = False) -> Column:
 
 def base_name(col: Column) -> Column:
     """Name without its parenthetical tail."""
-    return F.when(F.instr(col, F.lit("(")) > 0, F.trim(F.substring_index(col, "(", 1))).otherwise(col)
+    return bind(col, lambda c: F.when(c.contains("("), F.trim(F.substring_index(c, "(", 1))).otherwise(c))
 
 
 def conservation_code(col: Column) -> Column:
     """Two-letter code of a conservation status; texts without a known phrase stay as they are."""
-    text = F.lower(F.trim(col))
-    code = F.when(F.upper(text).isin(*CONSERVATION_CODES), F.upper(text))
-    for phrase, value in CONSERVATION_PHRASES:
-        code = code.when(text.contains(phrase), F.lit(value))
-    return code.otherwise(col)
+
+    def coded(b: Column) -> Column:
+        code = F.when(F.upper(b["text"]).isin(*CONSERVATION_CODES), F.upper(b["text"]))
+        for phrase, value in CONSERVATION_PHRASES:
+            code = code.when(b["text"].contains(phrase), F.lit(value))
+        return code.otherwise(b["raw"])
+
+    return bind(col, lambda c: bind(F.struct(c.alias("raw"), F.lower(F.trim(c)).alias("text")), coded))
 
 
 def snippet(col: Column, max_chars: int = SNIPPET_MAX_CHARS) -> Column:
     """One-line start of a text."""
-    line = F.replace(col, F.lit("\n"), F.lit(" "))
-    return F.when(F.length(col) > max_chars, F.concat(F.left(line, F.lit(max_chars - 3)), F.lit("..."))).otherwise(line)
+    return bind(
+        F.replace(col, F.lit("\n"), F.lit(" ")),
+        lambda line: F.when(
+            F.length(line) > max_chars, F.concat(F.left(line, F.lit(max_chars - 3)), F.lit("..."))
+        ).otherwise(line),
+    )

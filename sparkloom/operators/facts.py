@@ -91,17 +91,17 @@ _NAME_BREAKS = r"(?i),|/|[|]|;|\band\b"
 
 
 def pair_value(pairs: Column, label: str, how: str) -> Column:
-    """Value of the first ``<dt>/<dd>`` pair with this label, decoded."""
+    """Value of the first ``<dt>/<dd>`` pair with this label."""
     link = rf"(?i)<a[^>]*>\Q{label}\E</a>"
-    only_link = rf"(?i)^\s*<a[^>]*>\Q{label}\E</a>\s*$"
     tests = {
         "within": lambda p: p["label"].contains(label.lower()),
-        "link": lambda p: p["label_html"].rlike(only_link),
+        "link": lambda p: p["label_html"].rlike(link.replace("(?i)", r"(?i)^\s*") + r"\s*$"),
         "has_link": lambda p: p["label_html"].rlike(link),
     }
     found = tests[how.rstrip("+")]
-    plain = (lambda p: F.lit(True)) if how.endswith("+") else (lambda p: (p["value"] != "") & ~p["value"].contains("<"))
-    return decode_entities(first_of(F.filter(pairs, lambda p: found(p) & plain(p)))["value"])
+    if not how.endswith("+"):
+        return first_of(F.filter(pairs, lambda p: p["plain"] & found(p)))["value"]
+    return first_of(F.filter(pairs, found))["value"]
 
 
 def fact_fields(pages: DataFrame, fields: dict[str, tuple[str, str]] = FACT_LABELS) -> DataFrame:
@@ -124,8 +124,11 @@ def alternative_names(headline: Column, other_names: Column) -> Column:
 
 def location_list(html: Column) -> Column:
     """Places of the locations list; NULL when the page has no such list."""
-    return F.when(
-        html.rlike(_LOCATIONS), H.linked_items(decode_entities(strip(F.regexp_extract(html, _LOCATIONS, 1))))
+    return bind(
+        F.regexp_extract(html, _LOCATIONS, 0),
+        lambda found: F.when(
+            found != "", H.linked_items(decode_entities(strip(F.regexp_extract(found, _LOCATIONS, 1))))
+        ),
     )
 
 

@@ -9,7 +9,7 @@ from sparkloom.functions.columns import bind
 from sparkloom.functions.text import analyze
 from sparkloom.operators.index import term_bucket, BUCKETS
 from sparkloom.operators.leaves import content
-from sparkloom.operators.scale import BROADCAST_ROWS, hinted, small_enough, top_k
+from sparkloom.operators.scale import hinted, settle, top_k
 
 NAME, CONTENT, EXACT = "name", "content", "exact_name"
 
@@ -84,7 +84,8 @@ def field_index(rows: DataFrame, only: DataFrame | None = None) -> FieldIndex:
     length = F.size("tokens").cast("bigint")
     tokens = rows.select("doc_id", "field", length.alias("dl"), F.explode("tokens").alias("term"))
     if only is not None:
-        tokens = tokens.join(hinted(only, small_enough(only)), ["field", "term"], "left_semi")
+        only, small = settle(only)
+        tokens = tokens.join(hinted(only, small), ["field", "term"], "left_semi")
     postings = tokens.groupBy("field", "term", "doc_id", "dl").agg(F.count("*").alias("tf"))
     terms = postings.groupBy("field", "term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     stats = rows.groupBy("field").agg(F.count("*").alias("n_docs"), F.sum(length).alias("total"))
@@ -139,8 +140,7 @@ def bm25(tf: Column, df: Column, dl: Column, n_docs: Column, total: Column) -> C
 
 def field_scores(index: FieldIndex, wanted: DataFrame, exact_lengths: bool = False) -> DataFrame:
     """Rows ``(query_id, doc_id, score)``: BM25 summed over the terms and fields of ``wanted``."""
-    n_terms = wanted.count()
-    small = n_terms <= BROADCAST_ROWS
+    wanted, small = settle(wanted)
     postings, terms = index.postings, index.terms
     if index.buckets and small:
         buckets = [r[0] for r in wanted.select(term_bucket(index.buckets)).distinct().collect()]

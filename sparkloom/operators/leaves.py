@@ -7,7 +7,7 @@ which is opened level by level inside the row. Neither shuffles.
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sparkloom.fixed_values import CONTENT_SKIPPED_KEYS
-from sparkloom.functions.columns import strip
+from sparkloom.functions.columns import bind, strip
 
 LEAF = "array<struct<path:string,key:string,value:string,skip:boolean>>"
 
@@ -59,7 +59,7 @@ def typed_leaves(df: DataFrame, columns: list[str]) -> Column:
 
 def variant_leaves(
     value: Column,
-    depth: int = 12,
+    depth: int = 100,
     path: Column | None = None,
     key: Column | None = None,
     skip: Column | None = None,
@@ -93,12 +93,22 @@ def variant_leaves(
         )
         return F.coalesce(named, items, F.array(n))
 
-    nodes = F.array(node)
-    for _ in range(depth):
-        nodes = F.flatten(F.transform(nodes, children))
+    def nested(n: Column) -> Column:
+        return n["value"].try_cast(entries).isNotNull() | n["value"].try_cast("array<variant>").isNotNull()
+
+    def one_level(acc: Column, _: Column) -> Column:
+        opened = bind(
+            F.flatten(F.transform(acc["nodes"], children)),
+            lambda nodes: F.struct(nodes.alias("nodes"), (~F.exists(nodes, nested)).alias("done")),
+        )
+        return F.when(acc["done"], acc).otherwise(opened)
+
+    # Levels after the last one with anything to open cost nothing.
+    start = F.struct(F.array(node).alias("nodes"), F.lit(False).alias("done"))
+    nodes = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, one_level)["nodes"]
 
     def scalar(n: Column) -> Column:
-        deep = n["value"].try_cast(entries).isNotNull() | n["value"].try_cast("array<variant>").isNotNull()
+        deep = nested(n)
         text = F.when(deep, F.raise_error(F.lit(f"record nested deeper than {depth} levels"))).otherwise(
             n["value"].cast("string")
         )
@@ -107,7 +117,7 @@ def variant_leaves(
     return F.filter(F.transform(nodes, scalar), lambda n: n["value"].isNotNull())
 
 
-def json_leaves(df: DataFrame, id_col: str, json_col: str, depth: int = 12) -> DataFrame:
+def json_leaves(df: DataFrame, id_col: str, json_col: str, depth: int = 100) -> DataFrame:
     """Rows ``(doc_id, pos, path, key, value)`` of the leaves of a JSON text column."""
     leaves = variant_leaves(F.parse_json(json_col), depth)
     return _exploded(df, id_col, leaves)
@@ -129,4 +139,4 @@ def content(leaves: Column, name: Column) -> Column:
     """Full-text content of a record: its leaves line by line, its name when there are none."""
     kept = F.filter(leaves, lambda n: ~n["skip"] & (n["value"] != ""))
     text = strip(F.array_join(F.transform(kept, lambda n: n["value"]), "\n"))
-    return F.when(text != "", text).otherwise(name)
+    return bind(text, lambda t: F.when(t != "", t).otherwise(name))

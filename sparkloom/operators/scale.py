@@ -42,9 +42,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; looks at no more than that."""
-    return df.limit(rows + 1).count() <= rows
+def settle(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``df`` computed once when it has at most ``rows`` rows, and whether it has; else ``df`` itself.
+
+    For tables that drive a job, such as prepared queries: the plans that use them several
+    times stay short.
+    """
+    head = df.limit(rows + 1).collect()
+    if len(head) > rows:
+        return df, False
+    return df.sparkSession.createDataFrame(head, df.schema), True
 
 
 def hinted(df: DataFrame, small: bool) -> DataFrame:

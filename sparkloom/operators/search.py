@@ -13,10 +13,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sparkloom.functions.columns import bind, first_of
+from sparkloom.functions.columns import first_of
 from sparkloom.functions.text import first_term, format_key
 from sparkloom.operators.index import Index, build_index, term_bucket
-from sparkloom.operators.scale import BROADCAST_ROWS, hinted, small_enough, top_k
+from sparkloom.operators.scale import BROADCAST_ROWS, hinted, settle, top_k
 
 _AND, _OR = "&", "||"
 _BITS = 62
@@ -74,7 +74,7 @@ def _normal_step(step: Column) -> Column:
 
 
 def prepare_queries(queries: DataFrame) -> DataFrame:
-    """Rows ``(query_id, steps, terms, valid)``: normal form of ``(query_id, expr)``.
+    """Rows ``(query_id, steps, terms, valid, shape)``: normal form of ``(query_id, expr)``.
 
     ``steps`` holds -1 for AND, -2 for OR and else an index into the distinct ``terms``.
     A query is invalid when an operator lacks an operand.
@@ -96,7 +96,21 @@ def prepare_queries(queries: DataFrame) -> DataFrame:
         queries.select("query_id", steps.alias("normal"))
         .withColumn("terms", terms)
         .withColumn("steps", coded)
-        .select("query_id", "steps", "terms", (operands > 0).alias("valid"))
+        .select("query_id", "steps", "terms", (operands > 0).alias("valid"), _shape().alias("shape"))
+    )
+
+
+def _shape() -> Column:
+    """``any`` or ``all`` for queries that take any or all of their terms, else ``mixed``.
+
+    Two terms side by side make a query mixed.
+    """
+    operators = F.filter("steps", lambda s: s < 0)
+    complete = F.size("steps") == 2 * F.size(operators) + 1
+    return (
+        F.when(complete & F.forall(operators, lambda s: s == -2), "any")
+        .when(complete & F.forall(operators, lambda s: s == -1), "all")
+        .otherwise("mixed")
     )
 
 
@@ -142,18 +156,18 @@ def index_for(token_rows: DataFrame, n_docs: Column, queries: DataFrame) -> Inde
 
     Other tokens are dropped inside the scan, so they are neither counted nor shuffled.
     """
-    wanted = query_terms(prepare_queries(queries)).select("field", "term").distinct()
-    kept = token_rows.join(hinted(wanted, small_enough(wanted)), ["field", "term"], "left_semi")
-    return build_index(kept, n_docs)
+    wanted, small = settle(query_terms(prepare_queries(queries)).select("field", "term").distinct())
+    return build_index(token_rows.join(hinted(wanted, small), ["field", "term"], "left_semi"), n_docs)
 
 
 def match_scores(index: Index, queries: DataFrame) -> DataFrame:
     """Rows ``(query_id, doc_id, tfidf, tfidf_smooth)`` of all matching documents.
 
     The postings are read once, next to a broadcast of the query terms when those are few,
-    and shuffled once, by query and document, after partial sums.
+    and shuffled once, by query and document, after partial sums. The terms that a
+    document has are bits of as many numbers as the longest query needs.
     """
-    prepared = prepare_queries(queries)
+    prepared, few = settle(prepare_queries(queries))
     wanted = query_terms(prepared)
     n_terms, most = prepared.agg(F.sum(F.size("terms")), F.max(F.size("terms"))).first()
     small = (n_terms or 0) <= BROADCAST_ROWS
@@ -161,18 +175,18 @@ def match_scores(index: Index, queries: DataFrame) -> DataFrame:
     index = _pruned(index, wanted, small)
     weighted = index.terms.join(hinted(wanted, small), ["field", "term"]).drop("df", "bucket")
     hits = index.postings.join(hinted(weighted, small), ["field", "term"])
-    masks = [
-        F.coalesce(F.bit_or(F.when(F.col("word") == w, F.col("bit"))), F.lit(0).cast("bigint")).alias(f"_w{w}")
-        for w in range(n_words)
-    ]
+    masks = [F.bit_or(F.when(F.col("word") == w, F.col("bit")).otherwise(0)).alias(f"_w{w}") for w in range(n_words)]
     found = hits.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("tf") * F.col("idf_standard")).alias("tfidf"),
         F.sum(F.col("tf") * F.col("idf_smooth")).alias("tfidf_smooth"),
         *masks,
     )
-    rules = prepared.filter("valid").select("query_id", "steps")
-    words = F.array(*[f"_w{w}" for w in range(n_words)])
-    matched = found.join(hinted(rules, small), "query_id").filter(_holds(F.col("steps"), words))
+    rules = prepared.filter("valid").select("query_id", "shape", "steps", F.size("terms").alias("n_terms"))
+    words = [F.col(f"_w{w}") for w in range(n_words)]
+    has_all = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0])) == F.col("n_terms")
+    holds = F.when(F.col("shape") == "any", True).when(F.col("shape") == "all", has_all)
+    holds = holds.otherwise(_holds(F.col("steps"), F.array(*words)))
+    matched = found.join(hinted(rules, few), "query_id").filter(holds)
     return matched.select("query_id", "doc_id", "tfidf", "tfidf_smooth")
 
 

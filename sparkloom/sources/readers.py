@@ -8,6 +8,26 @@ _PAGE_SCHEMA = "title string, id bigint, revision struct<id:bigint, text:string>
 _CHUNK_NUMBER = r"chunk_(\d+)_filtered\.xml"
 
 
+# A table of less than this per core is spread over the cores, however few row groups it has.
+SPREAD_BYTES_PER_CORE = 4 * 1024 * 1024
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table.
+
+    A small file is often a single row group, which one task would read and work on alone.
+    Tables below ``SPREAD_BYTES_PER_CORE`` times the cores are spread by a shuffle of at
+    most that size; larger ones are left as their files are.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not 0 < len(files) < cores:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return df.repartition(cores) if size <= cores * SPREAD_BYTES_PER_CORE else df
+
+
 def read_dump_pages(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``(wiki_id, title, text, chunk)``, one per ``<page>`` with a title.
 
