@@ -26,13 +26,13 @@ def _matches(found):
 
 
 def _search_docs(spark, sf_dir, exprs):
-    queries = S.query_table(spark, exprs)
+    queries = S.prepare(S.query_table(spark, exprs))
     n_docs = I.collection_size(documents(spark, sf_dir))
     return _matches(S.match_scores(S.index_for(doc_tokens(spark, sf_dir), n_docs, queries), queries))
 
 
 def _search_parts(spark, sf_dir, exprs):
-    queries = S.query_table(spark, exprs)
+    queries = S.prepare(S.query_table(spark, exprs))
     n_docs = I.collection_size(read(spark, sf_dir, "part"))
     return _matches(S.match_scores(S.index_for(part_tokens(spark, sf_dir), n_docs, queries), queries))
 
@@ -66,7 +66,7 @@ def search_mixed(spark, sf_dir):
 
 
 def boolean_search(spark, sf_dir):
-    queries = S.query_table(spark, {"q": S.term("the") & (S.term("blent") | S.term("le"))})
+    queries = S.prepare(S.query_table(spark, {"q": S.term("the") & (S.term("blent") | S.term("le"))}))
     n_docs = I.collection_size(documents(spark, sf_dir))
     return S.boolean_search(S.index_for(doc_tokens(spark, sf_dir), n_docs, queries), queries)
 
@@ -75,13 +75,13 @@ RANK_EXPRS = {"q1": S.term("the") & S.term("and"), "q2": S.term("le") | (S.term(
 
 
 def rank_tfidf(spark, sf_dir):
-    queries = S.query_table(spark, RANK_EXPRS)
+    queries = S.prepare(S.query_table(spark, RANK_EXPRS))
     n_docs = I.collection_size(documents(spark, sf_dir))
     return S.rank_tfidf(S.index_for(doc_tokens(spark, sf_dir), n_docs, queries), queries)
 
 
 def rank_tfidf_smooth(spark, sf_dir):
-    queries = S.query_table(spark, RANK_EXPRS)
+    queries = S.prepare(S.query_table(spark, RANK_EXPRS))
     n_docs = I.collection_size(documents(spark, sf_dir))
     return S.rank_tfidf_smooth(S.index_for(doc_tokens(spark, sf_dir), n_docs, queries), queries)
 
@@ -95,18 +95,18 @@ def item_queries(spark, sf_dir):
 
 
 def batch_topk(spark, sf_dir):
-    queries = item_queries(spark, sf_dir)
+    queries = S.prepare(item_queries(spark, sf_dir))
     n_docs = I.collection_size(documents(spark, sf_dir))
     return S.rank_tfidf(S.index_for(doc_tokens(spark, sf_dir), n_docs, queries), queries, k=10)
 
 
 def stored_index_search(spark, sf_dir):
-    """Search in an index written by bucket and read back; the second write appends half of the terms' documents."""
+    """Search in an index written by bucket and read back; the second batch appends the other languages."""
     path = scratch_path(spark, "index")
     docs = documents(spark, sf_dir)
     for mode, kept in (("overwrite", F.col("lang") == "en"), ("append", F.col("lang") != "en")):
         some = docs.filter(kept)
-        I.write_index(I.build_index(I.text_tokens(some), I.collection_size(some)), some.count(), path, mode, buckets=8)
+        I.write_index(I.postings(I.text_tokens(some)), some.count(), path, mode, buckets=8)
     return S.rank_tfidf(I.read_index(spark, path), S.query_table(spark, RANK_EXPRS))
 
 

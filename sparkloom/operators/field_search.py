@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sparkloom.fixed_values import BM25_B, BM25_K1
 from sparkloom.functions.columns import bind
 from sparkloom.functions.text import analyze
-from sparkloom.operators.index import term_bucket, BUCKETS
+from sparkloom.operators.index import BUCKETS, store_postings, term_bucket
 from sparkloom.operators.leaves import content
 from sparkloom.operators.scale import hinted, settle, top_k
 
@@ -94,10 +94,9 @@ def field_index(rows: DataFrame, only: DataFrame | None = None) -> FieldIndex:
 
 def write_field_index(index: FieldIndex, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
     """Store the index by term bucket; ``mode="append"`` adds further documents."""
-    for name in ("postings", "terms"):
-        placed = getattr(index, name).withColumn("bucket", term_bucket(buckets)).hint("rebalance", "bucket")
-        order = [c for c in ("bucket", "field", "term", "doc_id") if c in placed.columns]
-        placed.sortWithinPartitions(*order).write.mode(mode).partitionBy("bucket").parquet(f"{path}/{name}")
+    stored = store_postings(index.postings, f"{path}/postings", mode, buckets)
+    terms = stored.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
+    terms.write.mode(mode).parquet(f"{path}/terms")
     index.stats.withColumn("buckets", F.lit(buckets)).write.mode(mode).parquet(f"{path}/stats")
 
 
@@ -106,7 +105,7 @@ def read_field_index(spark: SparkSession, path: str) -> FieldIndex:
     stored = spark.read.parquet(f"{path}/stats")
     stats = stored.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("total").alias("total"))
     buckets = stored.agg(F.max("buckets")).first()[0]
-    return FieldIndex(spark.read.parquet(f"{path}/postings"), terms, stats, buckets)
+    return FieldIndex(spark.read.parquet(f"{path}/postings").drop("batch"), terms, stats, buckets)
 
 
 def field_query_terms(queries: DataFrame, fields: tuple[str, ...] = (NAME, CONTENT, EXACT)) -> DataFrame:
@@ -149,6 +148,10 @@ def field_scores(index: FieldIndex, wanted: DataFrame, exact_lengths: bool = Fal
     # At most one row per wanted term is left of the statistics.
     stats = index.stats.join(hinted(wanted.select("field").distinct(), small), "field", "left_semi")
     weighted = weighted.join(hinted(stats, small), "field")
+    if small:
+        # A document's postings of query terms meet before they multiply by queries.
+        kept = hinted(wanted.select("field", "term").distinct(), small)
+        postings = postings.join(kept, ["field", "term"], "left_semi").repartition("doc_id")
     hits = postings.join(hinted(weighted, small), ["field", "term"])
     dl = F.col("dl") if exact_lengths else stored_length(F.col("dl"))
     score = F.col("qtf") * bm25(F.col("tf"), F.col("df"), dl, F.col("n_docs"), F.col("total"))

@@ -4,9 +4,10 @@ A term without a field has ``field = ''``. A field term stands for a key togethe
 term; index terms hold no ``_``, so the pair loses nothing against one fused string.
 """
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sparkloom.fixed_values import FIELD_TERM_MAX_CHARS
 from sparkloom.functions.text import format_key, tokenize
@@ -96,24 +97,37 @@ def term_bucket(buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64("field", "term"), F.lit(buckets)).cast("int")
 
 
-def write_index(index: Index, n_docs: int, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
-    """Store the index by term bucket, so that a lookup reads the buckets of its terms only.
+def store_postings(table: DataFrame, path: str, mode: str, buckets: int) -> DataFrame:
+    """Write postings by batch and term bucket, sorted, and return what was written with its ``bucket``.
 
     Rebalancing splits the bucket of a very frequent term into files of normal size.
-    ``mode="append"`` adds the index of further documents.
     """
-    spark = index.postings.sparkSession
-    tables = {"postings": index.postings, "freqs": index.terms.select("field", "term", "df")}
-    for name, table in tables.items():
-        placed = table.withColumn("bucket", term_bucket(buckets)).hint("rebalance", "bucket")
-        order = [c for c in ("bucket", "field", "term", "doc_id") if c in placed.columns]
-        placed.sortWithinPartitions(*order).write.mode(mode).partitionBy("bucket").parquet(f"{path}/{name}")
+    batch = uuid.uuid4().hex
+    placed = table.withColumns({"batch": F.lit(batch), "bucket": term_bucket(buckets)}).hint("rebalance", "bucket")
+    placed = placed.sortWithinPartitions("bucket", "field", "term", "doc_id")
+    placed.write.mode(mode).partitionBy("batch", "bucket").parquet(path)
+    spark = table.sparkSession
+    added = [T.StructField("batch", T.StringType()), T.StructField("bucket", T.IntegerType())]
+    stored = T.StructType(table.schema.fields + added)
+    return spark.read.schema(stored).parquet(path).filter(F.col("batch") == batch)
+
+
+def write_index(postings_df: DataFrame, n_docs: int, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
+    """Store an index by term bucket, so that a lookup reads the buckets of its terms only.
+
+    Document counts come from the two key columns of the stored postings; the texts are
+    not read again. ``mode="append"`` adds the postings of further documents.
+    """
+    spark = postings_df.sparkSession
+    stored = store_postings(postings_df, f"{path}/postings", mode, buckets)
+    freqs = stored.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
+    freqs.write.mode(mode).parquet(f"{path}/freqs")
     size = spark.range(1).select(F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(buckets).alias("buckets"))
     size.write.mode(mode).parquet(f"{path}/sizes")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    """Stored index; counts of several appends are added up and weighed by all documents."""
+    """Stored index; counts of several batches are added up and weighed by all documents."""
     sizes = spark.read.parquet(f"{path}/sizes")
     n_docs = sizes.agg(F.sum("n_docs")).scalar()
     freqs = spark.read.parquet(f"{path}/freqs").groupBy("bucket", "field", "term").agg(F.sum("df").alias("df"))
@@ -126,7 +140,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
         idf_smooth(F.col("df"), n_docs).alias("idf_smooth"),
     )
     buckets = sizes.agg(F.max("buckets")).first()[0]
-    return Index(spark.read.parquet(f"{path}/postings"), terms, buckets)
+    return Index(spark.read.parquet(f"{path}/postings").drop("batch"), terms, buckets)
 
 
 def doc_universe(postings_df: DataFrame) -> DataFrame:

@@ -151,60 +151,81 @@ def _pruned(index: Index, wanted: DataFrame, small: bool) -> Index:
     return index._replace(postings=index.postings.filter(in_buckets), terms=index.terms.filter(in_buckets))
 
 
-def index_for(token_rows: DataFrame, n_docs: Column, queries: DataFrame) -> Index:
+class Prepared(NamedTuple):
+    """Queries in normal form with their terms; ``small`` tells that the terms may be broadcast."""
+
+    table: DataFrame
+    terms: DataFrame
+    small: bool
+    n_words: int
+
+
+def prepare(queries: "DataFrame | Prepared") -> Prepared:
+    """Prepare ``(query_id, expr)`` once for several uses."""
+    if isinstance(queries, Prepared):
+        return queries
+    table, _ = settle(prepare_queries(queries))
+    n_terms, most = table.agg(F.sum(F.size("terms")), F.max(F.size("terms"))).first()
+    return Prepared(table, query_terms(table), (n_terms or 0) <= BROADCAST_ROWS, (most or 0) // _BITS + 1)
+
+
+def index_for(token_rows: DataFrame, n_docs: Column, queries: "DataFrame | Prepared") -> Index:
     """Index of the query terms alone, for a search without a stored index.
 
     Other tokens are dropped inside the scan, so they are neither counted nor shuffled.
     """
-    wanted, small = settle(query_terms(prepare_queries(queries)).select("field", "term").distinct())
-    return build_index(token_rows.join(hinted(wanted, small), ["field", "term"], "left_semi"), n_docs)
+    prepared = prepare(queries)
+    wanted = hinted(prepared.terms.select("field", "term").distinct(), prepared.small)
+    return build_index(token_rows.join(wanted, ["field", "term"], "left_semi"), n_docs)
 
 
-def match_scores(index: Index, queries: DataFrame) -> DataFrame:
+def match_scores(index: Index, queries: "DataFrame | Prepared") -> DataFrame:
     """Rows ``(query_id, doc_id, tfidf, tfidf_smooth)`` of all matching documents.
 
-    The postings are read once, next to a broadcast of the query terms when those are few,
-    and shuffled once, by query and document, after partial sums. The terms that a
-    document has are bits of as many numbers as the longest query needs.
+    Only postings of query terms are kept, at most one per document and term, and
+    brought together by document before they meet the queries; so the many rows per query
+    and document never cross the network. The terms that a document has are bits of as
+    many numbers as the longest query needs.
     """
-    prepared, few = settle(prepare_queries(queries))
-    wanted = query_terms(prepared)
-    n_terms, most = prepared.agg(F.sum(F.size("terms")), F.max(F.size("terms"))).first()
-    small = (n_terms or 0) <= BROADCAST_ROWS
-    n_words = (most or 0) // _BITS + 1
-    index = _pruned(index, wanted, small)
-    weighted = index.terms.join(hinted(wanted, small), ["field", "term"]).drop("df", "bucket")
-    hits = index.postings.join(hinted(weighted, small), ["field", "term"])
-    masks = [F.bit_or(F.when(F.col("word") == w, F.col("bit")).otherwise(0)).alias(f"_w{w}") for w in range(n_words)]
+    prepared = prepare(queries)
+    small = prepared.small
+    index = _pruned(index, prepared.terms, small)
+    weighted = index.terms.join(hinted(prepared.terms, small), ["field", "term"]).drop("df", "bucket")
+    wanted = hinted(prepared.terms.select("field", "term").distinct(), small)
+    postings = index.postings.join(wanted, ["field", "term"], "left_semi")
+    if small:
+        postings = postings.repartition("doc_id")
+    hits = postings.join(hinted(weighted, small), ["field", "term"])
+    words = [F.col(f"_w{w}") for w in range(prepared.n_words)]
+    masks = [F.bit_or(F.when(F.col("word") == w, F.col("bit")).otherwise(0)).alias(f"_w{w}") for w in range(len(words))]
     found = hits.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("tf") * F.col("idf_standard")).alias("tfidf"),
         F.sum(F.col("tf") * F.col("idf_smooth")).alias("tfidf_smooth"),
         *masks,
     )
-    rules = prepared.filter("valid").select("query_id", "shape", "steps", F.size("terms").alias("n_terms"))
-    words = [F.col(f"_w{w}") for w in range(n_words)]
+    rules = prepared.table.filter("valid").select("query_id", "shape", "steps", F.size("terms").alias("n_terms"))
     has_all = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0])) == F.col("n_terms")
     holds = F.when(F.col("shape") == "any", True).when(F.col("shape") == "all", has_all)
     holds = holds.otherwise(_holds(F.col("steps"), F.array(*words)))
-    matched = found.join(hinted(rules, few), "query_id").filter(holds)
+    matched = found.join(hinted(rules, small), "query_id").filter(holds)
     return matched.select("query_id", "doc_id", "tfidf", "tfidf_smooth")
 
 
-def boolean_search(index: Index, queries: DataFrame) -> DataFrame:
+def boolean_search(index: Index, queries: "DataFrame | Prepared") -> DataFrame:
     """Rows ``(query_id, doc_id)`` of all matching documents."""
     return match_scores(index, queries).select("query_id", "doc_id")
 
 
-def _ranked(index: Index, queries: DataFrame, score: str, k: int) -> DataFrame:
+def _ranked(index: Index, queries: "DataFrame | Prepared", score: str, k: int) -> DataFrame:
     rounded = match_scores(index, queries).select("query_id", "doc_id", F.round(score, 6).alias("score"))
     return top_k(rounded, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, ["doc_id"])
 
 
-def rank_tfidf(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
+def rank_tfidf(index: Index, queries: "DataFrame | Prepared", k: int = 5) -> DataFrame:
     """Best ``k`` documents per query by term frequency times log10(N/df); ties by document."""
     return _ranked(index, queries, "tfidf", k)
 
 
-def rank_tfidf_smooth(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
+def rank_tfidf_smooth(index: Index, queries: "DataFrame | Prepared", k: int = 5) -> DataFrame:
     """Best ``k`` documents per query by term frequency times log10(N/(1+df)) + 1."""
     return _ranked(index, queries, "tfidf_smooth", k)
