@@ -101,8 +101,7 @@ def resolve_url(base: Column, href: Column) -> Column:
             F.when(h == "", base)
             .when(plain, F.concat(F.regexp_extract(base, _ROOT, 1), h))
             .when((scheme != "") & (scheme != url_scheme(base)), h)
-            .when(h.rlike(_NETLOC) & (scheme != ""), bare)
-            .when(h.rlike(_NETLOC), F.concat(url_scheme(base), F.lit(":"), bare))
+            .when(h.rlike(_NETLOC), F.concat(url_scheme(base), F.lit(":"), F.regexp_replace(bare, _SCHEME, "")))
             .otherwise(_join_relative(base, h))
         )
 
