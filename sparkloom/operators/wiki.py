@@ -57,14 +57,16 @@ def extract_wiki_records(pages: DataFrame, name: str = "speciesbox") -> DataFram
     )
 
 
-def dedupe_pages(pages: DataFrame, order: list[Column] | None = None) -> DataFrame:
+def dedupe_pages(pages: DataFrame, order: list[Column] | None = None, title: str = "title") -> DataFrame:
     """One page per id, or per title where the id is missing; the first in ``order`` stays.
 
-    Dump rows have no position, so the default order is file, title, text.
+    Dump rows have no position, so the default order is file, title, text. Extracted
+    records may be deduplicated instead (``title="animal_name"``): they are much smaller
+    than their pages, so less is shuffled.
     """
     if order is None:
-        order = [F.col(c).asc_nulls_last() for c in ("chunk", "title", "text") if c in pages.columns]
-    keyed = pages.withColumn("_title", F.when(F.col("wiki_id").isNull(), F.col("title")))
+        order = [F.col(c).asc_nulls_last() for c in ("chunk", title, "text", "abstract") if c in pages.columns]
+    keyed = pages.withColumn("_title", F.when(F.col("wiki_id").isNull(), F.col(title)))
     return keep_first(keyed, ["wiki_id", "_title"], order).drop("_title")
 
 

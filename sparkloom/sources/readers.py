@@ -73,7 +73,10 @@ def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", "map<string,string>", {"allowComments": "true", "mode": "PERMISSIVE"})
     checked = F.coalesce(parsed, F.raise_error(F.lit("not a JSON object")).cast("map<string,string>"))
-    return files.select(F.explode(checked).alias("name", "record"))
+    rows = files.select(F.explode(checked).alias("name", "record"))
+    # A value that is no JSON by itself was a string and lost its quotes.
+    quoted = F.regexp_replace(F.to_json(F.array("record")), r"^\[|\]$", "")
+    return rows.withColumn("record", F.when(F.try_parse_json("record").isNull(), quoted).otherwise(F.col("record")))
 
 
 def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
