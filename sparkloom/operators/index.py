@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sparkloom.fixed_values import FIELD_TERM_MAX_CHARS
 from sparkloom.functions.text import format_key, tokenize
+from sparkloom.operators.scale import lookup_join
 
 BUCKETS = 256
 
@@ -88,8 +89,11 @@ def build_index(token_rows: DataFrame, n_docs: Column) -> Index:
 
 
 def sorted_index(index: Index) -> DataFrame:
-    """Postings with their statistics, terms and then documents ascending."""
-    joined = index.postings.join(index.terms, ["field", "term"])
+    """Postings with their statistics, terms and then documents ascending.
+
+    The document is part of the sort key, so a very frequent term is sorted by many tasks.
+    """
+    joined = lookup_join(index.postings, index.terms.drop("bucket"), ["field", "term"], ["doc_id"], "inner")
     return joined.orderBy("field", "term", "doc_id")
 
 

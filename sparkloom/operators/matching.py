@@ -113,7 +113,7 @@ def best_by_value(right: DataFrame) -> DataFrame:
 
 def match_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows ``(key, best)``: best match per left name, NULL without one."""
-    found = lookup_join(left_names(left), best_by_value(right), "value", ["key", "kind"], "left")
+    found = lookup_join(left_names(left), best_by_value(right), ["value"], ["key", "kind"], "left")
 
     def candidate(left_kind: str, right_kind: str, rule: int) -> Column:
         best = F.col(f"best_{right_kind}")

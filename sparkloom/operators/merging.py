@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from sparkloom.fixed_values import MATCH_RULE_LABELS
 from sparkloom.functions.columns import bind, blank_to_null, empty_array, empty_to_null, strip
 from sparkloom.functions.text import unescape_html
+from sparkloom.operators.scale import lookup_join
 
 REDUNDANT = ("animal_name", "status", "taxon", "matched_name", "genus")
 
@@ -15,7 +16,7 @@ def _merged_column(name: str, left: T.DataType | None, right: T.DataType | None)
     One side only: that side. Lists: ordered union. Differing scalars: a list of both, so
     scalar columns of both sides become lists. Other pairs: the left value.
     """
-    a, b = F.col(f"l.{name}"), F.col(f"r.{name}")
+    a, b = F.col(f"l_{name}"), F.col(f"r_{name}")
     if right is None:
         return a.alias(name)
     if left is None:
@@ -34,22 +35,24 @@ def _merged_column(name: str, left: T.DataType | None, right: T.DataType | None)
 def merge_records(left: DataFrame, right: DataFrame, matches: DataFrame) -> DataFrame:
     """Left record of every key joined with its matched right record, column by column.
 
-    ``left`` is unique in ``key``, ``right`` in ``wiki_key``. A right record may match many
-    left keys; the copies are spread by AQE, as each is a row of the result.
+    ``left`` is unique in ``key``, ``right`` in ``wiki_key``. The narrow matches fetch
+    their right records first, as one right record may match very many keys and most keys
+    may match none; the wide left records then join one to one.
     """
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {f.name: f.dataType for f in right.schema.fields}
-    matched = matches.select("key", "wiki_key", "matched_name", "match_type", F.col("wiki_id").alias("matched_id"))
-    joined = left.alias("l").join(matched.alias("m"), F.col("l.key") == F.col("m.key"), "left")
-    joined = joined.join(right.alias("r"), F.col("m.wiki_key") == F.col("r.wiki_key"), "left")
+    prefixed = lambda df, key, prefix: df.select(key, *[F.col(c).alias(prefix + c) for c in df.columns if c != key])
+    narrow = matches.select("key", "wiki_key", "matched_name", "match_type", F.col("wiki_id").alias("matched_id"))
+    found = lookup_join(narrow, prefixed(right, "wiki_key", "r_"), ["wiki_key"], ["key"], "left")
+    joined = prefixed(left, "key", "l_").join(found, "key", "left")
     names = [c for c in lt if c != "key"] + [c for c in rt if c not in lt and c not in ("wiki_key", "wiki_id")]
     return joined.select(
-        F.col("l.key").alias("key"),
-        F.col("m.wiki_key").alias("wiki_key"),
+        "key",
+        "wiki_key",
         *[_merged_column(c, lt.get(c), rt.get(c)) for c in names],
-        F.col("m.matched_name").alias("matched_name"),
-        F.col("m.match_type").alias("match_type"),
-        F.col("m.matched_id").alias("wiki_id"),
+        "matched_name",
+        "match_type",
+        F.col("matched_id").alias("wiki_id"),
     )
 
 

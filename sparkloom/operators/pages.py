@@ -58,7 +58,9 @@ def next_frontier(
     first = edges.groupBy("target_url").agg(F.min(F.struct("page_id", "pos")).alias("at"))
     fresh = first.join(_urls(visited, "target_url"), "target_url", "left_anti")
     stored = pages.select(U.url_slug(F.col("url")).alias("slug")).distinct()
-    fresh = fresh.withColumn("slug", U.url_slug(F.col("target_url"))).join(stored, "slug", "left_anti")
+    fresh = fresh.withColumn("slug", U.url_slug(F.col("target_url")))
+    # Slugs leave the host out, so one slug may stand for very many URLs.
+    fresh = lookup_join(fresh, stored, ["slug"], ["target_url"], "left_anti")
     return fresh.select("at.page_id", "at.pos", "target_url")
 
 
@@ -79,7 +81,7 @@ def reachable_pages(links: DataFrame, seeds: DataFrame, max_depth: int | None =
         if n_new <= BROADCAST_ROWS:
             out = edges.join(F.broadcast(now), "url", "left_semi")
         else:
-            out = lookup_join(edges, now, "url", ["target_url"], "inner")
+            out = lookup_join(edges, now, ["url"], ["target_url"], "inner")
         out = out.select(F.col("target_url").alias("url")).distinct()
         known = rounds[0]
         for r in rounds[1:]:
@@ -107,7 +109,7 @@ def skip_reasons(queue: DataFrame, visited: DataFrame, stored: DataFrame, exclud
         .when(F.col("kept"), "stored")
         .otherwise("crawl")
     )
-    return urls.join(slugs, "slug", "left").select("url", reason.alias("reason"))
+    return lookup_join(urls, slugs, ["slug"], ["url"], "left").select("url", reason.alias("reason"))
 
 
 def reason_counts(reasons: DataFrame) -> DataFrame:

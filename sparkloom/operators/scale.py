@@ -63,16 +63,16 @@ def _salt(spread_by: list[str]) -> Column:
     return F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: str, spread_by: list[str], how: str = "left") -> DataFrame:
-    """Join ``left``, where a value of ``on`` may hold most rows, with ``right``, unique in ``on``.
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "left") -> DataFrame:
+    """Join ``left``, where one value of ``on`` may hold most rows, with ``right``, unique in ``on``.
 
     The hottest values of ``left`` are counted first (partial counts over hashes, so the
     shuffle carries one row per value and task). Their rows are spread over salts and
-    their one row on the right is repeated per salt. The hot list has at most
-    ``HOT_VALUES`` hashes and is safe to broadcast; a hash collision only adds salts.
-    ``spread_by`` names columns of ``left`` that differ between the rows of one value.
+    their one row on the right is repeated per salt; NULL counts as a value. The hot list
+    has at most ``HOT_VALUES`` hashes, times ``SALTS`` for the right side, and is safe to
+    broadcast; a hash collision only adds salts. ``spread_by`` names columns of ``left`` that differ between the rows of one value.
     """
-    hashed = F.xxhash64(on)
+    hashed = F.xxhash64(*on)
     hot = (
         left.select(hashed.alias("_hot"))
         .groupBy("_hot")
@@ -82,12 +82,12 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str, spread_by: list[str]
         .limit(HOT_VALUES)
         .select("_hot")
     )
-    hot = F.broadcast(hot)
-    spread = F.when(F.col("_hot").isNotNull(), _salt(spread_by)).otherwise(0)
-    repeat = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = left.join(hot, hashed == F.col("_hot"), "left").withColumn("_salt", spread).drop("_hot")
-    salted_right = right.join(hot, F.xxhash64(right[on]) == F.col("_hot"), "left").withColumn("_salt", F.explode(repeat)).drop("_hot")
-    return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
+    every_salt = F.broadcast(hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted_left = left.join(F.broadcast(hot), hashed == F.col("_hot"), "left")
+    salted_left = salted_left.withColumn("_salt", F.when(F.col("_hot").isNotNull(), _salt(spread_by)).otherwise(0)).drop("_hot")
+    salted_right = right.join(every_salt, hashed == F.col("_hot"), "left")
+    salted_right = salted_right.withColumn("_salt", F.coalesce("_salt", F.lit(0))).drop("_hot")
+    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

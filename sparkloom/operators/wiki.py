@@ -14,7 +14,8 @@ def pages_with_template(pages: DataFrame, name: str = "speciesbox") -> DataFrame
 def filter_report(pages: DataFrame, name: str = "speciesbox") -> DataFrame:
     """Rows ``(chunk, total_pages, matched_pages, has_output)`` per file, and a total row with chunk NULL."""
     matches = F.coalesce(W.has_template(F.col("text"), name), F.lit(False))
-    counts = pages.rollup("chunk").agg(F.count("*").alias("total_pages"), F.count_if(matches).alias("matched_pages"))
+    flags = pages.select("chunk", matches.alias("matches"))
+    counts = flags.rollup("chunk").agg(F.count("*").alias("total_pages"), F.count_if("matches").alias("matched_pages"))
     return counts.withColumn("has_output", F.col("matched_pages") > 0)
 
 
