@@ -94,6 +94,28 @@ def item_queries(spark, sf_dir):
     return items.select("query_id", F.concat("words", ors).alias("expr"))
 
 
+def query_terms(spark, sf_dir):
+    """Normal form of raw terms: whole customer names, plain and as the value of a field."""
+    names = read(spark, sf_dir, "customer")
+    exprs = F.array("c_name", F.concat(F.lit("C Name:"), "c_name"), F.lit("&"), F.lit("seg:"), F.lit("||"), F.lit(":!"))
+    queries = names.select(F.col("c_custkey").cast("string").alias("query_id"), exprs.alias("expr"))
+    prepared = S.prepare_queries(queries)
+    terms = F.array_join(F.transform("terms", lambda t: F.concat_ws("=", t["field"], t["term"])), " ")
+    steps = F.array_join(F.transform("steps", lambda s: s.cast("string")), " ")
+    return prepared.select("query_id", terms.alias("terms"), steps.alias("steps"), "valid", "shape")
+
+
+def search_report(spark, sf_dir):
+    """Number of matching documents per query next to its best document under both weights."""
+    queries = S.prepare(S.query_table(spark, RANK_EXPRS))
+    n_docs = I.collection_size(documents(spark, sf_dir))
+    scores = _matches(S.match_scores(S.index_for(doc_tokens(spark, sf_dir), n_docs, queries), queries))
+    best = lambda score: F.min_by("doc_id", F.struct(-F.col(score), F.col("doc_id")))
+    return scores.groupBy("query_id").agg(
+        F.count("*").alias("n_docs"), best("tfidf").alias("best"), best("tfidf_smooth").alias("best_smooth")
+    )
+
+
 def batch_topk(spark, sf_dir):
     queries = S.prepare(item_queries(spark, sf_dir))
     n_docs = I.collection_size(documents(spark, sf_dir))
@@ -184,6 +206,8 @@ QUERIES = {
         boolean_search,
         rank_tfidf,
         rank_tfidf_smooth,
+        query_terms,
+        search_report,
         batch_topk,
         stored_index_search,
         field_documents,
@@ -265,7 +289,18 @@ wanted as (select cast(item_id as varchar) as query_id, 'content' as field, term
   select item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) as term from benchmark) b group by all)
 """
 
+_REPORT = " union all ".join(
+    (
+        _match_sql(DOC_TERMS, "q1", [":the", ":and"], f"{_has(':the')} and {_has(':and')}"),
+        _match_sql(DOC_TERMS, "q2", [":le", ":the", ":blent"], f"{_has(':le')} or ({_has(':the')} and {_has(':blent')})"),
+    )
+)
+
 ORACLES = {
+    "query_terms": f"""with t as (select cast(c_custkey as varchar) as query_id, regexp_extract(lower(c_name), {TERM}) as t from customer)
+      select query_id, '=' || t || ' c_name=' || t || ' =seg' as terms, '0 1 -1 2 -2' as steps, true as valid, 'mixed' as shape from t""",
+    "search_report": f"""with m as ({_REPORT}) select query_id, count(*) as n_docs, first(doc_id order by tfidf desc, doc_id) as best,
+      first(doc_id order by tfidf_smooth desc, doc_id) as best_smooth from m group by query_id""",
     "search_one_term": _match_sql(DOC_TERMS, "q", [":blent"], "true"),
     "search_and": _match_sql(DOC_TERMS, "q", [":the", ":blent"], f"{_has(':the')} and {_has(':blent')}"),
     "search_and_or": _match_sql(DOC_TERMS, "q", [":the", ":blent", ":le"], _LE),

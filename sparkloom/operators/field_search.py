@@ -23,9 +23,14 @@ class FieldIndex(NamedTuple):
     buckets: int | None = None
 
 
-def search_documents(df: DataFrame, name: Column, leaves: Column, id_col: str = "doc_id") -> DataFrame:
-    """Rows ``(doc_id, name, content, leaves)`` to index: ``leaves`` comes from ``sparkloom.operators.leaves``."""
-    rows = df.select(F.col(id_col).alias("doc_id"), name.alias("name"), leaves.alias("leaves"))
+def search_documents(
+    df: DataFrame, name: Column, leaves: Column, id_col: str = "doc_id", stored: list[str] | None = None
+) -> DataFrame:
+    """Rows ``(doc_id, name, content, leaves)`` to index: ``leaves`` comes from ``sparkloom.operators.leaves``.
+
+    Columns named in ``stored`` are kept next to them and not searched.
+    """
+    rows = df.select(F.col(id_col).alias("doc_id"), name.alias("name"), leaves.alias("leaves"), *(stored or []))
     return rows.withColumn("content", content(F.col("leaves"), F.col("name")))
 
 
@@ -151,7 +156,7 @@ def field_scores(index: FieldIndex, wanted: DataFrame, exact_lengths: bool = Fal
     if small:
         # A document's postings of query terms meet before they multiply by queries.
         kept = hinted(wanted.select("field", "term").distinct(), small)
-        postings = postings.join(kept, ["field", "term"], "left_semi").repartition("doc_id")
+        postings = postings.join(kept, ["field", "term"]).repartition("doc_id")
     hits = postings.join(hinted(weighted, small), ["field", "term"])
     dl = F.col("dl") if exact_lengths else stored_length(F.col("dl"))
     score = F.col("qtf") * bm25(F.col("tf"), F.col("df"), dl, F.col("n_docs"), F.col("total"))

@@ -192,7 +192,9 @@ def match_scores(index: Index, queries: "DataFrame | Prepared") -> DataFrame:
     index = _pruned(index, prepared.terms, small)
     weighted = index.terms.join(hinted(prepared.terms, small), ["field", "term"]).drop("df", "bucket")
     wanted = hinted(prepared.terms.select("field", "term").distinct(), small)
-    postings = index.postings.join(wanted, ["field", "term"], "left_semi")
+    # The terms are distinct, so this keeps rows as a semi join would; but Spark moves a semi
+    # join below the count of postings, which would then differ from the one terms are counted by.
+    postings = index.postings.join(wanted, ["field", "term"])
     if small:
         postings = postings.repartition("doc_id")
     hits = postings.join(hinted(weighted, small), ["field", "term"])

@@ -78,13 +78,17 @@ def index_records(records: DataFrame, target: str, mode: str = "overwrite", buck
 def create_search_index(records: DataFrame, target: str, mode: str = "overwrite", buckets: int = I.BUCKETS) -> B.FieldIndex:
     """Store the multi-field index of JSON records ``(name, record)``; the name is the document id.
 
-    Records that are no JSON are left out of the index and stored under ``_corrupt``.
+    Name, content and, where there is one, the ``source`` path are stored under
+    ``documents``. Records that are no JSON are left out and stored under ``_corrupt``.
     """
     parsed = records.withColumn("value", F.try_parse_json("record"))
     parsed.filter(F.col("value").isNull()).select("name", "record").write.mode(mode).json(f"{target}/_corrupt")
     good = parsed.filter(F.col("value").isNotNull())
     docs = B.search_documents(good, F.col("name"), L.variant_leaves(F.col("value")), id_col="name")
     B.write_field_index(B.field_index(B.field_documents(docs)), target, mode, buckets)
+    source = F.col("source") if "source" in records.columns else F.lit(None).cast("string")
+    stored = B.search_documents(good.withColumn("source", source), F.col("name"), L.variant_leaves(F.col("value")), "name", ["source"])
+    stored.drop("leaves").write.mode(mode).parquet(f"{target}/documents")
     return B.read_field_index(records.sparkSession, target)
 
 

@@ -65,7 +65,7 @@ def read_html_dir(spark: SparkSession, path: str, pattern: str = "*.html") -> Da
 
 
 def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
-    """Rows ``(name, record)`` of a JSON object, ``record`` being JSON text; comments are allowed.
+    """Rows ``(name, record, source)`` of a JSON object, ``record`` being JSON text; comments are allowed.
 
     One object is one row to Spark and cannot be split: read it once and store the result.
     A file that holds no object raises an error.
@@ -73,7 +73,7 @@ def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", "map<string,string>", {"allowComments": "true", "mode": "PERMISSIVE"})
     checked = F.coalesce(parsed, F.raise_error(F.lit("not a JSON object")).cast("map<string,string>"))
-    rows = files.select(F.explode(checked).alias("name", "record"))
+    rows = files.select(F.explode(checked).alias("name", "record"), F.col("_metadata.file_path").alias("source"))
     # A value that is no JSON by itself was a string and lost its quotes.
     quoted = F.regexp_replace(F.to_json(F.array("record")), r"^\[|\]$", "")
     return rows.withColumn("record", F.when(F.try_parse_json("record").isNull(), quoted).otherwise(F.col("record")))

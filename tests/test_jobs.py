@@ -66,16 +66,21 @@ def test_pages_to_facts(spark, tmp_path):
 def test_json_to_search(spark, tmp_path):
     (tmp_path / "records.json").write_text('/* c */ {"Red fox": {"diet": {"main": "mice"}, "tags": ["small", "red"]}, // x\n "Bear": "honey"}')
     records = readers.read_keyed_json(spark, str(tmp_path / "records.json"))
-    rows = records.unionByName(spark.createDataFrame([("Broken", "{oops")], "name string, record string"))
+    assert records.first().source.endswith("/records.json")
+    broken = spark.createDataFrame([("Broken", "{oops")], "name string, record string")
+    rows = records.unionByName(broken, allowMissingColumns=True)
     index = jobs.create_search_index(rows, str(tmp_path / "index"), buckets=4)
     jobs.create_search_index(spark.createDataFrame([("Fox", '{"diet": "red mice"}')], "name string, record string"), str(tmp_path / "index"), "append", 4)
     from sparkloom.operators import field_search as B
 
     index = B.read_field_index(spark, str(tmp_path / "index"))
     queries = spark.createDataFrame([("any", "red", None), ("path", "mice", "diet.main"), ("exact", "Red fox", "exact_name")], "query_id string, text string, field string")
-    contents = spark.createDataFrame([("Red fox", "mice\nsmall"), ("Fox", "red mice"), ("Bear", "honey")], "doc_id string, content string")
+    contents = spark.read.parquet(str(tmp_path / "index/documents"))
+    assert {r.doc_id: (r.content, r.source is None) for r in contents.collect()} == {
+        "Red fox": ("mice\nsmall\nred", False), "Bear": ("honey", False), "Fox": ("red mice", True),
+    }
     got = {(r.query_id, r["rank"]): (r.doc_id, r.snippet) for r in jobs.search_results(index, queries, contents).collect()}
-    assert got[("path", 1)] == ("Red fox", "mice small") and got[("exact", 1)][0] == "Red fox"
+    assert got[("path", 1)] == ("Red fox", "mice small red") and got[("exact", 1)][0] == "Red fox"
     assert {d for (q, _), (d, _) in got.items() if q == "any"} == {"Red fox", "Fox"}
     assert [r.name for r in spark.read.json(str(tmp_path / "index/_corrupt")).collect()] == ["Broken"]
     (tmp_path / "list.json").write_text("[1]")
