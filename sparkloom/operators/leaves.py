@@ -57,17 +57,28 @@ def typed_leaves(df: DataFrame, columns: list[str]) -> Column:
     return _typed(F.struct(*columns), struct, F.lit(""), F.lit(""), F.lit(False))
 
 
+_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_MAX_LEVELS = 1000  # JSON nested deeper is refused by the parser
+
+
+def _levels(text: Column) -> Column:
+    """No fewer than the levels of a JSON text: its opening brackets outside of strings."""
+    brackets = F.regexp_count(F.regexp_replace(text, _JSON_STRING, ""), F.lit(r"[{\[]"))
+    return F.least(F.greatest(F.coalesce(brackets, F.lit(1)), F.lit(1)), F.lit(_MAX_LEVELS))
+
+
 def variant_leaves(
     value: Column,
-    depth: int = 100,
     path: Column | None = None,
     key: Column | None = None,
     skip: Column | None = None,
+    text: Column | None = None,
 ) -> Column:
-    """Array of the leaves of a VARIANT column.
+    """Array of the leaves of a VARIANT column; ``text`` is its JSON where at hand.
 
-    A list passes its key down to its items. Records nested deeper than ``depth`` raise
-    an error, so no leaf is lost in silence.
+    A list passes its key down to its items. The record is opened level by level, as
+    often as its text has brackets; levels after the last one with anything to open cost
+    next to nothing.
     """
     entries = "map<string,variant>"
     node = F.struct(
@@ -103,23 +114,18 @@ def variant_leaves(
         )
         return F.when(acc["done"], acc).otherwise(opened)
 
-    # Levels after the last one with anything to open cost nothing.
     start = F.struct(F.array(node).alias("nodes"), F.lit(False).alias("done"))
-    nodes = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, one_level)["nodes"]
+    nodes = F.aggregate(F.sequence(F.lit(1), _levels(F.to_json(value) if text is None else text)), start, one_level)["nodes"]
 
     def scalar(n: Column) -> Column:
-        deep = nested(n)
-        text = F.when(deep, F.raise_error(F.lit(f"record nested deeper than {depth} levels"))).otherwise(
-            n["value"].cast("string")
-        )
-        return _leaf(n["path"], n["key"], text, n["skip"])
+        return _leaf(n["path"], n["key"], F.when(~nested(n), n["value"].cast("string")), n["skip"])
 
     return F.filter(F.transform(nodes, scalar), lambda n: n["value"].isNotNull())
 
 
-def json_leaves(df: DataFrame, id_col: str, json_col: str, depth: int = 100) -> DataFrame:
+def json_leaves(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Rows ``(doc_id, pos, path, key, value)`` of the leaves of a JSON text column."""
-    leaves = variant_leaves(F.parse_json(json_col), depth)
+    leaves = variant_leaves(F.parse_json(json_col), text=F.col(json_col))
     return _exploded(df, id_col, leaves)
 
 

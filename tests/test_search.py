@@ -116,8 +116,11 @@ def test_leaves_of_typed_and_untyped_records(spark):
     assert got == [("a.b", "b", "1"), ("a.b", "b", "2"), ("a.id", "id", "5"), ("m.k", "k", "v"), ("m.uuid", "uuid", "u"), ("j.p", "p", "7")]
     leaves = L.typed_leaves(typed, ["a", "m", "j"])
     assert typed.select(L.content(leaves, F.lit("name")).alias("c")).first().c == "1\n2\nv\n7"
-    with pytest.raises(Exception, match="nested deeper"):
-        df.select(L.variant_leaves(F.parse_json("j"), depth=2)).collect()
+    deep = "".join('{"k%d": [' % i for i in range(60)) + r'"va\"l[ue"' + "]}" * 60
+    df = spark.createDataFrame([(1, deep), (2, "7"), (3, None), (4, "[]")], "doc_id int, j string")
+    got = [(r.doc_id, r.key, r.value) for r in L.json_leaves(df, "doc_id", "j").collect()]
+    assert got == [(1, "k59", 'va"l[ue'), (2, "", "7")]
+    assert df.select(F.size(L.variant_leaves(F.parse_json("j"))).alias("n")).first().n == 1
 
 
 def test_field_scores_by_hand(spark):
