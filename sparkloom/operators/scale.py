@@ -1,7 +1,5 @@
 """Shared means against skew, long lineage and unchecked broadcasts."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -16,18 +14,9 @@ BROADCAST_ROWS = 100_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a local one only on a local master."""
+    """Folder named by ``spark.checkpoint.dir``, else the session's warehouse; both are shared by all executors."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="sparkloom-")
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

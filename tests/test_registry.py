@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import AREAS
 from checks.compare import compare, connect
 from tests.conftest import SMALL
 
@@ -11,7 +12,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    for area in AREAS:
+        assert area.QUERIES.keys() == area.ORACLES.keys()
 
 
 def test_entry_runs(spark):
