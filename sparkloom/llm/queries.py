@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkloom.llm import near_dedup, quality
+from sparkloom.llm import near_dedup, quality, substrings
 from sparkloom.llm.common import table
 
 
@@ -15,9 +15,16 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality": op2_quality,
+    "op3_substrings": op3_substrings,
 }
 
 ORACLES = {}
