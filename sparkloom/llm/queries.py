@@ -1,11 +1,19 @@
 """Registered queries of this subpackage and their DuckDB SQL."""
 
+import os
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkloom.llm import near_dedup, quality, substrings
+from sparkloom.llm import near_dedup, pieces, quality, secrets, substrings, url_filter
 from sparkloom.llm.common import table
 
 
+def piece_model() -> str:
+    """File of the merge-type piece model; ``PIECE_MODEL`` names another one."""
+    return os.environ.get("PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -21,10 +29,34 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), piece_model(), keep_ids=False)
+
+
+def listed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of pages whose path ends in the id of a document labelled toxic."""
+    pages = table(spark, sf_dir, "pages").select("url")
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
+    document = F.regexp_extract(url_filter.path_of(F.col("url")), r"/([0-9]+)(\.html)?/*$", 1).try_cast("bigint")
+    return pages.join(toxic, document == F.col("doc_id"), "left_semi")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), listed_urls(spark, sf_dir))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality": op2_quality,
     "op3_substrings": op3_substrings,
+    "op4_secrets": op4_secrets,
+    "op5_pieces": op5_pieces,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES = {}
