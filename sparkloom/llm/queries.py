@@ -5,7 +5,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkloom.llm import near_dedup, pieces, quality, secrets, substrings, url_filter
+from sparkloom.llm import decontaminate, near_dedup, pieces, quality, secrets, substrings, url_filter
 from sparkloom.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), piece_model(), keep_ids=False)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def listed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URLs of pages whose path ends in the id of a document labelled toxic."""
     pages = table(spark, sf_dir, "pages").select("url")
@@ -56,6 +60,7 @@ QUERIES = {
     "op3_substrings": op3_substrings,
     "op4_secrets": op4_secrets,
     "op5_pieces": op5_pieces,
+    "op7_decontaminate": op7_decontaminate,
     "op10_url_filter": op10_url_filter,
 }
 
