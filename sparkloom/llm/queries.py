@@ -5,7 +5,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkloom.llm import decontaminate, near_dedup, pieces, quality, secrets, substrings, url_filter
+from sparkloom.llm import decontaminate, extract, licenses, near_dedup, pieces, pii, quality, secrets, substrings, url_filter
 from sparkloom.llm.common import table
 
 
@@ -37,10 +37,23 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), piece_model(), keep_ids=False)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.trained(pii.labelled_table(spark))
+    return pii.personal_data(table(spark, sf_dir, "documents"), field).drop("found")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_notices(table(spark, sf_dir, "documents"))
+
+
+def op9_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.page_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def listed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URLs of pages whose path ends in the id of a document labelled toxic."""
     pages = table(spark, sf_dir, "pages").select("url")
@@ -60,7 +73,10 @@ QUERIES = {
     "op3_substrings": op3_substrings,
     "op4_secrets": op4_secrets,
     "op5_pieces": op5_pieces,
+    "op6_pii": op6_pii,
     "op7_decontaminate": op7_decontaminate,
+    "op8_licenses": op8_licenses,
+    "op9_extract": op9_extract,
     "op10_url_filter": op10_url_filter,
 }
 
