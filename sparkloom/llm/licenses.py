@@ -76,24 +76,25 @@ _PART = re.compile(r"[^\n]+?(?:[.;:!?][\"')]*(?=[\x20\t]|\n|\Z)|(?=\n|\Z))")
 _WORD = re.compile(r"[^\W_]+(?:[.][0-9]+)*")
 _NUMBER = re.compile(r"[0-9]")
 
-# Parts without a cue that may lie between two parts of one block.
+# Parts without a cue that may lie between two parts of one block, or behind the last.
 _BRIDGE = 2
 # Templates whose wording is compared for a block, by rank; all that reduce as much as the last one are.
 _RANKED = 6
 
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Places of runs of parts with a cue, with up to two other parts between them."""
+    """Places of runs of parts with a cue, with up to two other parts between and after them."""
     if not _CUE.search(text):
         return
     start = end = last = -1
     for k, m in enumerate(_PART.finditer(text)):
         if _CUE.search(m[0]):
-            if start >= 0 and k - last > _BRIDGE + 1:
-                yield start, end
-                start = -1
-            start = m.start() if start < 0 else start
-            end, last = m.end(), k
+            start, end, last = m.start() if start < 0 else start, m.end(), k
+        elif start >= 0 and k - last <= _BRIDGE:
+            end = m.end()
+        elif start >= 0:
+            yield start, end
+            start = -1
     if start >= 0:
         yield start, end
 

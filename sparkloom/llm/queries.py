@@ -5,7 +5,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkloom.llm import decontaminate, extract, licenses, near_dedup, pieces, pii, quality, secrets, substrings, url_filter
+from sparkloom.llm import decontaminate, extract, licenses, near_dedup, oracles, pieces, pii, quality, secrets, substrings, url_filter
 from sparkloom.llm.common import table
 
 
@@ -80,4 +80,10 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op1_near_dedup": oracles.NEAR_DEDUP,
+    "op2_quality": oracles.QUALITY,
+    "op3_substrings": oracles.SUBSTRINGS,
+    "op7_decontaminate": oracles.DECONTAMINATE,
+    "op10_url_filter": oracles.URL_FILTER,
+}

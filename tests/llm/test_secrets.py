@@ -1,0 +1,63 @@
+import random
+import re
+
+from sparkloom.llm import secrets
+
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(spans)
+
+
+def test_base_spans_equal_brute_force():
+    rng = random.Random(1)
+    parts = ["password", "PassWD", "ſecret", "secret", "toKen", "api_key", "APIKEY", '"', "'", " ", "=", ":", "AKIA", "ABCDEFGH1234", "abcdef01", "deadbeef" * 4, "x.y-z/", "\n", "é", "K"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert sorted(secrets.base_spans(text)) == brute(text), text
+
+
+def literals(text):
+    return [text[a:b] for a, _, b in secrets.method_spans(text)]
+
+
+def test_assignments_of_several_syntaxes():
+    found = {
+        'db_password = "S3cr3t!pass99"': ["S3cr3t!pass99"],
+        "authKey: 'Zx81kQpLm99vTT'": ["Zx81kQpLm99vTT"],
+        "export PRIVATE_KEY=abcDEF123456789": ["abcDEF123456789"],
+        '{"client_secret": "q9Wv81LmNx77"}': ["q9Wv81LmNx77"],
+        'let apiKey: string = `k3yK3yk3y123`;': ["k3yK3yk3y123"],
+        'const key = "ab12" + "CD34EF56gh78";': [],
+        'const accessKey = "ab12" + "CD34EF56gh78";': ['ab12" + "CD34EF56gh78'],
+        'A = "Zx81kQpLm99vTT"\nB = A\nauth_token = B\n': ["Zx81kQpLm99vTT"],
+    }
+    for text, want in found.items():
+        assert literals(text) == want, text
+
+
+def test_harmless_literals():
+    for text in ('password = "changeme"', "password_file = '/etc/Passw0rd'", 'token = os.environ["TOKEN"]', "color: #aabbcc1122", 'secret = "${SECRET_VALUE}"', "see http://a.b/c:d"):
+        assert literals(text) == [], text
+
+
+def test_redaction_joins_overlaps():
+    text = 'a token = "ffc3105535f423f352535e4ac53b5fefe076ac6d" b AKIAABCDEFGHIJKL12'
+    spans = secrets.base_spans(text) + secrets.method_spans(text)
+    assert secrets.redacted(text, spans) == 'a [SECRET]" b [SECRET]'
+    assert secrets.redacted("clean", []) == "clean"
+
+
+def test_odd_rows(documents, odd_texts):
+    rows = secrets.secret_spans(documents(odd_texts)).collect()
+    assert len(rows) == len(odd_texts) and not any(r["spans"] for r in rows)
+    df = documents([(1, None), (2, "é🙂 password=hunter22"), (2, "é🙂 password=hunter22")])
+    assert sorted(r["spans"] for r in secrets.secret_spans(df).collect()) == ["", "assign:3:20", "assign:3:20"]
+    out = secrets.without_secrets(df)
+    assert out.schema == df.schema
+    assert {r["text"] for r in out.collect()} == {None, "é🙂 [SECRET]"}
+    assert secrets.secret_spans(df.limit(0)).count() == secrets.without_secrets(df.limit(0)).count() == 0
