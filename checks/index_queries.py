@@ -89,6 +89,21 @@ def doc_universe(spark, sf_dir):
     return I.doc_universe(index_postings(spark, sf_dir))
 
 
+def _mangled(spark, sf_dir):
+    """Event records of which every seventh is cut short, and every eleventh missing."""
+    text = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)")).when(F.col("event_id") % 11 != 0, F.col("props"))
+    return read(spark, sf_dir, "events").select("event_id", text.alias("props"))
+
+
+def json_leaves_malformed(spark, sf_dir):
+    """Leaves where some records are no JSON: these have none."""
+    return L.json_leaves(_mangled(spark, sf_dir), "event_id", "props").select("doc_id", "path", "value")
+
+
+def malformed_json(spark, sf_dir):
+    return L.malformed_json(_mangled(spark, sf_dir), "event_id", "props")
+
+
 def clean_terms(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", T.clean_terms(F.col("text")).alias("cleaned"))
 
@@ -132,6 +147,8 @@ QUERIES = {
         record_leaves,
         json_field_postings,
         json_record_leaves,
+        json_leaves_malformed,
+        malformed_json,
         collection_size,
         doc_universe,
         clean_terms,
@@ -203,6 +220,8 @@ ORACLES = {
     "record_leaves": f"with {PART_LEAVES} select doc_id, cast(pos as bigint) as pos, path, key, value from leaves",
     "json_field_postings": f"with {EVENT_LEAVES}, {LEAF_POSTINGS} select * from postings",
     "json_record_leaves": f"with {PART_LEAVES} select doc_id, path, key, value from leaves",
+    "json_leaves_malformed": f"with {EVENT_LEAVES} select doc_id, path, value from leaves where doc_id % 7 <> 0 and doc_id % 11 <> 0",
+    "malformed_json": "select event_id as doc_id, left(props, length(props) - 1) as text from events where event_id % 7 = 0",
     "collection_size": f"select count(*) as n_docs, count(*) filter (where len(regexp_extract_all(lower(text), {TERM})) = 0) as n_without_terms from documents",
     "doc_universe": f"with {DOC_POSTINGS} select distinct doc_id from postings",
     "clean_terms": "select doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) as cleaned from documents",

@@ -54,7 +54,7 @@ def norm_array(spark, sf_dir):
 def matcher_rows(spark, sf_dir):
     """Typed input of the matcher; missing lists are empty."""
     _, right = _sides(spark, sf_dir)
-    return _flat(M.right_rows(right)).withColumn("n_names", F.lit(8))
+    return _flat(M.right_rows(right))
 
 
 def match_entities(spark, sf_dir):
@@ -74,7 +74,7 @@ def _people(spark, sf_dir):
         F.array("p_brand", "p_type").alias("common_name_alternative"),
         F.concat_ws(" ", "p_type", "p_brand").alias("scientific_name"),
     )
-    right = parts.filter(F.col("p_size") > 5).select(
+    right = parts.select(
         F.concat(F.lit("w"), "p_partkey").alias("wiki_key"),
         F.when(F.col("p_size") > 20, F.concat("p_name", F.lit(" (x)"))).otherwise(F.col("p_brand")).alias("animal_name"),
         F.when(F.col("p_size") > 40, F.array(F.upper("p_name"), F.col("p_type"))).alias("animal_name_alternative"),
@@ -107,6 +107,15 @@ def merge_columns(spark, sf_dir):
     return _flat(merged.select("key", "status", "tags", "origin_id"))
 
 
+def merge_kinds(spark, sf_dir):
+    """Columns whose kinds differ between the sides, with NULLs on either side."""
+    left, right = _sides(spark, sf_dir)
+    odd, third = F.length("key") % 2 == 1, F.col("wiki_id") % 3 == 0
+    lt = left.withColumns({"a": F.when(odd, F.array("key", F.lit("x"))), "b": F.when(odd, F.col("key")), "c": F.when(odd, F.struct("key")), "d": F.when(odd, F.array(F.length("key")))})
+    rt = right.withColumns({"a": F.when(third, F.col("wiki_key")), "b": F.when(third, F.array("wiki_key")), "c": F.when(third, F.col("wiki_key")), "d": F.when(third, F.array("wiki_key"))})
+    return _flat(G.merge_records(lt, rt, _matches(spark, sf_dir)).select("key", "a", "b", "c", "d"))
+
+
 def _flat_meta(df):
     return _flat(df.withColumn("meta_wiki_id", F.col("meta.wiki_id")).drop("meta"))
 
@@ -130,8 +139,14 @@ def merged_union(spark, sf_dir):
     return rows.select("origin", "key", "common_name", "match_type", F.col("meta.wiki_id").alias("wiki_id"), "abstract")
 
 
+def _union(spark, sf_dir):
+    """Stored union of merged and right-only records with what the statistics count."""
+    merged, rest = _both(spark, sf_dir)
+    return scale.cut_lineage(G.merged_union(G.finish_merged(G.counted_flags(merged)), rest))
+
+
 def match_stats(spark, sf_dir):
-    return G.match_stats(*_both(spark, sf_dir))
+    return G.match_stats(_union(spark, sf_dir))
 
 
 def match_type_counts(spark, sf_dir):
@@ -141,7 +156,7 @@ def match_type_counts(spark, sf_dir):
 def stats_round_trip(spark, sf_dir):
     """Statistics written as JSON and read back."""
     path = scale.scratch_path(spark, "stats")
-    writers.write_stats(G.match_stats(*_both(spark, sf_dir)), path)
+    writers.write_stats(G.match_stats(_union(spark, sf_dir)), path)
     return readers.read_records(spark, path, "total_records bigint, matched_records bigint, right_only_records bigint")
 
 
@@ -157,6 +172,7 @@ QUERIES = {
         match_shared_names,
         merge_records,
         merge_columns,
+        merge_kinds,
         finished_records,
         right_only,
         merged_union,
@@ -186,7 +202,7 @@ _PEOPLE = f"""
 l as (select cast(p_partkey as varchar) as key, {_N('p_name')} as cn, [{_N('p_brand')}, {_N('p_type')}] as alts, {_N("p_type || ' ' || p_brand")} as sci from part),
 r0 as (select 'w' || p_partkey as wiki_key, case when p_size > 20 then p_name || ' (x)' else p_brand end as animal_name,
   case when p_size > 20 then p_name else p_brand end as base, case when p_size > 40 then [upper(p_name), p_type] else [] end as walts,
-  p_type || ' ' || p_brand as gs, p_type as taxon, p_partkey * 7 % 1000 as wiki_id from part where p_size > 5),
+  p_type || ' ' || p_brand as gs, p_type as taxon, p_partkey * 7 % 1000 as wiki_id from part),
 r as (select *, {_N('animal_name')} as an, {_N('base')} as bn, list_transform(walts, lambda x: {_N('x')}) as wn, {_N('gs')} as gn, {_N('taxon')} as tn from r0),
 rules as (
  select key, 1 as rule, wiki_id, wiki_key, animal_name as raw from l join r on cn = an
@@ -248,7 +264,7 @@ ORACLES = {
       concat_ws(' ', genus, species) as genus_species from r""",
     "norm_array": f"with {FX}, raws as (select wiki_key, unnest(animal_name_alternative) as raw from r) select wiki_key, raw, {_N('raw')} as normal from raws",
     "matcher_rows": f"""with {FX} select wiki_key, animal_name, coalesce(array_to_string(animal_name_alternative, '|'), '') as animal_name_alternative,
-      coalesce(array_to_string(scientific_names, '|'), '') as scientific_names, wiki_id, taxon, genus, species, 8 as n_names from r""",
+      coalesce(array_to_string(scientific_names, '|'), '') as scientific_names, wiki_id, taxon, genus, species from r""",
     "match_entities": f"with {MATCHED} select key, wiki_key, cast(match_type as integer) as match_type, wiki_id from m",
     "matched_name": f"with {MATCHED} select key, matched_name from m",
     "match_shared_names": f"""with {_PEOPLE} select l.key, wiki_key, raw as matched_name, rule as match_type, wiki_id
@@ -258,6 +274,9 @@ ORACLES = {
       from l join m using (key) left join r on m.wiki_key = r.wiki_key""",
     "merge_columns": f"""with {MATCHED}, s as (select key, wiki_key, case when length(key) > 2 then 'LC' end as a, case when wiki_id % 4 < 2 then 'VU' end as b from m)
       select key, nullif(concat_ws('|', a, b), '') as status, key || '|both' || case when wiki_key is null then '' else '|' || wiki_key end as tags, key as origin_id from s""",
+    "merge_kinds": f"""with {MATCHED}, s as (select key, length(key) % 2 = 1 as odd, case when wiki_id % 3 = 0 then wiki_key end as w from m)
+      select key, case when odd then key || '|x' else w end as a, case when odd then key else w end as b, case when odd then '{{"key":"' || key || '"}}' else w end as c,
+       case when odd and w is not null then length(key) || '|' || w when odd then cast(length(key) as varchar) else w end as d from s""",
     "finished_records": f"""with {FX}, {MATCHED}, {_FINISHED} select key, wiki_key, common_name, cast(match_type as integer) as match_type, species,
       common_name_alternative, scientific_names, abstract, meta_wiki_id from f""",
     "right_only": f"with {FX}, {MATCHED}, {_REST} select * from rest",

@@ -71,7 +71,23 @@ def _visited(spark, sf_dir):
     return links.filter(F.length("url") % 3 == 0)
 
 
+def _sectioned(spark, sf_dir):
+    """Pages of which every other one links into the section ``en``; the rest link from the root."""
+    moved = F.regexp_replace("html", 'href="/', 'href="/en/')
+    return pages(spark, sf_dir).withColumn("html", F.when(F.col("page_id") % 2 == 0, moved).otherwise(F.col("html")))
+
+
 def next_frontier(spark, sf_dir):
+    """Targets in a section; its own detail pages are not expanded."""
+    table = _sectioned(spark, sf_dir)
+    links = P.page_links(table)
+    visited = links.select(F.col("target_url").alias("url")).distinct().filter(F.length("url") % 3 == 0)
+    found = P.next_frontier(table, links, visited, section="en")
+    return found.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+def next_frontier_details(spark, sf_dir):
+    """Every target, details expanded."""
     table = pages(spark, sf_dir)
     found = P.next_frontier(table, P.page_links(table), _visited(spark, sf_dir), section="", expand_details=True)
     return found.withColumn("pos", F.col("pos").cast("bigint"))
@@ -91,14 +107,20 @@ def _trade(spark, sf_dir):
     """Links between parts and suppliers of the same order line, as one graph."""
     lines = read(spark, sf_dir, "lineitem")
     part, supp = F.concat(F.lit("p"), "l_partkey"), F.concat(F.lit("s"), "l_suppkey")
-    edges = lines.select(part.alias("url"), supp.alias("target_url")).filter(F.col("l_linenumber") == 1)
-    back = lines.select(supp.alias("url"), part.alias("target_url")).filter(F.col("l_linenumber") == 2)
-    return edges.unionByName(back).distinct()
+    edges = lines.select(part.alias("url"), supp.alias("target_url"))
+    back = lines.select(supp.alias("url"), part.alias("target_url")).filter(F.col("l_linenumber") > 1)
+    return edges.unionByName(back)
 
 
 def reachable_pages(spark, sf_dir):
     seeds = read(spark, sf_dir, "supplier").agg(F.concat(F.lit("s"), F.min("s_suppkey")).alias("url"))
-    return P.reachable_pages(_trade(spark, sf_dir), seeds, max_depth=3)
+    return P.reachable_pages(_trade(spark, sf_dir), seeds)
+
+
+def reachable_in_two(spark, sf_dir):
+    """The same walk, cut after two rounds."""
+    seeds = read(spark, sf_dir, "supplier").agg(F.concat(F.lit("s"), F.min("s_suppkey")).alias("url"))
+    return P.reachable_pages(_trade(spark, sf_dir), seeds, max_depth=2)
 
 
 def crawl_report(spark, sf_dir):
@@ -120,6 +142,13 @@ def unescape_html(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", T.unescape_html(F.col("html")).alias("page"))
 
 
+def unescape_entities(spark, sf_dir):
+    """Every page number as references: decimal, hexadecimal, a name with and without semicolon."""
+    number = F.col("page_id") + 161
+    text = F.concat(F.lit("&#"), number, F.lit("; &#x"), F.lower(F.hex(number)), F.lit("; &eacute; &eacutes &lt &#"), number, F.lit(" &unknown;"))
+    return pages(spark, sf_dir).select("page_id", T.unescape_html(text).alias("page"))
+
+
 def html_headline(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", H.headline(F.col("html")).alias("headline"))
 
@@ -171,12 +200,15 @@ QUERIES = {
         page_link_filters,
         resolve_url,
         next_frontier,
+        next_frontier_details,
         skip_reasons,
         skip_counts,
         reachable_pages,
+        reachable_in_two,
         crawl_report,
         decode_entities,
         unescape_html,
+        unescape_entities,
         html_headline,
         html_list_items,
         strip_tags,
@@ -241,6 +273,13 @@ reasons as (select url, case when url in (select url from visited) then 'visited
   when {slug('url')} in (select slug from slugs) then 'stored' else 'crawl' end as reason from queue)
 """
 
+# No shortest path in these tables is near forty steps long.
+_WALK = """with recursive edges as (
+        select 'p' || l_partkey as url, 's' || l_suppkey as target_url from lineitem union select 's' || l_suppkey, 'p' || l_partkey from lineitem where l_linenumber > 1),
+      walk(url, depth) as (select 's' || min(s_suppkey), 0 from supplier union
+        select target_url, depth + 1 from walk join edges using (url) where depth < {most})
+      select url, min(depth) as depth from walk group by url"""
+
 ORACLES = {
     "page_metadata": f"""select page_id, url, {TITLE} as title, '' as canonical, '' as robots,
       cast(length(html) as bigint) as page_size_uncompressed, cast(strlen(html) as bigint) as page_size_bytes from pages""",
@@ -259,23 +298,25 @@ ORACLES = {
     "resolve_url": "select page_id, ["
     + ", ".join(f"'{h}'" for h in HREFS)
     + f"][1 + page_id % {len(HREFS)}] as href, {_RESOLVED} as resolved from pages",
-    "next_frontier": f"""with {LINKS}, {VISITED},
+    "next_frontier": f"""with {LINKS.replace('from pages', "from (select page_id, url, case when page_id % 2 = 0 then replace(html, 'href=" + chr(34) + "/', 'href=" + chr(34) + "/en/') else html end as html from pages) p")}, {VISITED},
+      ranked as (select page_id, pos, target_url, row_number() over (partition by target_url order by page_id, pos) as n from links
+        where contains(target_url, '/en/') and not regexp_matches({PATH.replace('URL', 'url')}, '^/*en/[^/]'))
+      select page_id, pos, target_url from ranked where n = 1 and target_url not in (select url from visited)
+       and {slug('target_url')} not in (select {slug('url')} from pages)""",
+    "next_frontier_details": f"""with {LINKS}, {VISITED},
       ranked as (select page_id, pos, target_url, row_number() over (partition by target_url order by page_id, pos) as n from links)
       select page_id, pos, target_url from ranked where n = 1 and target_url not in (select url from visited)
        and {slug('target_url')} not in (select {slug('url')} from pages)""",
     "skip_reasons": f"with {LINKS}, {VISITED}, {_REASONS} select * from reasons",
     "skip_counts": f"with {LINKS}, {VISITED}, {_REASONS} select reason, count(*) as n_urls from reasons group by reason",
-    "reachable_pages": """with recursive edges as (
-        select 'p' || l_partkey as url, 's' || l_suppkey as target_url from lineitem where l_linenumber = 1
-        union select 's' || l_suppkey, 'p' || l_partkey from lineitem where l_linenumber = 2),
-      walk(url, depth) as (select 's' || min(s_suppkey), 0 from supplier union
-        select target_url, depth + 1 from walk join edges using (url) where depth < 3)
-      select url, min(depth) as depth from walk group by url""",
+    "reachable_pages": _WALK.format(most=40),
+    "reachable_in_two": _WALK.format(most=2),
     "crawl_report": """select count(*) as crawled, cast(7 as bigint) as skipped, round(count(*) / 120.0, 4) as crawl_rate,
       round(sum(value) / count(*), 4) as avg_response_time, cast(sum(length(props)) as bigint) as compressed_size,
       cast(sum(user_id) as bigint) as uncompressed_size from events""",
     "decode_entities": f"select page_id, {_entities(TITLE)} as title, {_entities('html')} as page from pages",
     "unescape_html": "select page_id, replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&') as page from pages",
+    "unescape_entities": "select page_id, chr(cast(page_id + 161 as integer)) || ' ' || chr(cast(page_id + 161 as integer)) || ' é és < ' || chr(cast(page_id + 161 as integer)) || ' &unknown;' as page from pages",
     "html_headline": f"select page_id, {_entities('trim(regexp_extract(html, $$(?i)<h1[^>]*>([^<]+)</h1>$$, 1))')} as headline from pages",
     "html_list_items": "select page_id, array_to_string(list_transform(regexp_extract_all(html, '(?i)<li><a[^>]*>([^<]+)</a></li>', 1), lambda x: trim(x)), '|') as items from pages",
     "strip_tags": "select page_id, regexp_replace(html, '<[^>]+>', '', 'g') as page_text from pages",

@@ -17,6 +17,7 @@ from checks.index_queries import (
 from sparkloom.functions import text as T
 from sparkloom.operators import field_search as B, index as I, leaves as L, search as S
 from sparkloom.operators.scale import scratch_path
+from sparkloom.plans import jobs
 
 
 def _matches(found):
@@ -122,14 +123,25 @@ def batch_topk(spark, sf_dir):
     return S.rank_tfidf(S.index_for(doc_tokens(spark, sf_dir), n_docs, queries), queries, k=10)
 
 
-def stored_index_search(spark, sf_dir):
-    """Search in an index written by bucket and read back; the second batch appends the other languages."""
+def _stored_in_two(spark, sf_dir, buckets):
+    """The index of all documents, written by two batches with their own numbers of buckets."""
     path = scratch_path(spark, "index")
     docs = documents(spark, sf_dir)
-    for mode, kept in (("overwrite", F.col("lang") == "en"), ("append", F.col("lang") != "en")):
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    for mode, kept, n in (("overwrite", english, buckets[0]), ("append", ~english, buckets[1])):
         some = docs.filter(kept)
-        I.write_index(I.postings(I.text_tokens(some)), some.count(), path, mode, buckets=8)
-    return S.rank_tfidf(I.read_index(spark, path), S.query_table(spark, RANK_EXPRS))
+        I.write_index(I.postings(I.text_tokens(some)), some.count(), path, mode, buckets=n)
+    return I.read_index(spark, path)
+
+
+def stored_index_search(spark, sf_dir):
+    """Search in an index written by bucket and read back; the second batch appends the other languages."""
+    return S.rank_tfidf(_stored_in_two(spark, sf_dir, (8, 8)), S.query_table(spark, RANK_EXPRS))
+
+
+def stored_index_mixed_buckets(spark, sf_dir):
+    """Whole statistics and a search where the second batch has another number of buckets."""
+    return S.rank_tfidf(_stored_in_two(spark, sf_dir, (8, 5)), S.query_table(spark, RANK_EXPRS))
 
 
 FIELD_QUERIES = (("f1", "red Widget"), ("f2", "Brand#17 economy SMALL small"), ("f3", "small ring"), ("f4", "size 7 bolt"))
@@ -194,6 +206,34 @@ def bm25_stored(spark, sf_dir):
     return B.field_scores(B.read_field_index(spark, path), wanted).withColumn("score", F.round("score", 6))
 
 
+def field_index_mixed_buckets(spark, sf_dir):
+    """Multi-field search in an index stored by two batches with their own numbers of buckets."""
+    path = scratch_path(spark, "fields")
+    records = part_documents(spark, sf_dir)
+    for mode, rest, n in (("overwrite", 0, 8), ("append", 1, 3)):
+        some = B.field_documents(records.filter(F.pmod("doc_id", F.lit(2)) == rest))
+        B.write_field_index(B.field_index(some), path, mode, n)
+    wanted = B.field_query_terms(_queries(spark))
+    return B.field_scores(B.read_field_index(spark, path), wanted).withColumn("score", F.round("score", 6))
+
+
+def create_search_index(spark, sf_dir):
+    """Records as JSON with their source, every ninth broken: the stored texts and the bad records."""
+    path = scratch_path(spark, "search")
+    parts = part_records(spark, sf_dir)
+    text = F.to_json(F.struct("id", "make", "tags"))
+    rows = parts.select(
+        F.concat(F.lit("part "), "doc_id").alias("name"),
+        F.when(F.col("doc_id") % 9 == 0, F.concat(F.lit("{"), text)).otherwise(text).alias("record"),
+        F.concat(F.lit("file "), F.pmod("doc_id", F.lit(3))).alias("source"),
+    )
+    for mode, rest in (("overwrite", 0), ("append", 1)):
+        jobs.create_search_index(rows.filter(F.pmod(F.length("name"), F.lit(2)) == rest), path, mode, 4)
+    stored = spark.read.parquet(f"{path}/documents").select("doc_id", "content", "source", F.lit(True).alias("good"))
+    bad = spark.read.schema("name string, record string").json(f"{path}/_corrupt")
+    return stored.unionByName(bad.select(F.col("name").alias("doc_id"), F.col("record").alias("content"), F.lit(None).cast("string").alias("source"), F.lit(False).alias("good")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -210,12 +250,15 @@ QUERIES = {
         search_report,
         batch_topk,
         stored_index_search,
+        stored_index_mixed_buckets,
         field_documents,
         record_content,
         bm25_multi_field,
         bm25_field_scoped,
         bm25_content,
         bm25_stored,
+        field_index_mixed_buckets,
+        create_search_index,
     )
 }
 
@@ -317,6 +360,12 @@ ORACLES = {
      scores as (select query_id, doc_id, round(sum(tf * idf_standard), 6) as score from postings join terms using (field, term) join wanted using (term) group by query_id, doc_id)
      select query_id, doc_id, score, cast(rank as integer) as rank from (select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from scores) r where rank <= 10""",
     "stored_index_search": _rank_sql("tfidf"),
+    "stored_index_mixed_buckets": _rank_sql("tfidf"),
+    "field_index_mixed_buckets": f"with {PART_FIELDS}, {_WANTED}, {_BM25} select * from scores",
+    "create_search_index": """with p as (select 'part ' || p_partkey as name, p_partkey % 9 = 0 as bad, 'file ' || (p_partkey % 3) as source,
+        concat_ws(chr(10), p_brand, p_type, p_type, 'size ' || p_size) as content,
+        '{{"id":' || p_size || ',"make":{"Brand Name":' || to_json(p_brand) || ',"type":' || to_json(p_type) || '},"tags":[' || to_json(p_type) || ',' || to_json('size ' || p_size) || ']}' as broken from part)
+      select name as doc_id, case when bad then broken else content end as content, case when not bad then source end as source, not bad as good from p""",
     "field_documents": f"with {PART_FIELDS} select doc_id, field, array_to_string(tokens, ' ') as tokens from fields",
     "record_content": "select p_partkey as doc_id, concat_ws(chr(10), p_brand, p_type, p_type, 'size ' || p_size) as content from part",
     "bm25_multi_field": f"with {PART_FIELDS}, {_WANTED}, {_BM25} select * from scores",

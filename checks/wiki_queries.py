@@ -110,22 +110,45 @@ def wiki_dedupe(spark, sf_dir):
 
 
 def chunk_order(spark, sf_dir):
-    """Files with their rank by number, not by name."""
-    from pyspark.sql import Window
-
+    """Files with their number, by which they sort instead of by name."""
     files = wiki(spark, sf_dir).select(F.regexp_replace("chunk", r"\.xml$", "_filtered.xml").alias("chunk")).distinct()
-    numbered = files.withColumn("chunk_no", readers.chunk_number(F.col("chunk")))
-    return numbered.withColumn("place", F.row_number().over(Window.orderBy("chunk_no")).cast("bigint"))
+    return files.withColumn("chunk_no", readers.chunk_number(F.col("chunk")))
+
+
+def _whole_pages(spark, sf_dir):
+    """Fixture pages as an export has them: two revisions, contributor, time; every tenth without a title."""
+    rows = wiki(spark, sf_dir)
+    number = F.col("wiki_id")
+
+    def revision(add, text):
+        who = F.struct(F.lit(None).cast("string").alias("_deleted"), F.concat(F.lit("user "), number % 5).alias("username"), (number % 5).alias("id"), F.lit(None).cast("string").alias("ip"))
+        parts = {"id": number * 10 + add, "timestamp": F.concat(F.lit("2024-01-0"), number % 9 + 1, F.lit("T00:00:00Z")), "contributor": who, "text": F.struct(text.alias("_VALUE"))}
+        return F.struct(*[c.alias(n) for n, c in parts.items()])
+
+    title = F.when(number % 10 != 0, F.col("title"))
+    page = F.struct(title.alias("title"), (number % 3).alias("ns"), number.alias("id"), F.array(revision(1, F.col("text")), revision(0, F.lit("older"))).alias("revision"))
+    return rows.withColumns({"title": title, "page": page})
 
 
 def dump_round_trip(spark, sf_dir):
-    """Pages with a box written as XML chunks, read back in chunk order, then extracted."""
+    """Pages with a box written whole as XML chunks, read back in chunk order, then extracted; pages without title are dropped only here."""
     path = scratch_path(spark, "chunks")
-    writers.write_filtered_pages(R.pages_with_template(wiki(spark, sf_dir)), path)
+    writers.write_filtered_pages(R.pages_with_template(_whole_pages(spark, sf_dir)), path)
     pages = readers.read_filtered_chunks(spark, path)
     return _flat(R.extract_wiki_records(pages).select("chunk", "chunk_no", "wiki_id", "animal_name", "genus", "abstract", "categories"))
 
 
+def whole_pages_round_trip(spark, sf_dir):
+    """Everything of filtered and merged pages: namespace, revisions, times, contributors, pages without title."""
+    first, second = scratch_path(spark, "chunks"), scratch_path(spark, "merged")
+    writers.write_filtered_pages(R.pages_with_template(_whole_pages(spark, sf_dir)), first)
+    writers.write_merged_chunks(readers.read_filtered_chunks(spark, first), second)
+    p = readers.read_dump_pages(spark, second).select("wiki_id", "text", "page.*")
+    revisions = F.array_join(F.transform("revision", lambda r: F.concat_ws(" ", r["id"], r["timestamp"], r["contributor"]["username"], r["contributor"]["id"])), "|")
+    last = F.element_at("revision", -1)["text"]["_VALUE"].alias("last_text")
+    return p.select("wiki_id", "title", "ns", "id", revisions.alias("revisions"), F.md5("text").alias("text"), last)
+
+
 def merged_chunks(spark, sf_dir):
     """All pages of all chunks written as one data set and counted again."""
     path = scratch_path(spark, "merged")
@@ -148,14 +171,28 @@ def records_round_trip(spark, sf_dir):
 
 
 def key_records(spark, sf_dir):
-    """Records keyed by the first usable of several columns; of equal keys the last record stays."""
+    """Records keyed by the first usable of the left candidates; of equal keys the last record stays."""
     events = read(spark, sf_dir, "events")
     rows = events.select(
         F.col("event_id").alias("i"),
-        F.when(F.col("user_id") % 3 == 0, F.lit("")).when(F.col("user_id") % 3 == 1, F.concat(F.lit("u"), "user_id")).alias("a"),
-        F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("b"),
+        F.when(F.col("user_id") % 3 == 0, F.lit("")).when(F.col("user_id") % 3 == 1, F.concat(F.lit("u"), "user_id")).alias("common_name"),
+        F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("name"),
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("k"), "user_id")).alias("key"),
     )
-    return R.key_records(rows, "i", F.col("a"), F.col("b")).select("key", "i")
+    return R.key_records(rows, "i", *R.left_key_candidates(rows)).select("key", "i")
+
+
+def key_right_records(spark, sf_dir):
+    """The right candidates, with a column missing."""
+    parts = read(spark, sf_dir, "part")
+    rows = parts.select(
+        F.col("p_partkey").alias("i"),
+        F.when(F.col("p_size") % 4 == 0, F.col("p_name")).alias("animal_name"),
+        F.when(F.col("p_size") % 4 != 3, F.col("p_type")).alias("genus"),
+        F.when(F.col("p_size") % 4 == 1, F.col("p_brand")).otherwise("").alias("species"),
+        F.when(F.col("p_size") % 3 == 0, F.col("p_partkey")).alias("wiki_id"),
+    )
+    return R.key_records(rows, "i", *R.right_key_candidates(rows)).select("key", "i")
 
 
 QUERIES = {
@@ -180,10 +217,12 @@ QUERIES = {
         wiki_dedupe,
         chunk_order,
         dump_round_trip,
+        whole_pages_round_trip,
         merged_chunks,
         merge_summary,
         records_round_trip,
         key_records,
+        key_right_records,
     )
 }
 
@@ -279,14 +318,20 @@ ORACLES = {
         l_linenumber || '/' || l_partkey as text, 'chunk_' || l_linenumber as chunk from lineitem),
       ranked as (select *, row_number() over (partition by wiki_id, case when wiki_id is null then title end order by chunk, title, text) as n from pages)
       select wiki_id, title, text, chunk from ranked where n = 1""",
-    "chunk_order": """select 'chunk_' || n || '_filtered.xml' as chunk, n as chunk_no, row_number() over (order by n) as place
+    "chunk_order": """select 'chunk_' || n || '_filtered.xml' as chunk, n as chunk_no
       from (select distinct doc_id % 12 as n from documents) d""",
     "dump_round_trip": f"""with {FX_DOCS} select replace(chunk, '.xml', '_filtered.xml') as chunk, wiki_id % 12 as chunk_no, wiki_id, title as animal_name,
-      {_field('genus')} as genus, {ABSTRACT} as abstract, {CATEGORIES} as categories from docs where block is not null""",
+      {_field('genus')} as genus, {ABSTRACT} as abstract, {CATEGORIES} as categories from docs where block is not null and wiki_id % 10 <> 0""",
+    "whole_pages_round_trip": f"""with {FX_DOCS}, v as (select *, '2024-01-0' || (wiki_id % 9 + 1) || 'T00:00:00Z user ' || (wiki_id % 5) || ' ' || (wiki_id % 5) as rest from docs where block is not null)
+      select wiki_id, case when wiki_id % 10 <> 0 then title end as title, wiki_id % 3 as ns, wiki_id as id,
+       (wiki_id * 10 + 1) || ' ' || rest || '|' || (wiki_id * 10) || ' ' || rest as revisions, md5(text) as text, 'older' as last_text from v""",
     "merged_chunks": f"with {FX} select wiki_id, title, text from fx",
     "merge_summary": rf"with {FX} select count(*) as total_pages, count(distinct chunk) as files_merged from fx where regexp_matches(text, '(?i)\{{\{{\s*speciesbox')",
     "records_round_trip": f"with {FX_DOCS} select wiki_id, title as animal_name, {_field('genus')} as genus, {CATEGORIES} as categories from docs",
     "key_records": """with keyed as (select event_id as i, coalesce(case when user_id % 3 = 1 then 'u' || user_id end,
-        case when event_id % 2 = 0 then nullif(event_type, '') end, 'row_' || event_id) as key from events)
+        case when event_id % 2 = 0 then nullif(event_type, '') end, case when event_id % 5 = 0 then 'k' || user_id end, 'row_' || event_id) as key from events)
+      select key, max(i) as i from keyed group by key""",
+    "key_right_records": """with keyed as (select p_partkey as i, coalesce(case when p_size % 4 = 0 then nullif(p_name, '') end,
+        case when p_size % 4 = 1 then p_type || ' ' || p_brand end, case when p_size % 3 = 0 then cast(p_partkey as varchar) end, 'row_' || p_partkey) as key from part)
       select key, max(i) as i from keyed group by key""",
 }

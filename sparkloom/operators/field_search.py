@@ -1,5 +1,6 @@
 """Multi-field full-text search scored with BM25, for many queries at once."""
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -7,20 +8,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sparkloom.fixed_values import BM25_B, BM25_K1
 from sparkloom.functions.columns import bind
 from sparkloom.functions.text import analyze
-from sparkloom.operators.index import BUCKETS, store_postings, term_bucket
+from sparkloom.operators.index import BUCKETS, StoredIndex, read_batches, store_batch
 from sparkloom.operators.leaves import content
-from sparkloom.operators.scale import hinted, settle, top_k
+from sparkloom.operators.scale import cut_lineage, hinted, lookup_join, settle, top_k
 
 NAME, CONTENT, EXACT = "name", "content", "exact_name"
 
 
 class FieldIndex(NamedTuple):
-    """``postings (field, term, doc_id, dl, tf)``, ``terms (field, term, df)``, ``stats (field, n_docs, total)``."""
+    """``postings (field, term, doc_id, dl, tf)``, ``terms (field, term, df)``, ``stats (field, n_docs, total)``.
+
+    A stored index has ``narrow``: the same index reduced to the rows of wanted terms.
+    """
 
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
-    buckets: int | None = None
+    narrow: "Callable[[DataFrame], FieldIndex] | None" = None
 
 
 def search_documents(
@@ -80,6 +84,9 @@ def text_fields(df: DataFrame, columns: dict[str, Column], id_col: str = "doc_id
     )
 
 
+_WHOLE = "\0"
+
+
 def field_index(rows: DataFrame, only: DataFrame | None = None) -> FieldIndex:
     """Index of ``(doc_id, field, tokens)``; with ``only (field, term)`` just of these terms.
 
@@ -87,30 +94,45 @@ def field_index(rows: DataFrame, only: DataFrame | None = None) -> FieldIndex:
     """
     rows = rows.filter(F.size("tokens") > 0)
     length = F.size("tokens").cast("bigint")
-    tokens = rows.select("doc_id", "field", length.alias("dl"), F.explode("tokens").alias("term"))
+    # A term of its own stands for the document's field as a whole, so lengths come from the same pass as postings.
+    # Joins need both keys; saying so here keeps the two uses of the pass equal, and Spark runs it once.
+    terms = F.concat(F.array(F.lit(_WHOLE)), F.col("tokens"))
+    tokens = rows.select("doc_id", "field", length.alias("dl"), F.explode(terms).alias("term"))
+    tokens = tokens.filter(F.col("field").isNotNull() & F.col("term").isNotNull())
     if only is not None:
         only, small = settle(only)
-        tokens = tokens.join(hinted(only, small), ["field", "term"], "left_semi")
-    postings = tokens.groupBy("field", "term", "doc_id", "dl").agg(F.count("*").alias("tf"))
+        if small:
+            flagged = tokens.join(F.broadcast(only.withColumn("_wanted", F.lit(True))), ["field", "term"], "left")
+            tokens = flagged.filter(F.col("_wanted") | (F.col("term") == _WHOLE)).drop("_wanted")
+        else:
+            counted = tokens.filter(F.col("term") != _WHOLE).groupBy("field", "term", "doc_id", "dl").agg(F.count("*").alias("tf"))
+            postings = lookup_join(counted, only, ["field", "term"], ["doc_id"], "left_semi")
+            return _field_index(postings, tokens.filter(F.col("term") == _WHOLE).withColumn("tf", F.lit(1)))
+    counted = tokens.groupBy("field", "term", "doc_id", "dl").agg(F.count("*").alias("tf"), F.bool_or(F.col("term") == _WHOLE).alias("_whole"))
+    return _field_index(counted.filter(~F.col("_whole")).drop("_whole"), counted.filter("_whole").drop("_whole"))
+
+
+def _field_index(postings: DataFrame, whole: DataFrame) -> FieldIndex:
     terms = postings.groupBy("field", "term").agg(F.count_if(F.col("tf") > 0).alias("df"))
-    stats = rows.groupBy("field").agg(F.count("*").alias("n_docs"), F.sum(length).alias("total"))
+    stats = whole.groupBy("field").agg(F.count_if(F.col("tf") > 0).alias("n_docs"), F.sum("dl").alias("total"))
     return FieldIndex(postings, terms, stats)
 
 
 def write_field_index(index: FieldIndex, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
-    """Store the index by term bucket; ``mode="append"`` adds further documents."""
-    stored = store_postings(index.postings, f"{path}/postings", mode, buckets)
-    terms = stored.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
-    terms.write.mode(mode).parquet(f"{path}/terms")
-    index.stats.withColumn("buckets", F.lit(buckets)).write.mode(mode).parquet(f"{path}/stats")
+    """Store the index by term bucket; ``mode="append"`` adds further documents, with any number of buckets."""
+    store_batch(index.postings, lambda _: index.stats, path, mode, buckets)
 
 
 def read_field_index(spark: SparkSession, path: str) -> FieldIndex:
-    terms = spark.read.parquet(f"{path}/terms").groupBy("bucket", "field", "term").agg(F.sum("df").alias("df"))
-    stored = spark.read.parquet(f"{path}/stats")
-    stats = stored.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("total").alias("total"))
-    buckets = stored.agg(F.max("buckets")).first()[0]
-    return FieldIndex(spark.read.parquet(f"{path}/postings").drop("batch"), terms, stats, buckets)
+    """Stored index; counts and lengths of its committed batches are added up."""
+    whole = read_batches(spark, path)
+    stats = whole.sizes.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("total").alias("total"))
+
+    def index(part: StoredIndex, narrow) -> FieldIndex:
+        terms = part.freqs.groupBy("field", "term").agg(F.sum("df").alias("df"))
+        return FieldIndex(part.postings.drop("batch", "bucket"), terms, stats, narrow)
+
+    return index(whole, lambda wanted: index(whole.narrowed(wanted), None))
 
 
 def field_query_terms(queries: DataFrame, fields: tuple[str, ...] = (NAME, CONTENT, EXACT)) -> DataFrame:
@@ -145,19 +167,20 @@ def bm25(tf: Column, df: Column, dl: Column, n_docs: Column, total: Column) -> C
 def field_scores(index: FieldIndex, wanted: DataFrame, exact_lengths: bool = False) -> DataFrame:
     """Rows ``(query_id, doc_id, score)``: BM25 summed over the terms and fields of ``wanted``."""
     wanted, small = settle(wanted)
-    postings, terms = index.postings, index.terms
-    if index.buckets and small:
-        buckets = [r[0] for r in wanted.select(term_bucket(index.buckets)).distinct().collect()]
-        postings, terms = (t.filter(F.col("bucket").isin(buckets)) for t in (postings, terms))
-    weighted = terms.drop("bucket").join(hinted(wanted, small), ["field", "term"])
+    if small and index.narrow:
+        index = index.narrow(wanted)
+    postings = index.postings
+    weighted = index.terms.join(hinted(wanted, small), ["field", "term"])
     # At most one row per wanted term is left of the statistics.
     stats = index.stats.join(hinted(wanted.select("field").distinct(), small), "field", "left_semi")
     weighted = weighted.join(hinted(stats, small), "field")
     if small:
         # A document's postings of query terms meet before they multiply by queries.
-        kept = hinted(wanted.select("field", "term").distinct(), small)
-        postings = postings.join(kept, ["field", "term"]).repartition("doc_id")
-    hits = postings.join(hinted(weighted, small), ["field", "term"])
+        kept = F.broadcast(wanted.select("field", "term").distinct())
+        hits = postings.join(kept, ["field", "term"]).repartition("doc_id").join(F.broadcast(weighted), ["field", "term"])
+    else:
+        # A stop word holds a good part of all postings, so its rows are spread.
+        hits = lookup_join(postings, weighted, ["field", "term"], ["doc_id"], "inner")
     dl = F.col("dl") if exact_lengths else stored_length(F.col("dl"))
     score = F.col("qtf") * bm25(F.col("tf"), F.col("df"), dl, F.col("n_docs"), F.col("total"))
     return hits.groupBy("query_id", "doc_id").agg(F.sum(score).alias("score"))

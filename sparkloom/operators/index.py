@@ -5,8 +5,11 @@ term; index terms hold no ``_``, so the pair loses nothing against one fused str
 """
 
 import uuid
+from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sparkloom.fixed_values import FIELD_TERM_MAX_CHARS
@@ -19,12 +22,12 @@ BUCKETS = 256
 class Index(NamedTuple):
     """``postings (field, term, doc_id, tf)`` and ``terms (field, term, df, idf_standard, idf_smooth)``.
 
-    A stored index has a ``bucket`` column in both and tells the number of buckets.
+    A stored index has ``narrow``: the same index reduced to the rows of wanted terms.
     """
 
     postings: DataFrame
     terms: DataFrame
-    buckets: int | None = None
+    narrow: "Callable[[DataFrame], Index] | None" = None
 
 
 def tokens(leaves: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ def sorted_index(index: Index) -> DataFrame:
 
     The document is part of the sort key, so a very frequent term is sorted by many tasks.
     """
-    joined = lookup_join(index.postings, index.terms.drop("bucket"), ["field", "term"], ["doc_id"], "inner")
+    joined = lookup_join(index.postings, index.terms, ["field", "term"], ["doc_id"], "inner")
     return joined.orderBy("field", "term", "doc_id")
 
 
@@ -101,50 +104,138 @@ def term_bucket(buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64("field", "term"), F.lit(buckets)).cast("int")
 
 
-def store_postings(table: DataFrame, path: str, mode: str, buckets: int) -> DataFrame:
-    """Write postings by batch and term bucket, sorted, and return what was written with its ``bucket``.
+# Terms named to the scan itself; more are found by their buckets and the join.
+_NAMED_TERMS = 1000
 
-    Rebalancing splits the bucket of a very frequent term into files of normal size.
+
+class Commit(NamedTuple):
+    """One committed write of a stored index, with its own number of buckets and the columns it stored."""
+
+    batch: str
+    buckets: int
+    generation: int
+    postings: str
+    sizes: str
+
+
+_COMMIT = "batch string, buckets int, generation int, postings string, sizes string"
+
+
+def _stored(table: DataFrame, path: str, batch: str) -> DataFrame:
+    """Write a table with a ``bucket`` as one batch and return what was written.
+
+    Batches are only ever added: what counts is said by the commit rows. Rebalancing splits the bucket of a very
+    frequent term into files of normal size.
     """
-    batch = uuid.uuid4().hex
-    placed = table.withColumns({"batch": F.lit(batch), "bucket": term_bucket(buckets)}).hint("rebalance", "bucket")
-    placed = placed.sortWithinPartitions("bucket", "field", "term", "doc_id")
-    placed.write.mode(mode).partitionBy("batch", "bucket").parquet(path)
-    spark = table.sparkSession
-    added = [T.StructField("batch", T.StringType()), T.StructField("bucket", T.IntegerType())]
-    stored = T.StructType(table.schema.fields + added)
-    return spark.read.schema(stored).parquet(path).filter(F.col("batch") == batch)
+    placed = table.withColumn("batch", F.lit(batch)).hint("rebalance", "bucket")
+    order = [c for c in ("bucket", "field", "term", "doc_id") if c in table.columns]
+    placed.sortWithinPartitions(*order).write.mode("append").partitionBy("batch", "bucket").parquet(path)
+    kept = [f for f in table.schema.fields if f.name != "bucket"]
+    schema = T.StructType([*kept, T.StructField("batch", T.StringType()), T.StructField("bucket", T.IntegerType())])
+    return table.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch") == batch)
+
+
+def store_batch(postings_df: DataFrame, sizes: Callable[[DataFrame], DataFrame], path: str, mode: str, buckets: int) -> None:
+    """Store postings, term counts and ``sizes`` (made from the stored postings), then commit them by one row.
+
+    The commit is written last and alone: a job that dies before leaves files that no
+    reader looks at, and running it again adds nothing twice. ``mode="overwrite"`` starts
+    a new generation, which hides all batches before.
+    """
+    spark, batch = postings_df.sparkSession, uuid.uuid4().hex
+    stored = _stored(postings_df.withColumn("bucket", term_bucket(buckets)), f"{path}/postings", batch)
+    freqs = stored.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
+    _stored(freqs, f"{path}/freqs", batch)
+    size = sizes(stored)
+    size.withColumn("batch", F.lit(batch)).write.mode("append").partitionBy("batch").parquet(f"{path}/sizes")
+    last = max((c.generation for c in _commits(spark, path)), default=0)
+    generation = last + 1 if mode == "overwrite" or not last else last
+    commit = Commit(batch, buckets, generation, _ddl(postings_df), _ddl(size))
+    spark.createDataFrame([commit], _COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _commits(spark: SparkSession, path: str) -> list[Commit]:
+    """All commits, one short row per write; none before the first."""
+    try:
+        return [Commit(*row) for row in spark.read.schema(_COMMIT).parquet(f"{path}/commits").collect()]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+class StoredIndex(NamedTuple):
+    """Committed rows of a stored index: ``postings``, ``freqs (field, term, df)`` per batch, ``sizes``."""
+
+    postings: DataFrame
+    freqs: DataFrame
+    sizes: DataFrame
+    batches: tuple[Commit, ...]
+
+    def narrowed(self, wanted: DataFrame) -> "StoredIndex":
+        """Only the files of the buckets that wanted terms ``(field, term)`` lie in, by each batch's own number of buckets.
+
+        Up to ``_NAMED_TERMS`` terms are named to the scan too, which skips row groups, as files are sorted by term.
+        ``wanted`` must be small; the caller has checked it.
+        """
+        counts = sorted({b.buckets for b in self.batches})
+        places = wanted.select("field", "term", *[term_bucket(n).alias(f"b{n}") for n in counts]).distinct().collect()
+        parts = [
+            F.col("batch").isin([b.batch for b in self.batches if b.buckets == n]) & F.col("bucket").isin(sorted({p[f"b{n}"] for p in places}))
+            for n in counts
+        ]
+        kept = reduce(Column.__or__, parts, F.lit(False))
+        terms = sorted({p["term"] for p in places})
+        if len(terms) <= _NAMED_TERMS:
+            kept = kept & F.col("term").isin(terms)
+        return self._replace(postings=self.postings.filter(kept), freqs=self.freqs.filter(kept))
+
+
+def read_batches(spark: SparkSession, path: str) -> StoredIndex:
+    commits = _commits(spark, path)
+    now = max((c.generation for c in commits), default=0)
+    batches = tuple(sorted(c for c in commits if c.generation == now))
+    if not batches:
+        raise ValueError(f"no committed index in {path}")
+    mine = F.col("batch").isin([b.batch for b in batches])
+
+    def table(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{path}/{name}").filter(mine)
+
+    placed = ", batch string, bucket int"
+    return StoredIndex(
+        table("postings", batches[0].postings + placed),
+        table("freqs", "field string, term string, df bigint" + placed),
+        table("sizes", batches[0].sizes + ", batch string"),
+        batches,
+    )
 
 
 def write_index(postings_df: DataFrame, n_docs: int, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
     """Store an index by term bucket, so that a lookup reads the buckets of its terms only.
 
     Document counts come from the two key columns of the stored postings; the texts are
-    not read again. ``mode="append"`` adds the postings of further documents.
+    not read again. ``mode="append"`` adds the postings of further documents, with any number of buckets.
     """
-    spark = postings_df.sparkSession
-    stored = store_postings(postings_df, f"{path}/postings", mode, buckets)
-    freqs = stored.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
-    freqs.write.mode(mode).parquet(f"{path}/freqs")
-    size = spark.range(1).select(F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(buckets).alias("buckets"))
-    size.write.mode(mode).parquet(f"{path}/sizes")
+    size = lambda stored: stored.sparkSession.range(1).select(F.lit(n_docs).cast("bigint").alias("n_docs"))
+    store_batch(postings_df, size, path, mode, buckets)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    """Stored index; counts of several batches are added up and weighed by all documents."""
-    sizes = spark.read.parquet(f"{path}/sizes")
-    n_docs = sizes.agg(F.sum("n_docs")).scalar()
-    freqs = spark.read.parquet(f"{path}/freqs").groupBy("bucket", "field", "term").agg(F.sum("df").alias("df"))
-    terms = freqs.select(
-        "bucket",
-        "field",
-        "term",
-        "df",
-        idf_standard(F.col("df"), n_docs).alias("idf_standard"),
-        idf_smooth(F.col("df"), n_docs).alias("idf_smooth"),
-    )
-    buckets = sizes.agg(F.max("buckets")).first()[0]
-    return Index(spark.read.parquet(f"{path}/postings").drop("batch"), terms, buckets)
+    """Stored index; counts of its committed batches are added up and weighed by all documents."""
+    whole = read_batches(spark, path)
+    n_docs = whole.sizes.agg(F.sum("n_docs")).scalar()
+
+    def index(part: StoredIndex, narrow) -> Index:
+        freqs = part.freqs.groupBy("field", "term").agg(F.sum("df").alias("df"))
+        weights = idf_standard(F.col("df"), n_docs).alias("idf_standard"), idf_smooth(F.col("df"), n_docs).alias("idf_smooth")
+        return Index(part.postings.drop("batch", "bucket"), freqs.select("field", "term", "df", *weights), narrow)
+
+    return index(whole, lambda wanted: index(whole.narrowed(wanted), None))
 
 
 def doc_universe(postings_df: DataFrame) -> DataFrame:

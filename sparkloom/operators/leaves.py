@@ -58,13 +58,12 @@ def typed_leaves(df: DataFrame, columns: list[str]) -> Column:
 
 
 _JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_MAX_LEVELS = 1000  # JSON nested deeper is refused by the parser
 
 
 def _levels(text: Column) -> Column:
     """No fewer than the levels of a JSON text: its opening brackets outside of strings."""
     brackets = F.regexp_count(F.regexp_replace(text, _JSON_STRING, ""), F.lit(r"[{\[]"))
-    return F.least(F.greatest(F.coalesce(brackets, F.lit(1)), F.lit(1)), F.lit(_MAX_LEVELS))
+    return F.greatest(F.coalesce(brackets, F.lit(1)), F.lit(1))
 
 
 def variant_leaves(
@@ -124,11 +123,20 @@ def variant_leaves(
 
 
 def json_leaves(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """Rows ``(doc_id, pos, path, key, value)`` of the leaves of a JSON text column."""
-    leaves = variant_leaves(F.parse_json(json_col), text=F.col(json_col))
+    """Rows ``(doc_id, pos, path, key, value)`` of the leaves of a JSON text column.
+
+    Text that is no JSON has no leaves; ``malformed_json`` gives those rows out.
+    """
+    leaves = variant_leaves(F.try_parse_json(json_col), text=F.col(json_col))
     return _exploded(df, id_col, leaves)
 
 
+def malformed_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """Rows ``(doc_id, text)`` whose text is no JSON; NULL is not malformed."""
+    bad = F.col(json_col).isNotNull() & F.try_parse_json(json_col).isNull()
+    return df.filter(bad).select(F.col(id_col).alias("doc_id"), F.col(json_col).alias("text"))
+
+
 def record_leaves(df: DataFrame, id_col: str, columns: list[str] | None = None) -> DataFrame:
     """Rows ``(doc_id, pos, path, key, value)`` of the leaves of typed columns."""
     columns = columns or [c for c in df.columns if c != id_col]

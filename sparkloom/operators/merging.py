@@ -10,26 +10,44 @@ from sparkloom.operators.scale import lookup_join
 REDUNDANT = ("animal_name", "status", "taxon", "matched_name", "genus")
 
 
+def _as_text(col: Column, kind: T.DataType) -> Column:
+    return F.to_json(col) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else col.cast("string")
+
+
 def _merged_column(name: str, left: T.DataType | None, right: T.DataType | None) -> Column:
     """Value of one column of both sides, by type.
 
-    One side only: that side. Lists: ordered union. Differing scalars: a list of both, so
-    scalar columns of both sides become lists. Other pairs: the left value.
+    One side only: that side. Lists: ordered union, of texts where their items differ in kind. Differing
+    scalars: a list of both, so scalar columns of both sides become lists. Other
+    pairs: the left value, or the right one where the left is NULL; when their kinds differ the column
+    has a common kind: a list of texts if one side is a list, else text, nested values as JSON.
     """
     a, b = F.col(f"l_{name}"), F.col(f"r_{name}")
     if right is None:
         return a.alias(name)
     if left is None:
         return b.alias(name)
+    nested = (T.ArrayType, T.MapType, T.StructType)
     if isinstance(left, T.ArrayType) and isinstance(right, T.ArrayType):
+        if left.elementType != right.elementType:
+            a, b = (F.transform(c, lambda x, k=k.elementType: _as_text(x, k)) for c, k in ((a, left), (b, right)))
         union = F.when(a == b, b).otherwise(F.array_distinct(F.concat(a, b)))
         return F.coalesce(union, a, b).alias(name)
-    nested = (T.ArrayType, T.MapType, T.StructType)
     if not isinstance(left, nested) and not isinstance(right, nested):
         kind = left if left == right else T.StringType()
         both = F.array(a.cast(kind), b.cast(kind))
         return empty_to_null(F.array_distinct(F.filter(both, lambda x: x.isNotNull()))).alias(name)
-    return a.alias(name) if left != right else F.coalesce(a, b).alias(name)
+    if left != right:
+        as_list = isinstance(left, T.ArrayType) or isinstance(right, T.ArrayType)
+        a, b = (_common(c, k, as_list) for c, k in ((a, left), (b, right)))
+    return F.coalesce(a, b).alias(name)
+
+
+def _common(col: Column, kind: T.DataType, as_list: bool) -> Column:
+    if isinstance(kind, T.ArrayType):
+        return F.transform(col, lambda x: _as_text(x, kind.elementType))
+    text = _as_text(col, kind)
+    return F.when(text.isNotNull(), F.array(text)) if as_list else text
 
 
 def merge_records(left: DataFrame, right: DataFrame, matches: DataFrame) -> DataFrame:
@@ -155,29 +173,35 @@ def match_type_counts(matches: DataFrame) -> DataFrame:
     return counts.select("match_type", F.try_element_at(labels, F.col("match_type")).alias("label"), "n_keys")
 
 
-def match_stats(merged: DataFrame, rest: DataFrame) -> DataFrame:
-    """One row of totals over merged records (before ``finish_merged``) and right-only ones."""
+def counted_flags(merged: DataFrame) -> DataFrame:
+    """Merged records (before ``finish_merged``) with what ``match_stats`` counts: ``n_appended``, ``n_alternatives``."""
     names = F.coalesce(_column(merged, "scientific_names", "array<string>"), empty_array())
     name = _column(merged, "scientific_name", "string")
     left_alt = union_of_names(_column(merged, "common_name_alternative", "array<string>"))
     right_alt = union_of_names(_column(merged, "animal_name_alternative", "array<string>"))
-    per_type = [
-        F.count_if(F.col("match_type") == code).alias(f"match_type_{code}") for code in MATCH_RULE_LABELS
-    ]
-    sums = merged.agg(
-        F.count("*").alias("total_records"),
-        F.count("match_type").alias("matched_records"),
-        F.count_if(F.col("match_type").isNull()).alias("unmatched_records"),
+    appended = F.coalesce((name != "") & ~F.array_contains(names, name), F.lit(False)).cast("int")
+    return merged.withColumns({"n_appended": appended, "n_alternatives": F.size(F.array_except(right_alt, left_alt))})
+
+
+def match_stats(records: DataFrame) -> DataFrame:
+    """One row of totals over the union of merged and right-only records; one aggregate, no join.
+
+    ``records`` is ``merged_union(finish_merged(counted_flags(merged)), rest)``.
+    """
+    merged = F.col("origin") == "merged"
+    per_type = [F.count_if(merged & (F.col("match_type") == code)).alias(f"match_type_{code}") for code in MATCH_RULE_LABELS]
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(merged, F.col(name))), F.lit(0)).cast("bigint")
+
+    sums = records.agg(
+        F.count_if(merged).alias("total_records"),
+        F.count_if(merged & F.col("match_type").isNotNull()).alias("matched_records"),
+        F.count_if(merged & F.col("match_type").isNull()).alias("unmatched_records"),
         *per_type,
-        F.count_if((name != "") & ~F.array_contains(names, name)).alias("appended_scientific"),
-        F.coalesce(F.sum(F.size(F.array_except(right_alt, left_alt))), F.lit(0)).cast("bigint").alias("alt_names_merged"),
-        F.count("wiki_id").alias("merged_ids"),
-    )
-    n_rest = rest.select(F.count("*")).scalar()
-    rest_ids = rest.select(F.count("meta.wiki_id")).scalar()
-    return sums.select(
-        *[c for c in sums.columns if c != "merged_ids"],
-        (F.col("merged_ids") + rest_ids).alias("with_meta_wiki_id"),
-        n_rest.alias("right_only_records"),
-        F.coalesce(F.try_divide("matched_records", "total_records"), F.lit(0.0)).alias("match_rate"),
+        total("n_appended").alias("appended_scientific"),
+        total("n_alternatives").alias("alt_names_merged"),
+        F.count("meta.wiki_id").alias("with_meta_wiki_id"),
+        F.count_if(F.col("origin") == "right_only").alias("right_only_records"),
     )
+    return sums.withColumn("match_rate", F.coalesce(F.try_divide("matched_records", "total_records"), F.lit(0.0)))

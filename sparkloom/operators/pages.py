@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkloom.functions import html as H, urls as U
-from sparkloom.operators.scale import BROADCAST_ROWS, cut_lineage, lookup_join
+from sparkloom.operators.scale import BROADCAST_BYTES, byte_size, cut_lineage, lookup_join, scratch_path
 
 
 def page_metadata(pages: DataFrame) -> DataFrame:
@@ -67,32 +67,26 @@ def next_frontier(
 def reachable_pages(links: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Rows ``(url, depth)`` of all pages reached from ``seeds (url)`` over ``links (url, target_url)``.
 
-    One round per depth. Each round's pages are written to the shared folder, so the plan
-    stays short and lost executors repeat one round only. A round of few pages is
-    broadcast (its size is known); larger ones are joined by shuffle, hot sources salted.
+    The edges are stored once, so no round parses a page again. One round per depth adds its pages to one table in
+    the shared folder, which the next round reads once; lost executors repeat one round
+    only. A round of few bytes is broadcast; larger ones are joined by shuffle, hot sources salted.
     """
-    edges = links.select("url", "target_url")
-    seen = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
-    rounds = [seen]
-    depth, n_new = 0, seen.count()
-    while n_new and (max_depth is None or depth < max_depth):
+    spark = links.sparkSession
+    edges = cut_lineage(links.select("url", "target_url").filter(F.col("target_url").isNotNull()).distinct())
+    seen, depth = scratch_path(spark, "seen"), 0
+    schema = f"url {seeds.schema['url'].dataType.simpleString()}, depth int"
+    seeds.select("url").distinct().write.parquet(f"{seen}/depth=0")
+    while max_depth is None or depth < max_depth:
+        now = spark.read.schema(schema).parquet(seen).filter(F.col("depth") == depth).select("url")
+        if now.isEmpty():
+            break
+        small = byte_size(now) <= BROADCAST_BYTES
+        out = edges.join(F.broadcast(now), "url", "left_semi") if small else lookup_join(edges, now, ["url"], ["target_url"], "inner")
+        known = spark.read.schema(schema).parquet(seen).select("url")
+        fresh = out.select(F.col("target_url").alias("url")).distinct().join(known, "url", "left_anti")
         depth += 1
-        now = rounds[-1].select("url")
-        if n_new <= BROADCAST_ROWS:
-            out = edges.join(F.broadcast(now), "url", "left_semi")
-        else:
-            out = lookup_join(edges, now, ["url"], ["target_url"], "inner")
-        out = out.select(F.col("target_url").alias("url")).distinct()
-        known = rounds[0]
-        for r in rounds[1:]:
-            known = known.unionByName(r)
-        fresh = out.join(known.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth))
-        rounds.append(cut_lineage(fresh))
-        n_new = rounds[-1].count()
-    found = rounds[0]
-    for r in rounds[1:]:
-        found = found.unionByName(r)
-    return found
+        fresh.write.parquet(f"{seen}/depth={depth}")
+    return spark.read.schema(schema).parquet(seen)
 
 
 def skip_reasons(queue: DataFrame, visited: DataFrame, stored: DataFrame, excluded: tuple[str, ...] = ("/lists/",)) -> DataFrame:

@@ -4,13 +4,12 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-# A value is hot when it has this many rows; the most frequent ones are split into SALTS parts.
-HOT_ROWS = 200_000
-HOT_VALUES = 1024
-SALTS = 64
+# Bound for a broadcast: bytes of all its values, counted before.
+BROADCAST_BYTES = 8 << 20
 
-# Row bound for a broadcast whose rows are short (query terms, URL sets of one round).
-BROADCAST_ROWS = 100_000
+# A value is hot when it has more rows than an even share of one partition, and at least
+# this many; below, a task has little to do whatever its rows are.
+HOT_ROWS = 20_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -31,51 +30,64 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` computed once when it has at most ``rows`` rows, and whether it has; else ``df`` itself.
+def byte_size(df: DataFrame) -> int:
+    """Bytes of all values of ``df``, written out as text; one aggregate."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+
+
+def settle(df: DataFrame, most: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` computed once, and whether its values take at most ``most`` bytes.
 
     For tables that drive a job, such as prepared queries: the plans that use them several
-    times stay short.
+    times stay short, and nothing passes through the driver.
     """
-    head = df.limit(rows + 1).collect()
-    if len(head) > rows:
-        return df, False
-    return df.sparkSession.createDataFrame(head, df.schema), True
+    stored = cut_lineage(df)
+    return stored, byte_size(stored) <= (BROADCAST_BYTES if most is None else most)
 
 
 def hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def _salt(spread_by: list[str]) -> Column:
+def _salt(spread_by: list[str], salts: Column) -> Column:
     """Salt from the row's own values, so that a repeated task gives the same one."""
-    return F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    return F.pmod(F.xxhash64(*spread_by), salts).cast("int")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "left") -> DataFrame:
-    """Join ``left``, where one value of ``on`` may hold most rows, with ``right``, unique in ``on``.
+def hot_values(df: DataFrame, on: list[str], hot_rows: int | None = None) -> DataFrame:
+    """Rows ``(_hot, _salts)``: hash of each value of ``on`` that has more rows than an even share of one partition,
+    and how many such shares it fills.
 
-    The hottest values of ``left`` are counted first (partial counts over hashes, so the
-    shuffle carries one row per value and task). Their rows are spread over salts and
-    their one row on the right is repeated per salt; NULL counts as a value. The hot list
-    has at most ``HOT_VALUES`` hashes, times ``SALTS`` for the right side, and is safe to
-    broadcast; a hash collision only adds salts. ``spread_by`` names columns of ``left`` that differ between the rows of one value.
+    No more values than partitions can have that many rows, so without ``hot_rows`` the
+    table is as short as the number of shuffle partitions.
+    """
+    counts = df.groupBy(F.xxhash64(*on).alias("_hot")).count()
+    if hot_rows is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot_rows = max(HOT_ROWS, df.count() // partitions)
+    salts = F.ceil(F.col("count") / hot_rows).cast("int")
+    return counts.filter(F.col("count") > hot_rows).select("_hot", salts.alias("_salts"))
+
+
+def lookup_join(
+    left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "left", hot_rows: int | None = None
+) -> DataFrame:
+    """Join ``left``, where one value of ``on`` may hold most rows, with ``right``.
+
+    ``left`` is computed once and stored. Its hot values are counted first (partial counts
+    over hashes, so the shuffle carries one row per value and task). Their rows are spread
+    over as many salts as the value fills shares of a partition, and their rows on the right, usually one, are repeated
+    per salt; NULL counts as a value. A hash collision only adds salts. ``spread_by``
+    names columns of ``left`` that differ between the rows of one value.
     """
+    left = cut_lineage(left)
     hashed = F.xxhash64(*on)
-    hot = (
-        left.select(hashed.alias("_hot"))
-        .groupBy("_hot")
-        .count()
-        .filter(F.col("count") >= HOT_ROWS)
-        .orderBy(F.desc("count"), "_hot")
-        .limit(HOT_VALUES)
-        .select("_hot")
-    )
-    every_salt = F.broadcast(hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted_left = left.join(F.broadcast(hot), hashed == F.col("_hot"), "left")
-    salted_left = salted_left.withColumn("_salt", F.when(F.col("_hot").isNotNull(), _salt(spread_by)).otherwise(0)).drop("_hot")
-    salted_right = right.join(every_salt, hashed == F.col("_hot"), "left")
-    salted_right = salted_right.withColumn("_salt", F.coalesce("_salt", F.lit(0))).drop("_hot")
+    hot, small = settle(hot_values(left, on, hot_rows))
+    salted_left = left.join(hinted(hot, small), hashed == F.col("_hot"), "left")
+    salted_left = salted_left.withColumn("_salt", F.coalesce(_salt(spread_by, F.col("_salts")), F.lit(0))).drop("_hot", "_salts")
+    salted_right = right.join(hinted(hot, small), hashed == F.col("_hot"), "left")
+    every_salt = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    salted_right = salted_right.withColumn("_salt", every_salt).drop("_hot", "_salts")
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -89,6 +101,9 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 
+_TOP_SALTS = 64
+
+
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, spread_by: list[str], rank: str = "rank") -> DataFrame:
     """First ``k`` rows per key with their rank.
 
@@ -96,7 +111,7 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, spread_by
     first round does.
     """
     if k > 1000:
-        df = df.withColumn("_salt", _salt(spread_by))
+        df = df.withColumn("_salt", _salt(spread_by, F.lit(_TOP_SALTS)))
         first = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = df.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= k).drop("_rank", "_salt")
     window = Window.partitionBy(*keys).orderBy(*order)

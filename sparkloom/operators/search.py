@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkloom.functions.columns import first_of
 from sparkloom.functions.text import first_term, format_key
-from sparkloom.operators.index import Index, build_index, term_bucket
-from sparkloom.operators.scale import BROADCAST_ROWS, hinted, settle, top_k
+from sparkloom.operators.index import Index, build_index
+from sparkloom.operators.scale import hinted, lookup_join, settle, top_k
 
 _AND, _OR = "&", "||"
 _BITS = 62
@@ -139,18 +139,6 @@ def _holds(steps: Column, words: Column) -> Column:
     return first_of(F.aggregate(steps, F.array().cast("array<boolean>"), step_once))
 
 
-def _pruned(index: Index, wanted: DataFrame, small: bool) -> Index:
-    """Limit a stored index to the buckets of the wanted terms, so that other files are not opened.
-
-    The list of buckets is no longer than ``index.buckets``.
-    """
-    if not small or not index.buckets:
-        return index
-    buckets = [r[0] for r in wanted.select(term_bucket(index.buckets)).distinct().collect()]
-    in_buckets = F.col("bucket").isin(buckets)
-    return index._replace(postings=index.postings.filter(in_buckets), terms=index.terms.filter(in_buckets))
-
-
 class Prepared(NamedTuple):
     """Queries in normal form with their terms; ``small`` tells that the terms may be broadcast."""
 
@@ -164,9 +152,9 @@ def prepare(queries: "DataFrame | Prepared") -> Prepared:
     """Prepare ``(query_id, expr)`` once for several uses."""
     if isinstance(queries, Prepared):
         return queries
-    table, _ = settle(prepare_queries(queries))
-    n_terms, most = table.agg(F.sum(F.size("terms")), F.max(F.size("terms"))).first()
-    return Prepared(table, query_terms(table), (n_terms or 0) <= BROADCAST_ROWS, (most or 0) // _BITS + 1)
+    table, small = settle(prepare_queries(queries))
+    most = table.agg(F.max(F.size("terms"))).first()[0]
+    return Prepared(table, query_terms(table), small, (most or 0) // _BITS + 1)
 
 
 def index_for(token_rows: DataFrame, n_docs: Column, queries: "DataFrame | Prepared") -> Index:
@@ -189,15 +177,18 @@ def match_scores(index: Index, queries: "DataFrame | Prepared") -> DataFrame:
     """
     prepared = prepare(queries)
     small = prepared.small
-    index = _pruned(index, prepared.terms, small)
-    weighted = index.terms.join(hinted(prepared.terms, small), ["field", "term"]).drop("df", "bucket")
-    wanted = hinted(prepared.terms.select("field", "term").distinct(), small)
-    # The terms are distinct, so this keeps rows as a semi join would; but Spark moves a semi
-    # join below the count of postings, which would then differ from the one terms are counted by.
-    postings = index.postings.join(wanted, ["field", "term"])
+    if small and index.narrow:
+        index = index.narrow(prepared.terms)
+    weighted = index.terms.join(hinted(prepared.terms, small), ["field", "term"]).drop("df")
     if small:
-        postings = postings.repartition("doc_id")
-    hits = postings.join(hinted(weighted, small), ["field", "term"])
+        wanted = F.broadcast(prepared.terms.select("field", "term").distinct())
+        # The terms are distinct, so this keeps rows as a semi join would; but Spark moves a semi
+        # join below the count of postings, which would then differ from the one terms are counted by.
+        postings = index.postings.join(wanted, ["field", "term"]).repartition("doc_id")
+        hits = postings.join(F.broadcast(weighted), ["field", "term"])
+    else:
+        # A stop word holds a good part of all postings, so its rows are spread.
+        hits = lookup_join(index.postings, weighted, ["field", "term"], ["doc_id"], "inner")
     words = [F.col(f"_w{w}") for w in range(prepared.n_words)]
     masks = [F.bit_or(F.when(F.col("word") == w, F.col("bit")).otherwise(0)).alias(f"_w{w}") for w in range(len(words))]
     found = hits.groupBy("query_id", "doc_id").agg(

@@ -11,14 +11,28 @@ def pages_with_template(pages: DataFrame, name: str = "speciesbox") -> DataFrame
     return pages.filter(W.has_template(F.col("text"), name))
 
 
-def filter_report(pages: DataFrame, name: str = "speciesbox") -> DataFrame:
+def _matches(name: str) -> Column:
+    return F.coalesce(W.has_template(F.col("text"), name), F.lit(False))
+
+
+def marked_pages(pages: DataFrame, name: str = "speciesbox") -> DataFrame:
+    """Pages with ``matches``; those that do not match keep nothing but their chunk."""
+    matches = _matches(name)
+    kept = [F.when(matches, F.col(c)).alias(c) for c in pages.columns if c != "chunk"]
+    return pages.select("chunk", *kept, matches.alias("matches"))
+
+
+def marks_report(marked: DataFrame) -> DataFrame:
     """Rows ``(chunk, total_pages, matched_pages, has_output)`` per file, and a total row with chunk NULL."""
-    matches = F.coalesce(W.has_template(F.col("text"), name), F.lit(False))
-    flags = pages.select("chunk", matches.alias("matches"))
-    counts = flags.rollup("chunk").agg(F.count("*").alias("total_pages"), F.count_if("matches").alias("matched_pages"))
+    counts = marked.rollup("chunk").agg(F.count("*").alias("total_pages"), F.count_if("matches").alias("matched_pages"))
     return counts.withColumn("has_output", F.col("matched_pages") > 0)
 
 
+def filter_report(pages: DataFrame, name: str = "speciesbox") -> DataFrame:
+    """``marks_report`` of pages, those without title included."""
+    return marks_report(pages.select("chunk", _matches(name).alias("matches")))
+
+
 def record_names(block: Column) -> Column:
     """Scientific names of a box: synonyms, then names in ``status_ref``, then genus with species."""
     genus, species = W.template_field(block, "genus"), W.template_field(block, "species")
@@ -38,7 +52,7 @@ def extract_wiki_records(pages: DataFrame, name: str = "speciesbox") -> DataFram
     The box is cut out of the text once; its fields are then read from the box alone. A
     page without box is read from its start, a page without text keeps id and title.
     """
-    order = [c for c in pages.columns if c not in ("wiki_id", "title", "text")]
+    order = [c for c in pages.columns if c not in ("wiki_id", "title", "text", "page")]
     titled = pages.filter(F.col("title").isNotNull()).select("wiki_id", strip(F.col("title")).alias("title"), "text", *order)
     boxed = titled.withColumn("box", W.template_block(F.col("text"), name))
     split = boxed.withColumns({"block": F.col("box.block"), "body": F.coalesce(F.col("box.after"), F.col("text"))})
@@ -93,13 +107,17 @@ def key_records(records: DataFrame, ordinal: str, *candidates: Column) -> DataFr
     return keep_first(records.withColumn("key", key), ["key"], [F.desc(ordinal)])
 
 
-def left_key_candidates() -> tuple[Column, ...]:
-    return tuple(F.col(c) for c in ("common_name", "name"))
+def _present(records: DataFrame, name: str) -> Column:
+    return F.col(name) if name in records.columns else F.lit(None)
 
 
-def right_key_candidates() -> tuple[Column, ...]:
-    """Title, taxon, genus with species, id."""
-    pair = F.when(
-        (F.col("genus") != "") & (F.col("species") != ""), F.concat_ws(" ", F.col("genus"), F.col("species"))
-    )
-    return (F.col("animal_name"), F.col("taxon"), pair, F.col("wiki_id"))
+def left_key_candidates(records: DataFrame) -> tuple[Column, ...]:
+    """Common name, name, key; columns that ``records`` lacks count as NULL."""
+    return tuple(_present(records, c) for c in ("common_name", "name", "key"))
+
+
+def right_key_candidates(records: DataFrame) -> tuple[Column, ...]:
+    """Title, taxon, genus with species, id; columns that ``records`` lacks count as NULL."""
+    genus, species = _present(records, "genus"), _present(records, "species")
+    pair = F.when((genus != "") & (species != ""), F.concat_ws(" ", genus, species))
+    return (_present(records, "animal_name"), _present(records, "taxon"), pair, _present(records, "wiki_id"))

@@ -9,14 +9,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkloom.functions.text import snippet
 from sparkloom.operators import facts as X, field_search as B, index as I, leaves as L, matching as M, merging as G, wiki as R
+from sparkloom.operators.scale import cut_lineage
 from sparkloom.sources import readers, writers
 
 
 def filter_dump(spark: SparkSession, source: str, target: str, template: str = "speciesbox") -> DataFrame:
-    """Keep the pages that use a template, chunk by chunk; returns the report per chunk with totals."""
+    """Keep the pages that use a template, chunk by chunk and whole; returns the report per chunk with totals.
+
+    The dump is read once: one short row per page and the whole of each kept page are stored, and both results come from these.
+    """
     pages = readers.read_dump_pages(spark, source)
-    writers.write_filtered_pages(R.pages_with_template(pages, template), f"{target}/pages")
-    writers.write_stats(R.filter_report(pages, template), f"{target}/report")
+    counts = cut_lineage(R.marked_pages(pages, template))
+    writers.write_filtered_pages(counts.filter("matches").drop("matches"), f"{target}/pages")
+    writers.write_stats(R.marks_report(counts), f"{target}/report")
     return spark.read.schema("chunk string, total_pages bigint, matched_pages bigint, has_output boolean").json(f"{target}/report")
 
 
@@ -56,10 +61,11 @@ def match_and_merge(left: DataFrame, right: DataFrame, target: str) -> Merged:
     spark = left.sparkSession
     M.match_entities(M.left_rows(left), M.right_rows(right)).write.mode("overwrite").parquet(f"{target}/matches")
     matches = spark.read.parquet(f"{target}/matches")
-    merged, rest = G.merge_records(left, right, matches), G.right_only(right, matches)
+    merged, rest = G.counted_flags(G.merge_records(left, right, matches)), G.right_only(right, matches)
     G.merged_union(G.finish_merged(merged), rest).write.mode("overwrite").parquet(f"{target}/records")
-    G.match_stats(merged, rest).write.mode("overwrite").parquet(f"{target}/stats")
-    return Merged(spark.read.parquet(f"{target}/records"), matches, spark.read.parquet(f"{target}/stats"))
+    records = spark.read.parquet(f"{target}/records")
+    G.match_stats(records).write.mode("overwrite").parquet(f"{target}/stats")
+    return Merged(records.drop("n_appended", "n_alternatives"), matches, spark.read.parquet(f"{target}/stats"))
 
 
 def index_texts(docs: DataFrame, target: str, mode: str = "overwrite", buckets: int = I.BUCKETS) -> I.Index:
@@ -82,13 +88,14 @@ def create_search_index(records: DataFrame, target: str, mode: str = "overwrite"
     ``documents``. Records that are no JSON are left out and stored under ``_corrupt``.
     """
     parsed = records.withColumn("value", F.try_parse_json("record"))
-    parsed.filter(F.col("value").isNull()).select("name", "record").write.mode(mode).json(f"{target}/_corrupt")
-    good = parsed.filter(F.col("value").isNotNull())
-    docs = B.search_documents(good, F.col("name"), L.variant_leaves(F.col("value")), id_col="name")
-    B.write_field_index(B.field_index(B.field_documents(docs)), target, mode, buckets)
     source = F.col("source") if "source" in records.columns else F.lit(None).cast("string")
-    stored = B.search_documents(good.withColumn("source", source), F.col("name"), L.variant_leaves(F.col("value")), "name", ["source"])
-    stored.drop("leaves").write.mode(mode).parquet(f"{target}/documents")
+    docs = B.search_documents(parsed.withColumn("source", source), F.col("name"), L.variant_leaves(F.col("value")), "name", ["source", "record", "value"])
+    # Parsed and opened once; the index, the stored texts and the bad records all read this table.
+    docs = cut_lineage(docs.withColumn("bad", F.col("value").isNull()).drop("value"))
+    good = docs.filter("not bad")
+    docs.filter("bad").select(F.col("doc_id").alias("name"), "record").write.mode(mode).json(f"{target}/_corrupt")
+    good.select("doc_id", "name", "content", "source").write.mode(mode).parquet(f"{target}/documents")
+    B.write_field_index(B.field_index(B.field_documents(good)), target, mode, buckets)
     return B.read_field_index(records.sparkSession, target)
 
 

@@ -4,45 +4,39 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkloom.functions.columns import strip
 
-_PAGE_SCHEMA = "title string, id bigint, revision struct<id:bigint, text:string>"
+# Everything that a page of an export holds; attributes begin with "_".
+_REVISION = (
+    "struct<id:bigint, parentid:bigint, timestamp:string, contributor:struct<_deleted:string, username:string, id:bigint, ip:string>, minor:string, "
+    "comment:struct<_VALUE:string, _deleted:string>, origin:bigint, model:string, format:string, "
+    "text:struct<_VALUE:string, _bytes:bigint, _sha1:string, _deleted:string>, sha1:string>"
+)
+_PAGE_SCHEMA = f"title string, ns bigint, id bigint, redirect struct<_title:string, _VALUE:string>, restrictions string, revision array<{_REVISION}>"
 _CHUNK_NUMBER = r"chunk_(\d+)_filtered\.xml"
 
 
-# A table of less than this per core is spread over the cores, however few row groups it has.
-SPREAD_BYTES_PER_CORE = 4 * 1024 * 1024
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table.
-
-    A small file is often a single row group, which one task would read and work on alone.
-    Tables below ``SPREAD_BYTES_PER_CORE`` times the cores are spread by a shuffle of at
-    most that size; larger ones are left as their files are.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not 0 < len(files) < cores:
-        return df
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return df.repartition(cores) if size <= cores * SPREAD_BYTES_PER_CORE else df
+    """Parquet table; ``spark.sql.files.maxPartitionBytes`` says how finely files are split."""
+    return spark.read.parquet(path)
 
 
 def read_dump_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Rows ``(wiki_id, title, text, chunk)``, one per ``<page>`` with a title.
+    """Rows ``(wiki_id, title, text, chunk, page)``, one per ``<page>``; the title may be missing.
 
-    Large files are split at page borders. ``chunk`` is the name of the file; where files
-    lie in a ``chunk=`` folder, as ``write_filtered_pages`` makes them, that of the folder.
+    Large files are split at page borders. ``text`` is that of the first revision, ``page``
+    the whole page with all revisions, so that it can be written again; nobody who leaves it out pays for it. ``chunk`` is
+    the name of the file; where files lie in a ``chunk=`` folder, as ``write_filtered_pages`` makes them, that of the folder.
     The id is the first one in the page, so the one of its revision where it has none.
     """
     pages = spark.read.schema(_PAGE_SCHEMA).option("rowTag", "page").option("ignoreNamespace", True)
     pages = pages.option("recursiveFileLookup", True).xml(path)
     folder = F.url_decode(F.regexp_extract("_metadata.file_path", r"/chunk=([^/]+)/", 1))
-    return pages.filter(F.col("title").isNotNull()).select(
-        F.coalesce("id", "revision.id").alias("wiki_id"),
+    first = F.get("revision", F.lit(0))
+    return pages.select(
+        F.coalesce("id", first["id"]).alias("wiki_id"),
         "title",
-        F.col("revision.text").alias("text"),
+        first["text"]["_VALUE"].alias("text"),
         F.when(folder != "", folder).otherwise(F.col("_metadata.file_name")).alias("chunk"),
+        F.struct("title", "ns", "id", "redirect", "restrictions", "revision").alias("page"),
     )
 
 

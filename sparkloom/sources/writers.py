@@ -25,7 +25,7 @@ def write_keyed_records(records: DataFrame, path: str, mode: str = "overwrite")
 
 
 def write_filtered_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Pages ``(wiki_id, title, text, chunk)`` as XML, one folder per chunk; no folder for a chunk without pages.
+    """Pages ``(wiki_id, title, text, chunk)``, whole if with ``page``, as XML, one folder per chunk; no folder for a chunk without pages.
 
     Rebalancing keeps the number of files small and splits a chunk that holds most pages.
     """
@@ -36,7 +36,7 @@ def write_filtered_pages(pages: DataFrame, path: str, mode: str = "overwrite") -
 
 
 def write_merged_chunks(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """All pages ``(wiki_id, title, text, chunk_no)`` as one XML data set in chunk order.
+    """All pages ``(wiki_id, title, text, chunk_no)``, whole if with ``page``, as one XML data set in chunk order.
 
     The id is part of the sort key, so a chunk that holds most pages is split as well.
     """
@@ -45,8 +45,12 @@ def write_merged_chunks(pages: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def _as_dump(pages: DataFrame, chunk: bool = True) -> DataFrame:
-    revision = F.struct(F.col("text").alias("text")).alias("revision")
-    return pages.select("title", F.col("wiki_id").alias("id"), revision, *(["chunk"] if chunk else []))
+    """Whole pages where ``page`` is at hand, else pages made of title, id and text."""
+    if "page" in pages.columns:
+        parts = ["page.*"]
+    else:
+        parts = ["title", F.col("wiki_id").alias("id"), F.struct(F.col("text").alias("text")).alias("revision")]
+    return pages.select(*parts, *(["chunk"] if chunk else []))
 
 
 def merge_summary(pages: DataFrame) -> DataFrame:

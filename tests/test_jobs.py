@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators import search as S
+from sparkloom.operators import index as I, search as S
 from sparkloom.plans import jobs
 from sparkloom.sources import readers, writers
 
@@ -17,6 +17,7 @@ The ''lion'' &amp;amp; cub.
 <page><title>Other</title><id>13</id><revision><id>98</id><text>no box</text></revision></page>
 <page><title>NoText</title><id>6</id></page>
 <page><id>5</id><revision><id>78</id><text>no title</text></revision></page>
+<page><id>7</id><revision><id>80</id><timestamp>2024-05-06T07:08:09Z</timestamp><contributor><username>U</username><id>3</id></contributor><text>{{{{speciesbox}}}} untitled</text></revision><revision><id>79</id><text>older</text></revision></page>
 </mediawiki>"""
 
 
@@ -32,12 +33,20 @@ def dump(tmp_path):
 
 def test_dump_to_records(spark, dump, tmp_path):
     report = {r.chunk: (r.total_pages, r.matched_pages) for r in jobs.filter_dump(spark, f"{dump}/*.xml", str(tmp_path / "f")).collect()}
-    assert report == {"chunk_2.xml": (3, 1), "chunk_10.xml": (3, 1), None: (6, 2)}
+    assert report == {"chunk_2.xml": (5, 2), "chunk_10.xml": (5, 2), None: (10, 4)}
     chunks = readers.read_filtered_chunks(spark, str(tmp_path / "f/pages"))
-    assert sorted((r.chunk_no, r.title) for r in chunks.collect()) == [(2, "Lion & cub"), (10, "Lion & cub")]
-    assert tuple(writers.merge_summary(chunks).first()) == (2, 2)
+    assert sorted((r.chunk_no, r.title or "") for r in chunks.collect()) == [(2, ""), (2, "Lion & cub"), (10, ""), (10, "Lion & cub")]
+    assert tuple(writers.merge_summary(chunks).first()) == (4, 2)
     writers.write_merged_chunks(chunks, str(tmp_path / "m"))
-    assert readers.read_dump_pages(spark, str(tmp_path / "m")).count() == 2
+    merged = readers.read_dump_pages(spark, str(tmp_path / "m"))
+    assert merged.count() == 4
+    whole = merged.filter("wiki_id = 7").first()
+    assert whole.text == "{{speciesbox}} untitled" and whole.title is None
+    assert [(r.id, r.timestamp, r.contributor and r.contributor.username, r.text["_VALUE"]) for r in whole.page.revision] == [
+        (80, "2024-05-06T07:08:09Z", "U", "{{speciesbox}} untitled"), (79, None, None, "older"),
+    ]
+    lion_page = merged.filter("wiki_id = 12").first().page
+    assert (lion_page.ns, lion_page.revision[0].id, lion_page.revision[0].text["_bytes"]) == (0, 99, 5)
 
     records = {r.animal_name: r for r in jobs.extract_dump(spark, f"{dump}/*.xml", str(tmp_path / "r")).collect()}
     assert records.keys() == {"Lion & cub", "Other", "NoText"}
@@ -94,7 +103,42 @@ def test_record_index_is_pruned_by_bucket(spark, tmp_path):
     queries = S.query_table(spark, {"q": S.term("white") & S.field("skin type", "fur")})
     found = S.boolean_search(index, queries)
     assert [tuple(r) for r in found.collect()] == [("q", 1)]
-    assert "PartitionFilters: [bucket" in found._jdf.queryExecution().executedPlan().toString().replace("isnotnull(bucket), ", "")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line and "bucket" in line]
+    assert len(scans) >= 2 and all("bucket#" in s.split("PartitionFilters:")[1].split("PushedFilters")[0] for s in scans)
+    assert all("In(term" in s for s in scans)
+
+
+def test_batches_with_their_own_buckets(spark, tmp_path):
+    rows = [(i, f"alpha beta{i % 7} w{i}") for i in range(120)]
+    whole = spark.createDataFrame(rows, "doc_id bigint, text string")
+    path = str(tmp_path / "i")
+    jobs.index_texts(whole.filter("doc_id < 60"), path, buckets=8)
+    index = jobs.index_texts(whole.filter("doc_id >= 60"), path, "append")
+    queries = S.query_table(spark, {q: S.term(q) for q in ("alpha", "beta1", "w5", "w77")})
+    got = S.boolean_search(index, queries).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {"alpha": 120, "beta1": 17, "w5": 1, "w77": 1}
+    terms = {r.term: r.df for r in index.terms.collect()}
+    assert terms["alpha"] == 120 and terms["beta1"] == 17
+
+
+def test_half_written_batches_do_not_count(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"alpha w{i}") for i in range(20)], "doc_id bigint, text string")
+    path = str(tmp_path / "i")
+    jobs.index_texts(docs.filter("doc_id < 10"), path, buckets=4)
+    more = docs.filter("doc_id >= 10")
+    with monkeypatch.context() as m:
+        m.setattr(I, "_ddl", lambda df: 1 / 0)  # dies after postings, counts and sizes, before the commit
+        with pytest.raises(ZeroDivisionError):
+            jobs.index_texts(more, path, "append", 4)
+    index = I.read_index(spark, path)
+    assert (index.postings.count(), index.terms.filter("term = 'alpha'").first().df) == (20, 10)
+    index = jobs.index_texts(more, path, "append", 4)
+    assert (index.postings.count(), index.terms.filter("term = 'alpha'").first().df) == (40, 20)
+    index = jobs.index_texts(docs.limit(0), path, "overwrite", 4)
+    assert index.postings.count() == index.terms.count() == 0
+    with pytest.raises(ValueError, match="no committed index"):
+        I.read_index(spark, str(tmp_path / "none"))
 
 
 def test_url_sets_and_metadata(spark, tmp_path):

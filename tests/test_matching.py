@@ -98,7 +98,7 @@ def test_merge_by_type(spark):
     right = spark.createDataFrame([("w", "y", ["q", "r"], 1, 9, ["z"])], "wiki_key string, s string, l array<string>, n int, only_r int, mixed array<string>")
     matches = spark.createDataFrame([("a", "w", "m", 1, 7), ("b", None, None, None, None)], "key string, wiki_key string, matched_name string, match_type int, wiki_id bigint")
     a, b = sorted(G.merge_records(left, right, matches).collect(), key=lambda r: r.key)
-    assert (a.s, a.l, a.n, a.only_r, a.mixed, a.wiki_id) == (["x", "y"], ["p", "q", "r"], [1], 9, "k", 7)
+    assert (a.s, a.l, a.n, a.only_r, a.mixed, a.wiki_id) == (["x", "y"], ["p", "q", "r"], [1], 9, ["k"], 7)
     assert (b.s, b.l, b.n, b.only_l, b.wiki_key, b.match_type) == (None, None, [2], "s", None, None)
 
 

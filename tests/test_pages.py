@@ -14,9 +14,9 @@ def bfs(edges, seeds, limit):
     return seen
 
 
-@pytest.mark.parametrize("limit,bound", [(None, 100_000), (2, 100_000), (None, 1)])
+@pytest.mark.parametrize("limit,bound", [(None, 1 << 20), (2, 1 << 20), (None, -1)])
 def test_reachable_pages(spark, monkeypatch, limit, bound):
-    monkeypatch.setattr(P, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(P, "BROADCAST_BYTES", bound)
     monkeypatch.setattr(scale, "HOT_ROWS", 5)
     random.seed(4)
     # A third of all links start at one page, a third lead to one page.

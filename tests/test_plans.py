@@ -24,8 +24,19 @@ def test_no_pairwise_joins_and_no_python(spark, name):
     assert "Python" not in text and "ArrowEval" not in text
 
 
-def test_python_only_for_entities(spark):
-    assert "ArrowEvalPython" in plan(QUERIES["unescape_html"](spark, SMALL))
+@pytest.mark.parametrize("name", ["unescape_html", "finished_records", "merged_union"])
+def test_no_python_for_entities(spark, name):
+    assert not re.search("EvalPython|InPandas|InArrow", plan(QUERIES[name](spark, SMALL)))
+
+
+@pytest.mark.parametrize("name,column,most", [("match_stats", "origin", 1), ("match_entities", "c_custkey", 1), ("bm25_content", "conv_id", 1), ("batch_topk", "text", 1)])
+def test_inputs_are_read_once(spark, name, column, most):
+    """In the plan that ran, where Spark has reused equal exchanges."""
+    df = QUERIES[name](spark, SMALL)
+    df.collect()
+    final = plan(df).split("+- == Initial Plan ==")[0]
+    found = [line for line in final.split("\n") if "FileScan" in line and re.search(rf"[<,]{column}:", line.split("ReadSchema:")[1])]
+    assert len(found) <= most, found
 
 
 @pytest.mark.parametrize("name,columns", [("page_links", "page_id:bigint,url:string,html:string"), ("index_postings", "doc_id:bigint,text:string"), ("snippet", "doc_id:bigint,text:string")])

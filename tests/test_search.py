@@ -75,10 +75,48 @@ def test_many_terms_take_the_shuffle_path(spark, corpus, monkeypatch):
     index = I.build_index(I.text_tokens(df), I.collection_size(df))
     rows = lambda d: sorted(map(tuple, d.withColumn("tfidf", F.round("tfidf", 9)).select("query_id", "doc_id", "tfidf").collect()))
     want = rows(S.match_scores(index, queries))
-    monkeypatch.setattr(S, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(scale, "HOT_ROWS", 5)
     assert rows(S.match_scores(index, queries)) == want and want
 
 
+def test_field_scores_on_the_shuffle_path(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"bear {i % 3}", " ".join(["bear"] * (i % 5) + ["x"] * i)) for i in range(40)], "doc_id bigint, name string, body string")
+    rows = B.field_documents(B.search_documents(docs, F.col("name"), L.typed_leaves(docs, ["body"])))
+    queries = spark.createDataFrame([("q", "bear x"), ("r", "2")], "query_id string, text string")
+    wanted = B.field_query_terms(queries)
+
+    def scores():
+        index = B.field_index(rows, wanted.select("field", "term").distinct())
+        return sorted((r.query_id, r.doc_id, round(r.score, 6)) for r in B.field_scores(index, wanted).collect())
+
+    want = scores()
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(scale, "HOT_ROWS", 5)
+    assert scores() == want and len(want) > 40
+
+
+def test_every_hot_value_is_salted(spark):
+    from pyspark.sql import Window
+
+    left = spark.range(0, 60_000).select((F.col("id") % 2100).alias("v"), F.col("id").alias("i"))
+    left = left.unionByName(spark.range(10).select(F.lit(None).cast("bigint").alias("v"), F.col("id").alias("i")))
+    hot = scale.hot_values(left.filter("v < 2000 or v is null"), ["v"], hot_rows=8)
+    assert hot.count() == 2001 and hot.agg(F.min("_salts")).first()[0] >= 2
+    right = spark.range(0, 2050).select(F.col("id").alias("v"), (F.col("id") * 2).alias("w"))
+    for how in ("left", "inner", "left_anti", "left_semi"):
+        got = scale.lookup_join(left, right, ["v"], ["i"], how, hot_rows=8)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, left.join(right, "v", how).collect()), key=repr)
+
+
+def test_hot_values_are_a_share_of_the_rows(spark):
+    rows = spark.range(0, 100_000).select(F.when(F.col("id") < 60_000, 1).otherwise(F.col("id")).alias("v"), "id")
+    hot = scale.hot_values(rows, ["v"]).collect()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = max(scale.HOT_ROWS, 100_000 // partitions)
+    assert [r._salts for r in hot] == [-(-60_000 // share)]
+
+
 def test_adjacent_and_malformed_queries(spark, corpus):
     docs, df = corpus
     exprs = {

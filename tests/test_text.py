@@ -74,3 +74,17 @@ def test_base_name_and_codes(evaluate):
 def test_snippet(evaluate):
     long = "a\n" * 100
     assert evaluate(T.snippet, ["x\ny", long, None, "b" * 160]) == ["x y", long.replace("\n", " ")[:157] + "...", None, "b" * 160]
+
+
+def test_every_entity_is_decoded(evaluate):
+
+
+    from html.entities import html5
+
+    rng = random.Random(1)
+    numbers = [0, 1, 8, 9, 10, 11, 12, 13, 14, 31, 32, 65, 127, 128, 129, 130, 141, 159, 160, 0xD7FF, 0xD800, 0xDFFF, 0xFDD0, 0xFDEF, 0xFFFE, 0x1FFFE, 0x10FFFF, 0x110000, 10**12, 0x1F600]
+    values = ["&" + n for n in html5] + ["&" + n.rstrip(";") + "x" for n in list(html5)[:300]] + [f"&#{n};" for n in numbers] + [f"&#x{n:X}" for n in numbers]
+    values += ["&#", "&", "&&amp;", "&amp;amp;", "&notit;", "& amp;", "&#x0000000041;", "x\n&quot;\ty", "", "&" + "a" * 40 + ";"]
+    values += ["".join(rng.choice(["&", "amp", ";", "#", "x41", "65", "lt", "not", " ", "é", "copy", "\n", "<"]) for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    assert evaluate(T.unescape_html, values) == [html.unescape(v) for v in values]
+    assert evaluate(T.unescape_html, [None]) == [None]
