@@ -55,6 +55,20 @@ select doc_id as wiki_id, concat('Animal ', doc_id, ' (', lang, ')') as title, c
  '[[Category:', lang, ' animals|k]] [[category:All]]') as text from documents
 """
 
+# Pages that differ in kind by their number: closed, unclosed and three-deep boxes, no text, no title, headings that repeat.
+WIKI_KINDS = """
+select doc_id as wiki_id, doc_id % 7 as kind, case when doc_id % 7 <> 4 then concat('Page ', doc_id) end as title, concat('chunk_', doc_id % 5, '.xml') as chunk,
+ case doc_id % 7
+  when 0 then concat('{{Speciesbox', chr(10), '| genus = G', doc_id, chr(10), '}} Body ', lang, '.')
+  when 1 then concat('{{Speciesbox', chr(10), '| genus = Open', chr(10), '| ref = {{cite|x}} Body ', lang, '.')
+  when 2 then concat('{{speciesbox', chr(10), '| genus = ', lang, chr(10), '| status_ref = {{a|{{b|{{c}}}}}}', chr(10), '}}After {{x|{{y|{{z}}}}}}', lang, '.')
+  when 3 then cast(null as varchar(10))
+  when 4 then concat('{{Speciesbox', chr(10), '| genus = Untitled', chr(10), '}}')
+  when 5 then concat('No box ', lang, chr(10), '== One ==', chr(10), 'x', chr(10), '==one==', chr(10), '== Two ==', chr(10), '== ONE ==', chr(10), '== References ==')
+  else concat('Early {{Speciesbox', chr(10), '| genus =', chr(10), '| species = s', chr(10), '}} late', chr(10), '== ', source, ' ==') end as text
+from documents
+"""
+
 
 def for_duckdb(sql: str) -> str:
     return sql.replace("ARR(", "list_value(").replace("EACH(", "unnest(")
@@ -80,3 +94,7 @@ def html(spark, sf_dir):
 
 def wiki(spark, sf_dir):
     return spark_fixture(spark, sf_dir, WIKI, "documents")
+
+
+def wiki_kinds(spark, sf_dir):
+    return spark_fixture(spark, sf_dir, WIKI_KINDS, "documents")

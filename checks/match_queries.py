@@ -216,6 +216,19 @@ rules as (
 ranked as (select *, row_number() over (partition by key order by rule, wiki_id, wiki_key) as n from rules)
 """
 
+# The eleven rules over the names of both tables; nothing is known here of how the fixture was made.
+_RULES = f"""
+ln as (select key, 'common' as k, {_N('common_name')} as v from l union all select key, 'alternative', {_N('x')} from (select key, unnest(common_name_alternative) as x from l)
+  union all select key, 'scientific', {_N('scientific_name')} from l),
+rn as (select wiki_key, wiki_id, 'title' as k, {_N('animal_name')} as v from r union all select wiki_key, wiki_id, 'alternative', {_N('x')} from (select wiki_key, wiki_id, unnest(animal_name_alternative) as x from r)
+  union all select wiki_key, wiki_id, 'base', {_N("string_split(animal_name, '(')[1]")} from r union all select wiki_key, wiki_id, 'scientific', {_N('x')} from (select wiki_key, wiki_id, unnest(scientific_names) as x from r)
+  union all select wiki_key, wiki_id, 'taxon', {_N('taxon')} from r union all select wiki_key, wiki_id, 'pair', {_N("concat_ws(' ', genus, species)")} from r),
+pairs as (select key, wiki_key, wiki_id, case ln.k || '-' || rn.k when 'common-title' then 1 when 'common-alternative' then 2 when 'common-base' then 3
+   when 'alternative-title' then 4 when 'alternative-alternative' then 5 when 'alternative-base' then 6 when 'scientific-scientific' then 7 when 'scientific-taxon' then 8
+   when 'scientific-pair' then 9 when 'scientific-title' then 10 when 'scientific-base' then 11 end as rule from ln join rn using (v) where v <> ''),
+best as (select *, row_number() over (partition by key order by rule, wiki_id, wiki_key) as n from pairs where rule is not null)
+"""
+
 _ABSTRACT = "'About ' || c_name || ' & more ' || (c_custkey % 12) || ' Range Diet'"
 _RIGHT_COLS = """animal_name, array_to_string(r.animal_name_alternative, '|') as animal_name_alternative, array_to_string(r.scientific_names, '|') as scientific_names,
  r.taxon, r.genus, r.species, r.abstract, array_to_string(r.text_sections, '|') as text_sections"""
@@ -265,7 +278,7 @@ ORACLES = {
     "norm_array": f"with {FX}, raws as (select wiki_key, unnest(animal_name_alternative) as raw from r) select wiki_key, raw, {_N('raw')} as normal from raws",
     "matcher_rows": f"""with {FX} select wiki_key, animal_name, coalesce(array_to_string(animal_name_alternative, '|'), '') as animal_name_alternative,
       coalesce(array_to_string(scientific_names, '|'), '') as scientific_names, wiki_id, taxon, genus, species from r""",
-    "match_entities": f"with {MATCHED} select key, wiki_key, cast(match_type as integer) as match_type, wiki_id from m",
+    "match_entities": f"""with {FX}, {_RULES} select l.key, wiki_key, cast(rule as integer) as match_type, wiki_id from l left join best on best.key = l.key and n = 1""",
     "matched_name": f"with {MATCHED} select key, matched_name from m",
     "match_shared_names": f"""with {_PEOPLE} select l.key, wiki_key, raw as matched_name, rule as match_type, wiki_id
       from l left join ranked on l.key = ranked.key and n = 1""",

@@ -89,6 +89,17 @@ def wiki_records(spark, sf_dir):
     return _flat(R.extract_wiki_records(wiki(spark, sf_dir)).drop("chunk"))
 
 
+def wiki_record_kinds(spark, sf_dir):
+    """Records of pages that differ in kind; those without a title have none."""
+    records = _flat(R.extract_wiki_records(fixtures.wiki_kinds(spark, sf_dir).drop("kind", "chunk")))
+    return records.select("wiki_id", "animal_name", "genus", "species", "scientific_names", "abstract", "text_sections")
+
+
+def filter_report_kinds(spark, sf_dir):
+    """Counts per file with pages that have no title or no text."""
+    return R.filter_report(fixtures.wiki_kinds(spark, sf_dir))
+
+
 def wiki_mapping(spark, sf_dir):
     """Records that share a name: every title is used by all documents of one source and language."""
     docs = read(spark, sf_dir, "documents")
@@ -213,6 +224,8 @@ QUERIES = {
         abstract_headings,
         categories,
         wiki_records,
+        wiki_record_kinds,
+        filter_report_kinds,
         wiki_mapping,
         wiki_dedupe,
         chunk_order,
@@ -226,6 +239,7 @@ QUERIES = {
     )
 }
 
+KINDS = f"k as (select f.*, d.lang, d.source from ({fixtures.for_duckdb(fixtures.WIKI_KINDS)}) f join documents d on d.doc_id = f.wiki_id)"
 FX = f"fx as ({fixtures.for_duckdb(fixtures.WIKI)})"
 
 # Boxes of the fixture are nested two deep at most.
@@ -312,6 +326,13 @@ ORACLES = {
     "abstract_headings": f"with {FX_DOCS} select wiki_id, {ABSTRACT} as abstract, {HEADINGS} as headings from docs",
     "categories": f"with {FX_DOCS} select wiki_id, {CATEGORIES} as categories from docs",
     "wiki_records": f"with {FX_DOCS} select {RECORD} from docs",
+    "wiki_record_kinds": f"""with {KINDS} select wiki_id, title as animal_name,
+      case kind when 0 then 'G' || wiki_id when 2 then lang end as genus, case kind when 6 then 's' end as species, case when kind <> 3 then '' end as scientific_names,
+      case kind when 0 then 'Body ' || lang || '.' when 1 then '{{{{Speciesbox' || chr(10) || '| genus = Open' || chr(10) || '| ref = Body ' || lang || '.' when 2 then 'After ' || lang || '.'
+       when 5 then 'No box ' || lang when 6 then 'late' end as abstract,
+      case kind when 3 then null when 5 then 'One|Two' when 6 then source else '' end as text_sections from k where title is not null""",
+    "filter_report_kinds": f"""with {KINDS} select chunk, count(*) as total_pages, count(*) filter (where kind not in (3, 5)) as matched_pages,
+      count(*) filter (where kind not in (3, 5)) > 0 as has_output from k group by rollup (chunk)""",
     "wiki_mapping": """select max(doc_id) as wiki_id, lang || ' ' || source as animal_name,
       case when max(doc_id) % 2 = 0 then 'even' end as categories from documents group by lang, source""",
     "wiki_dedupe": """with pages as (select case when l_orderkey % 5 <> 0 then l_orderkey end as wiki_id, 'Order ' || l_orderkey as title,

@@ -96,3 +96,30 @@ CANONICAL_PATTERN = r"""(?id)<link[^>]+rel=["']canonical["'][^>]+href=["'](.*?)[
 ROBOTS_PATTERN = r"""(?id)<meta[^>]+name=["']robots["'][^>]+content=["'](.*?)["']"""
 BINOMIAL_PATTERN = r"(?U)\b([A-Z][a-z]+\s+[a-z][a-z\-]+(?:\s+[a-z][a-z\-]+)?)\b"
 H2_PATTERN = r"(?mU)^\s*==\s*([^=\n].*?)\s*==\s*$"
+
+# Patterns of wikitext (Java regex).
+PIPED_LINK_PATTERN = r"\[\[[^\]|]+\|([^\]]+)\]\]"
+REF_AND_TAG_PATTERNS = (r"(?i)<ref[^>]*?/\s*>", r"(?is)<ref[^>]*?>.*?</ref>", r"<[^>]+>")
+FILE_LINK_PATTERN = r"(?i)\[\[(?:File|Image):[^\]]+\]\]"
+CATEGORY_PATTERN = r"(?i)\[\[Category:([^\]]+)\]\]"
+TITLE_VALUE_PATTERN = r"(?iU)\btitle\s*=\s*([^|{}\n\r]+)"
+ITALICS_PATTERN = r"''+([^']{1,200})''+"
+
+# Patterns of the pages of one site that facts are read from (Java regex).
+H1_PATTERN = r"(?i)<h1[^>]*>([^<]+)</h1>"
+TITLE_HEADER_H1_PATTERN = r'(?is)<div\s+id="title-header"[^>]*>.*?<h1[^>]*>([^<]+)</h1>'
+TITLE_HEADER_NAME_PATTERN = (
+    r'(?is)<div\s+id="title-header"[^>]*>.*?<p[^>]*class="[^"]*text-white[^"]*"[^>]*>'
+    r"\s*([A-Z][a-z]+\s+[a-z]+)\s*</p>"
+)
+MAIN_TEXT_PATTERNS = (
+    r"""(?is)<div[^>]+id=["']single-animal-text["'][^>]*>(.*?)<div[^>]+id=["']single-animal-sidebar["']""",
+    r"""(?is)<div[^>]+id=["']single-animal-text["'][^>]*>(.*)</div>\s*</div>\s*</div>""",
+)
+PARAGRAPH_PATTERN = r"(?is)<p[^>]*>(.*?)</p>"
+LINKED_ITEM_PATTERN = r"(?i)<li><a[^>]*>([^<]+)</a></li>"
+CLASSED_ITEM_PATTERN = r'(?i)<li[^>]*class="[^"]*list-item[^"]*"[^>]*>([^<]+)</li>'
+CONSERVATION_PATTERN = r"(?is)<h2[^>]*>.*?Conservation Status</h2>.*?<li><a[^>]*>([^<]+)</a></li>"
+LOCATIONS_PATTERN = r"(?is)<h2[^>]*>.*?Locations</h2>.*?<ul[^>]*>(.*?)</ul>"
+FACTS_URL_PATTERN = r'(?i)<link\s+rel="canonical"\s+href="([^"]+)"\s*/>'
+NAME_BREAKS_PATTERN = r"(?i),|/|[|]|;|\band\b"

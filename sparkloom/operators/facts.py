@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkloom.fixed_values import CONSERVATION_PATTERN, FACTS_URL_PATTERN, LOCATIONS_PATTERN, NAME_BREAKS_PATTERN
 from sparkloom.functions import html as H
 from sparkloom.functions.columns import bind, blank_to_null, empty_array, first_of, strip, unique_by
 from sparkloom.functions.text import conservation_code, decode_entities
@@ -84,11 +85,6 @@ FACT_GROUPS = {
     "conservation": ("conservation_status", "biggest_threat", "estimated_population"),
 }
 
-_CONSERVATION = r"(?is)<h2[^>]*>.*?Conservation Status</h2>.*?<li><a[^>]*>([^<]+)</a></li>"
-_LOCATIONS = r"(?is)<h2[^>]*>.*?Locations</h2>.*?<ul[^>]*>(.*?)</ul>"
-_FACTS_URL = r'(?i)<link\s+rel="canonical"\s+href="([^"]+)"\s*/>'
-_NAME_BREAKS = r"(?i),|/|[|]|;|\band\b"
-
 
 def pair_value(pairs: Column, label: str, how: str) -> Column:
     """Value of the first ``<dt>/<dd>`` pair with this label."""
@@ -117,7 +113,7 @@ def fact_fields(pages: DataFrame, fields: dict[str, tuple[str, str]] = FACT_LABE
 
 def alternative_names(headline: Column, other_names: Column) -> Column:
     """Other names of a page: its headline, then the listed names; unique regardless of case."""
-    listed = F.transform(F.split(other_names, _NAME_BREAKS), strip)
+    listed = F.transform(F.split(other_names, NAME_BREAKS_PATTERN), strip)
     names = F.concat(F.when(headline.isNotNull(), F.array(headline)).otherwise(empty_array()), F.coalesce(listed, empty_array()))
     return unique_by(F.filter(names, lambda n: n != ""), F.lower)
 
@@ -125,15 +121,15 @@ def alternative_names(headline: Column, other_names: Column) -> Column:
 def location_list(html: Column) -> Column:
     """Places of the locations list; NULL when the page has no such list."""
     return bind(
-        F.regexp_extract(html, _LOCATIONS, 0),
+        F.regexp_extract(html, LOCATIONS_PATTERN, 0),
         lambda found: F.when(
-            found != "", H.linked_items(decode_entities(strip(F.regexp_extract(found, _LOCATIONS, 1))))
+            found != "", H.linked_items(decode_entities(strip(F.regexp_extract(found, LOCATIONS_PATTERN, 1))))
         ),
     )
 
 
 def conservation_status(html: Column) -> Column:
-    text = blank_to_null(decode_entities(strip(F.regexp_extract(html, _CONSERVATION, 1))))
+    text = blank_to_null(decode_entities(strip(F.regexp_extract(html, CONSERVATION_PATTERN, 1))))
     return conservation_code(text)
 
 
@@ -155,7 +151,7 @@ def extract_facts(pages: DataFrame) -> DataFrame:
             "locations_range": location_list(html),
             "conservation_status": conservation_status(html),
             "sections": H.text_sections(html),
-            "url": blank_to_null(decode_entities(strip(F.regexp_extract(html, _FACTS_URL, 1)))),
+            "url": blank_to_null(decode_entities(strip(F.regexp_extract(html, FACTS_URL_PATTERN, 1)))),
         }
     )
     groups = {name: _group(*fields) for name, fields in FACT_GROUPS.items()}
