@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkloom.functions.columns import first_of
 from sparkloom.functions.text import first_term, format_key
@@ -140,12 +140,13 @@ def _holds(steps: Column, words: Column) -> Column:
 
 
 class Prepared(NamedTuple):
-    """Queries in normal form with their terms; ``small`` tells that the terms may be broadcast."""
+    """Queries in normal form with their terms; ``small`` tells that the terms may be broadcast, ``any_all`` that some query asks for all of its terms."""
 
     table: DataFrame
     terms: DataFrame
     small: bool
     n_words: int
+    any_all: bool
 
 
 def prepare(queries: "DataFrame | Prepared") -> Prepared:
@@ -153,8 +154,8 @@ def prepare(queries: "DataFrame | Prepared") -> Prepared:
     if isinstance(queries, Prepared):
         return queries
     table, small = settle(prepare_queries(queries))
-    most = table.agg(F.max(F.size("terms"))).first()[0]
-    return Prepared(table, query_terms(table), small, (most or 0) // _BITS + 1)
+    most, n_all = table.agg(F.max(F.size("terms")), F.count_if((F.col("shape") == "all") & (F.size("terms") > 1))).first()
+    return Prepared(table, query_terms(table), small, (most or 0) // _BITS + 1, n_all > 0)
 
 
 def index_for(token_rows: DataFrame, n_docs: Column, queries: "DataFrame | Prepared") -> Index:
@@ -167,6 +168,23 @@ def index_for(token_rows: DataFrame, n_docs: Column, queries: "DataFrame | Prepa
     return build_index(token_rows.join(wanted, ["field", "term"], "left_semi"), n_docs)
 
 
+def _rarest_first(postings: DataFrame, weighted: DataFrame, prepared: Prepared) -> DataFrame:
+    """Postings (together by document) joined with the queries, where a query for all of its terms meets only documents that have its rarest one.
+
+    What a document has of these terms is read from its own postings, so a very frequent
+    term of such a query makes no rows for documents that cannot match.
+    """
+    of_all = prepared.table.filter((F.col("shape") == "all") & F.col("valid")).select("query_id")
+    named = F.struct("field", "term")
+    rare = weighted.join(F.broadcast(of_all), "query_id", "left_semi").groupBy("query_id").agg(F.min_by(named, F.struct("df", "field", "term")).alias("_rare"))
+    weighted = weighted.join(F.broadcast(rare), "query_id", "left")
+    marked = F.broadcast(rare.select("_rare.field", "_rare.term", F.col("_rare").alias("_mark")).distinct())
+    has = F.collect_set("_mark").over(Window.partitionBy("doc_id")).alias("_has")
+    held = postings.join(marked, ["field", "term"], "left").select(*postings.columns, has)
+    hits = held.join(F.broadcast(weighted), ["field", "term"])
+    return hits.filter(F.col("_rare").isNull() | F.array_contains("_has", F.col("_rare")))
+
+
 def match_scores(index: Index, queries: "DataFrame | Prepared") -> DataFrame:
     """Rows ``(query_id, doc_id, tfidf, tfidf_smooth)`` of all matching documents.
 
@@ -179,13 +197,13 @@ def match_scores(index: Index, queries: "DataFrame | Prepared") -> DataFrame:
     small = prepared.small
     if small and index.narrow:
         index = index.narrow(prepared.terms)
-    weighted = index.terms.join(hinted(prepared.terms, small), ["field", "term"]).drop("df")
+    weighted = index.terms.join(hinted(prepared.terms, small), ["field", "term"])
     if small:
         wanted = F.broadcast(prepared.terms.select("field", "term").distinct())
         # The terms are distinct, so this keeps rows as a semi join would; but Spark moves a semi
         # join below the count of postings, which would then differ from the one terms are counted by.
         postings = index.postings.join(wanted, ["field", "term"]).repartition("doc_id")
-        hits = postings.join(F.broadcast(weighted), ["field", "term"])
+        hits = _rarest_first(postings, weighted, prepared) if prepared.any_all else postings.join(F.broadcast(weighted), ["field", "term"])
     else:
         # A stop word holds a good part of all postings, so its rows are spread.
         hits = lookup_join(index.postings, weighted, ["field", "term"], ["doc_id"], "inner")

@@ -187,3 +187,15 @@ def test_field_scores_by_hand(spark):
     assert got.keys() == want.keys()
     assert all(abs(got[d] - want[d]) < 1e-5 for d in want)
     assert max(got, key=got.get) == 0
+
+
+def test_a_query_for_all_terms_starts_from_the_rarest(spark, corpus):
+    docs, df = corpus
+    index = I.build_index(I.text_tokens(df), I.collection_size(df))
+    queries = S.prepare(S.query_table(spark, {"a": S.term("hot") & S.term("w1"), "b": S.term("w2") | S.term("w3"), "c": S.term("hot") & S.term("nowhere"), "d": S.term("hot")}))
+    weighted = index.terms.join(queries.terms, ["field", "term"])
+    hits = S._rarest_first(index.postings.join(queries.terms.select("field", "term").distinct(), ["field", "term"]), weighted, queries)
+    got = {q: {r.doc_id for r in hits.filter(F.col("query_id") == q).select("doc_id").distinct().collect()} for q in "abd"}
+    having = lambda w: {d for d, t in docs if w in t.split()}
+    assert got["a"] == having("w1") and got["b"] == having("w2") | having("w3") and got["d"] == having("hot")
+    assert {r.query_id for r in S.match_scores(index, queries).select("query_id").distinct().collect()} == {"a", "b", "d"}
