@@ -2,6 +2,7 @@
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,8 @@ from sparkloom.llm.common import connected, mix, ngram_hashes, word_hashes
 from sparkloom.operators.scale import cut_lineage
 
 WORDS = 5
+# Size of the bitmap that tells dissimilar sets apart before they are compared; a power of two.
+BITMAP_LONGS = 32
 
 
 @dataclass(frozen=True)
@@ -90,11 +93,19 @@ def _sketch(banding: Banding):
     return run
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """``BITMAP_LONGS`` longs with a bit for every hash; a bit that one set has and another lacks is a hash that is not in both."""
+    bits = np.zeros(64 * BITMAP_LONGS, np.uint8)
+    bits[shingles & np.uint64(64 * BITMAP_LONGS - 1)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).cast(pa.large_binary())
-        sets = [shingle_set(text.as_py()).view(np.int64) for text in texts]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+        sets = [shingle_set(text.as_py()) for text in texts]
+        columns = [[s.view(np.int64) for s in sets], [bitmap(s) for s in sets]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.list_(pa.int64())) for c in columns)], names=["doc_id", "shingles", "bits"])
 
 
 def _similar(both: Column, n: Column, m: Column, percent: int) -> Column:
@@ -122,26 +133,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _residual(crowded: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of one bucket that the stars left in different components.
 
-    Such pairs are compared inside the join, so only links come out of it. Rows carry the
-    sets as 32-bit hashes; what those lose by chance inside a set is added back, so the
-    comparison never turns a link away, and what passes is confirmed on whole sets.
+    Such pairs are compared inside the join, so only links come out of it. Bitmaps come
+    first: they bound from below what one set has and the other lacks. Then the sets as
+    32-bit hashes; what those lose by chance inside a set is added back. So neither turns a
+    link away, and what passes is confirmed on whole sets.
     Buckets in one component, the usual case for groups of copies, do not take part.
     """
     placed = crowded.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
     placed = cut_lineage(placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("component")))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
     short = F.array_distinct(F.transform("shingles", lambda h: F.shiftright(h, 32).cast("int")))
-    members = placed.join(mixed, "key").join(sets.select(F.col("doc_id").alias("rep"), short.alias("short")), "rep")
+    members = placed.join(mixed, "key").join(sets.select(F.col("doc_id").alias("rep"), short.alias("short"), "bits"), "rep")
     members = cut_lineage(members)
     x, y = members.alias("x"), members.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
     lost = F.least(n - F.size("x.short"), m - F.size("y.short"))
     both = F.size(F.array_intersect("x.short", "y.short")) + lost
+
+    def missing(one: str, other: str) -> Column:
+        words = [F.bit_count(F.get(F.col(f"{one}.bits"), F.lit(k)).bitwiseAND(F.bitwise_not(F.get(F.col(f"{other}.bits"), F.lit(k))))) for k in range(BITMAP_LONGS)]
+        return reduce(Column.__add__, words)
+
     met = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.rep") < F.col("y.rep"))
         & (F.col("x.component") != F.col("y.component"))
         & _sizes_fit(n, m, percent)
+        & _similar(n - missing("x", "y"), n, m, percent)
+        & _similar(m - missing("y", "x"), n, m, percent)
         & _similar(both, n, m, percent)
     )
     pairs = x.join(y, met).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
@@ -181,7 +200,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     spokes = crowded.filter((F.col("rep") != F.col("center")) & _sizes_fit(F.col("n"), F.col("center_n"), percent))
     stars = spokes.select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     candidates = crowded.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut_lineage(docs.join(candidates, "doc_id").mapInArrow(_sets, "doc_id bigint, shingles array<bigint>"))
+    sets = cut_lineage(docs.join(candidates, "doc_id").mapInArrow(_sets, "doc_id bigint, shingles array<bigint>, bits array<bigint>"))
     links = cut_lineage(_confirmed(stars, sets, percent))
     groups = connected(links)
     more = cut_lineage(_residual(crowded, groups, sets, percent))
