@@ -78,12 +78,17 @@ _NUMBER = re.compile(r"[0-9]")
 
 # Parts without a cue that may lie between two parts of one block, or behind the last.
 _BRIDGE = 2
+# Characters of the longest block, and how far the pieces of a longer one overlap.
+_LONGEST_BLOCK, _OVERLAP = 8000, 2000
 # Templates whose wording is compared for a block, by rank; all that reduce as much as the last one are.
 _RANKED = 6
 
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Places of runs of parts with a cue, with up to two other parts between and after them."""
+    """Places of runs of parts with a cue, with up to two other parts between and after them.
+
+    A very long run is given out as pieces that overlap by more than any template is long.
+    """
     if not _CUE.search(text):
         return
     start = end = last = -1
@@ -93,10 +98,17 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         elif start >= 0 and k - last <= _BRIDGE:
             end = m.end()
         elif start >= 0:
-            yield start, end
+            yield from _pieces(start, end)
             start = -1
     if start >= 0:
-        yield start, end
+        yield from _pieces(start, end)
+
+
+def _pieces(start: int, end: int) -> Iterator[tuple[int, int]]:
+    while end - start > _LONGEST_BLOCK:
+        yield start, start + _LONGEST_BLOCK
+        start += _LONGEST_BLOCK - _OVERLAP
+    yield start, end
 
 
 class Scanner:
@@ -171,7 +183,11 @@ class Scanner:
                 }
             )
             todo += [(start, start + a), (start + b, end)]
-        return sorted(out, key=lambda f: f["start"])
+        kept: list[dict] = []
+        for f in sorted(out, key=lambda f: (f["start"] - f["end"], f["start"])):  # of what overlaps, the longest
+            if all(f["end"] <= k["start"] or k["end"] <= f["start"] for k in kept):
+                kept.append(f)
+        return sorted(kept, key=lambda f: f["start"])
 
 
 _FOUND = "doc_id bigint, license string, template int, start int, end int, reduction double, exact boolean, differences array<struct<template:string,text:string>>"

@@ -5,6 +5,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -36,7 +37,9 @@ _PAIR = re.compile(
 _LITERAL = re.compile(_QUOTED)
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.?|&)?[ \t]*(?=[\"'`])")
 _NAME = re.compile(r"\$?\{?(?P<ref>[A-Za-z_][A-Za-z0-9_.]{0,80})\}?(?![A-Za-z0-9_(\[])")
-_BARE = re.compile(r"[A-Za-z0-9+/_=.~!@#$%^&*-]{8,}")
+_BARE = re.compile(r"[A-Za-z0-9+/_=.~!@#$%^&*-]+")
+# Longer literals are data, not secrets.
+_LONGEST = 4096
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -57,39 +60,52 @@ def entropy(text: str) -> float:
 def literal_score(name: str, literal: str) -> int:
     """Points for the target name, and for length, mixture and entropy of the literal; 5 or more is a secret."""
     points = name_score(name)
-    if points < 2 or len(literal) < 8 or _PLACEHOLDER.match(literal) or " " in literal.strip():
+    if points < 2 or not 8 <= len(literal) <= _LONGEST or _PLACEHOLDER.match(literal) or " " in literal.strip():
         return 0
     kinds = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return points + (kinds >= 2) + (kinds >= 3) + (entropy(literal) >= 3) + (len(literal) >= 16)
 
 
-def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
-    """Name-literal pairs ``(name, literal, start, end)`` in order of their literals.
+class Literal(NamedTuple):
+    """Place of a literal, and the places of the pieces that make its text."""
+
+    start: int
+    end: int
+    pieces: tuple[tuple[int, int], ...]
+
+
+def assignments(text: str) -> Iterator[tuple[str, Literal]]:
+    """Pairs of a target name and its literal, in order of the names.
 
     A literal is quoted text (several joined pieces count as one), or a bare value up to the
     line's end as in configuration files. A name that was bound to a literal before stands
     for it: the pair then has the place of that literal.
     """
-    bound: dict[str, tuple[str, int, int]] = {}
+    bound: dict[str, Literal] = {}
+    bare_end = -1  # where the run of a bare value ends that was looked at last
     for m in _PAIR.finditer(text):
         name, at = m["name"], m.end()
         value = None
         q = _LITERAL.match(text, at)
         if q:
-            group = q.lastgroup or "double"
-            value = (q[group], q.start(group), q.end(group))
-            while (j := _JOIN.match(text, q.end())) and j.end() > q.end() and (more := _LITERAL.match(text, j.end())) and j[0].strip():
-                q, group = more, more.lastgroup or "double"
-                value = (value[0] + q[group], value[1], q.end(group))
+            pieces = [q.span(q.lastgroup)]
+            while (j := _JOIN.match(text, q.end())) and j[0].strip() and (more := _LITERAL.match(text, j.end())):
+                q = more
+                pieces.append(q.span(q.lastgroup))
+            value = Literal(pieces[0][0], pieces[-1][1], tuple(pieces))
         else:
             ref = _NAME.match(text, at)
             if ref and ref["ref"] in bound:
                 value = bound[ref["ref"]]
-            elif bare := _BARE.match(text, at):
-                value = (bare[0], bare.start(), bare.end())
+            else:
+                if at >= bare_end:
+                    bare = _BARE.match(text, at)
+                    bare_end = bare.end() if bare else at
+                if bare_end > at:
+                    value = Literal(at, bare_end, ((at, bare_end),))
         if value:
             bound[name] = value
-            yield (name, *value)
+            yield name, value
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -107,7 +123,12 @@ def method_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans of literals whose target names and shapes score as secrets; each place once."""
     if "=" not in text and ":" not in text:
         return []
-    return sorted({(start, 3, end) for name, literal, start, end in assignments(text) if literal_score(name, literal) >= 5})
+    found = set()
+    for name, literal in assignments(text):
+        if name_score(name) >= 2 and sum(b - a for a, b in literal.pieces) <= _LONGEST:
+            if literal_score(name, "".join(text[a:b] for a, b in literal.pieces)) >= 5:
+                found.add((literal.start, 3, literal.end))
+    return sorted(found)
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

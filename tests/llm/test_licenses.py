@@ -33,6 +33,13 @@ def test_notice_inside_a_long_line():
     assert [(f["license"], text[f["start"] : f["end"]]) for f in found] == [("CC-BY-4.0", "Licensed under CC BY 4.0")]
 
 
+def test_long_runs_of_cues():
+    notice = "Released under the MIT License."
+    text = "the license of the work is a license. " * 3000 + notice + " conditions of the license apply." * 3000
+    found = licenses.Scanner().scan(text)
+    assert [(f["license"], text[f["start"] : f["end"]]) for f in found] == [("MIT", notice[:-1])]
+
+
 def test_rows(documents, odd_texts):
     assert licenses.license_notices(documents(odd_texts)).count() == 0
     rows = licenses.license_notices(documents([(None, "é Released under the MIT License."), (1, "Released under the MIT License."), (1, "Released under the MIT License.")])).collect()
