@@ -46,6 +46,11 @@ RULES = (
 )
 
 
+METRICS = (
+    "n_words", "word_chars", "n_symbols", "n_exclamations", "n_stop_words", "n_lines", "n_dup_lines", "n_bullet_lines", "n_ellipsis_lines", "n_repeat_words",
+)
+
+
 def _covered(places: Column, width: int) -> Column:
     """How many words the windows at sorted, distinct ``places`` cover."""
     return F.aggregate(
@@ -169,9 +174,15 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     Row by row and without a shuffle: null and empty texts have no words and fail; repeated
     rows give repeated rows; null ids stay null; other columns of ``df`` are not looked at.
     """
-    measured = df.select(F.col(id_col), metrics(F.col(text_col)).alias("m"))
-    judged = measured.select(id_col, "m.*", base_failed(F.col("m")).alias("base_failed"), broken_rules(F.col("m"), rules).alias("broken"))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
+
+    def judged(m: Column) -> Column:
+        broken = broken_rules(m, rules)
+        kept = ~base_failed(m) & (F.size(broken) == 0)
+        counts = [m[name].alias(name) for name in METRICS]
+        return F.struct(*counts, base_failed(m).alias("base_failed"), broken.alias("broken"), kept.alias("kept"))
+
+    # One expression, so that a filter on a result repeats it once, not for every count that the result is made of.
+    return df.select(F.col(id_col), let(metrics(F.col(text_col)), judged).alias("_judged")).select(id_col, "_judged.*")
 
 
 def keep_good(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
