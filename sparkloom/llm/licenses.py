@@ -2,6 +2,7 @@
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,11 +28,18 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "or substantial portions of the Software.",
     ),
     (
-        "BSD-3-Clause",
+        "BSD-2-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must "
         "retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of "
         "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must "
+        "retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
@@ -67,7 +75,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    *((name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "MIT", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "ISC")),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "ISC")),
 )
 
 _CUE = re.compile(r"(?i)licen[cs]|copyright|permission|redistribut|spdx|public domain|free software|source code form|conditions")
@@ -80,8 +88,8 @@ _NUMBER = re.compile(r"[0-9]")
 _BRIDGE = 2
 # Characters of the longest block, and how far the pieces of a longer one overlap.
 _LONGEST_BLOCK, _OVERLAP = 8000, 2000
-# Templates whose wording is compared for a block, by rank; all that reduce as much as the last one are.
-_RANKED = 6
+# Words that tell one license from another; a template that lacks one of its own in a block is not there.
+_NAMING = frozenset("apache mit bsd gnu lesser mozilla isc cc sa nc nd creative commons attribution sharealike noncommercial".split())
 
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
@@ -115,6 +123,7 @@ class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         self.templates = templates
         self.words = [[w[0].lower() for w in _WORD.finditer(text)] for _, text in templates]
+        self.counts = [Counter(words) for words in self.words]
         self.alone = zstandard.ZstdCompressor(level=9, write_content_size=False)
         self.given = [
             zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
@@ -127,8 +136,14 @@ class Scanner:
         alone = len(self.alone.compress(data))
         return [1 - len(c.compress(data)) / alone for c in self.given]
 
+    def possible(self, found: list[re.Match]) -> dict[int, int]:
+        """Templates of which four fifths of the words are in the block in any order, with how many are: ``compare`` refuses all others."""
+        have = Counter(m[0].lower() for m in found)
+        common = {k: sum(min(n, have[w]) for w, n in words.items()) for k, words in enumerate(self.counts)}
+        return {k: n for k, n in common.items() if n >= 0.8 * len(self.words[k])}
+
     def compare(self, k: int, found: list[re.Match]) -> dict | None:
-        """The template laid over the block's words, None if under four fifths of it are there or a number differs."""
+        """The template laid over the block's words, None if under four fifths of it are there, a number differs or a naming word is not there."""
         want, have = self.words[k], [m[0].lower() for m in found]
         matcher = difflib.SequenceMatcher(None, want, have, autojunk=False)
         same = [b for b in matcher.get_matching_blocks() if b.size]
@@ -144,6 +159,8 @@ class Scanner:
         extra = last - first - kept
         if extra > 0.5 * len(want) or any(_NUMBER.search(a) and a != b for a, b in differences):
             return None
+        if any(not _NAMING.isdisjoint(a.split()) and not _NAMING.intersection(a.split()) <= set(b.split()) for a, b in differences):
+            return None
         return {"same": kept, "template_words": len(want), "extra": extra, "from": first, "to": last, "differences": differences}
 
     def scan(self, text: str) -> list[dict]:
@@ -156,12 +173,15 @@ class Scanner:
             if not _CUE.search(block):
                 continue
             found = [*_WORD.finditer(block)]
+            common = self.possible(found)
+            if not common:
+                continue
             gains = self.reductions(block)
-            bar = sorted(gains, reverse=True)[min(_RANKED, len(gains)) - 1]
             best = None
-            for k in sorted(range(len(gains)), key=lambda k: (-gains[k], k)):
-                if gains[k] < bar:
-                    break
+            for k in sorted(common, key=lambda k: (-gains[k], k)):
+                # No wording of k ranks higher than all its common words without a gap.
+                if best and 2 * common[k] - len(self.words[k]) <= best[0][0]:
+                    continue
                 match = self.compare(k, found)
                 if match:
                     rank = (match["same"] - match["extra"] - (match["template_words"] - match["same"]), gains[k], -k)

@@ -45,3 +45,26 @@ def test_rows(documents, odd_texts):
     rows = licenses.license_notices(documents([(None, "é Released under the MIT License."), (1, "Released under the MIT License."), (1, "Released under the MIT License.")])).collect()
     assert sorted(((r["doc_id"], r["start"]) for r in rows), key=repr) == [(1, 0), (1, 0), (None, 2)]
     assert licenses.license_notices(documents([(1, "a")]).limit(0)).count() == 0
+
+
+def test_short_notices_in_prose_about_licenses():
+    prose = (
+        "Permission to use a work is given by its holder under conditions that a license states. The copyright notice names the person who holds the copyright. "
+        "A license may permit any person to copy, modify, publish and distribute copies of the software for any purpose with or without fee, subject to the following conditions. "
+        "The conditions of redistribution in source and binary forms are stated in the documentation and in other materials provided with the distribution. "
+    )
+    scanner = licenses.Scanner()
+    for name, notice in [t for t in licenses.TEMPLATES if len(t[1]) < 120]:
+        text = f"{prose}{notice} {prose}"
+        found = scanner.scan(text)
+        assert [(f["license"], f["exact"]) for f in found] == [(name, True)], notice
+        assert text[found[0]["start"] :].startswith(notice[:-1])
+    assert scanner.scan(prose) == scanner.scan("Licensed under the Apache license.") == []
+
+
+def test_bsd_by_its_clauses():
+    two = next(t for name, t in licenses.TEMPLATES if name == "BSD-2-Clause")
+    third = " Neither the name of Example Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    assert [f["license"] for f in licenses.Scanner().scan(two)] == ["BSD-2-Clause"]
+    assert [f["license"] for f in licenses.Scanner().scan(two + third)] == ["BSD-3-Clause"]
+    assert [f["license"] for f in licenses.Scanner().scan("SPDX-License-Identifier: BSD-2-Clause")] == ["BSD-2-Clause"]
