@@ -10,6 +10,8 @@ MASKS = ("1111111", "11101001101", "1100110000111", "1010001011000101")
 # Whole items need this share of their tokens at the same offset, parts need HITS of SPAN.
 SHARE = 0.8
 SPAN, HITS = 20, 17
+# Longest block of neighbouring tokens that is a seed of its own, so that no overlap that holds is without a seed.
+BLOCK = 4
 
 # Seeds are broadcast up to this many rows of three numbers (about 30 MB as a hash table).
 BROADCAST_SEEDS = 500_000
@@ -37,6 +39,15 @@ def _seeds(df: DataFrame, masks: tuple[str, ...], at: str) -> DataFrame:
     return places.withColumn("seed", F.explode(seeds)).filter(F.col("seed").isNotNull())
 
 
+def _block_length(n: Column) -> Column:
+    """Length of the blocks that an item is cut into: more blocks than tokens may differ, so one block is whole.
+
+    Any SPAN tokens hold four blocks of four, of which three differences leave one.
+    """
+    differing = n - F.ceil(SHARE * n - 1e-9)
+    return F.least(F.lit(BLOCK), F.floor(n / (differing + 1))).cast("int")
+
+
 def _verified(hits: DataFrame) -> DataFrame:
     """Hits whose overlap holds: rows ``(doc_id, item_id, start, matched, n_tokens)``.
 
@@ -62,7 +73,8 @@ def contaminated(
 
     An item is held when a seed meets and, at that offset, ``SHARE`` of the item's tokens are
     equal or some ``SPAN`` tokens of it have ``HITS`` equal ones. Of several places the one with
-    most matches counts, then the first. Items shorter than all masks are found whole, without substitutions.
+    most matches counts, then the first. Besides the masks, blocks of at most ``BLOCK`` tokens of an item are seeds, so
+    an overlap that holds always has one, also in short items.
 
     The seeds of the benchmark are counted. Up to ``broadcast_seeds`` rows they go to the documents,
     whose windows are hashed, probed and verified in one stage: only verified overlaps are shuffled. Beyond, windows are
@@ -75,17 +87,15 @@ def contaminated(
     items = benchmark.filter(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), tokens(F.col(item_text_col)).alias("words"))
     items = cut_lineage(items.filter(F.size("words") > 0).distinct())
 
-    # Items under the shortest mask get one mask of their own length, which only they use.
-    shortest = min(len(m) for m in masks)
-    lengths = items.filter(F.size("words") < shortest).select(F.size("words").alias("n")).distinct()
-    whole = tuple("1" * r["n"] for r in lengths.orderBy("n").collect())  # fewer than the shortest mask has positions
-    seeds = _seeds(items.filter(F.size("words") >= shortest), masks, "item_at")
-    if whole:
-        seeds = seeds.unionByName(_seeds(items.filter(F.size("words") < shortest), whole, "item_at").filter("item_at = 0"))
+    seeds = _seeds(items, masks, "item_at")
+    length = _block_length(F.size("words"))
+    lengths = sorted(r["n"] for r in items.select(length.alias("n")).distinct().collect())  # at most BLOCK rows
+    for n in lengths:
+        seeds = seeds.unionByName(_seeds(items.filter(length == n), ("1" * n,), "item_at").filter(F.col("item_at") % n == 0))
     seeds = cut_lineage(seeds.select("seed", "item_id", "item_at").distinct())
     item_words = items.withColumnRenamed("words", "item_words")
 
-    windows = _seeds(docs, (*masks, *whole), "at")
+    windows = _seeds(docs, tuple(dict.fromkeys((*masks, *("1" * n for n in lengths)))), "at")
     if seeds.count() <= broadcast_seeds:
         hits = windows.join(F.broadcast(seeds), "seed").join(F.broadcast(item_words), "item_id")
     else:

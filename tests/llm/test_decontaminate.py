@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -58,3 +59,23 @@ def test_no_python_in_the_plan(spark, documents, benchmark, capsys):
     d.contaminated(documents([(1, "a")]), frame(spark, benchmark)).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("bound", [10**6, 0])
+def test_every_placement_of_substitutions(spark, documents, bound):
+    rng = random.Random(5)
+    lengths = [4, 5, 6, 7, 8, 9, 10, 12, 15, 16, 19, 24]
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in lengths}
+    rows, want = [], {}
+    for n, words in items.items():
+        allowed = n // 5
+        for m in (allowed, allowed + 1):
+            places = [*itertools.combinations(range(n), m)]
+            for gone in places if len(places) <= 70 else rng.sample(places, 70):
+                laid = ["other" if k in gone else w for k, w in enumerate(words)]
+                rows.append((len(rows), " ".join(["before", "it", *laid, "after"])))
+                part = any(sum(k not in gone for k in range(a, a + 20)) >= 17 for a in range(n - 19)) and n > 20
+                if m == allowed or part:
+                    want[(len(rows) - 1, n)] = (2, n - m, n)
+    got = d.contaminated(documents(rows), frame(spark, [(n, " ".join(words)) for n, words in items.items()]), broadcast_seeds=bound).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["start"], r["matched"], r["n_tokens"]) for r in got} == want
