@@ -26,7 +26,7 @@ SENSITIVE = {
 # Parts that say that the literal is about a secret, not one.
 HARMLESS = {"name", "file", "path", "url", "field", "label", "length", "len", "count", "type", "min", "max", "public", "example", "prompt", "id", "ttl", "expiry", "hint"}
 # Literals that stand where a secret will be filled in.
-_PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|changeme|change[-_]me|your[-_ ].*|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|none|null|nil|true|false|undefined|example|placeholder|test|dummy|todo)$")
+_PLACEHOLDER = re.compile(r"(?i)(?:x+|\*+|\.+|-+|changeme|change[-_]me|your[-_ ].*|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|none|null|nil|true|false|undefined|example|placeholder|test|dummy|todo)")
 
 _QUOTED = r"""(?:[rbuf]{0,2}"(?P<double>(?:[^"\\\n]|\\.)*)"|[rbuf]{0,2}'(?P<single>(?:[^'\\\n]|\\.)*)'|`(?P<tick>[^`\n]*)`)"""
 # name : type = value, name := value, "name" => value, name: value, -Dname=value, obj.name = value, a["name"] = value
@@ -38,8 +38,8 @@ _LITERAL = re.compile(_QUOTED)
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.?|&)?[ \t]*(?=[\"'`])")
 _NAME = re.compile(r"\$?\{?(?P<ref>[A-Za-z_][A-Za-z0-9_.]{0,80})\}?(?![A-Za-z0-9_(\[])")
 _BARE = re.compile(r"[A-Za-z0-9+/_=.~!@#$%^&*-]+")
-# Longer literals are data, not secrets.
-_LONGEST = 4096
+# What a literal with spaces has to have inside: the header of a key, or a word of letters and digits.
+_SPACED = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY|(?<![^ ])(?=[^ ]*[0-9])(?=[^ ]*[A-Za-z])[^ ]{8,}")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -52,18 +52,29 @@ def name_score(name: str) -> int:
     return sum(SENSITIVE.get(p, 0) for p in [*parts, *pairs])
 
 
-def entropy(text: str) -> float:
-    n = len(text)
-    return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
+def entropy(counts: Counter) -> float:
+    n = counts.total()
+    return -sum(c / n * math.log2(c / n) for c in counts.values() if c) if n else 0.0
+
+
+def _shape(counts: Counter) -> int:
+    """Points for the length, mixture and entropy of a literal with these characters."""
+    used = [c for c, n in counts.items() if n]
+    kinds = sum(any(re.match(p, c) for c in used) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    return (kinds >= 2) + (kinds >= 3) + (entropy(counts) >= 3) + (counts.total() >= 16)
 
 
 def literal_score(name: str, literal: str) -> int:
-    """Points for the target name, and for length, mixture and entropy of the literal; 5 or more is a secret."""
+    """Points for the target name, and for length, mixture and entropy of the literal; 5 or more is a secret.
+
+    Literals with spaces count if they hold a private key or a word of letters and digits, or stand for a passphrase.
+    """
     points = name_score(name)
-    if points < 2 or not 8 <= len(literal) <= _LONGEST or _PLACEHOLDER.match(literal) or " " in literal.strip():
+    if points < 2 or len(literal) < 8 or _PLACEHOLDER.fullmatch(literal):
+        return 0
+    if " " in literal.strip() and "passphrase" not in name.lower() and not _SPACED.search(literal):
         return 0
-    kinds = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return points + (kinds >= 2) + (kinds >= 3) + (entropy(literal) >= 3) + (len(literal) >= 16)
+    return points + _shape(Counter(literal))
 
 
 class Literal(NamedTuple):
@@ -124,10 +135,28 @@ def method_spans(text: str) -> list[tuple[int, int, int]]:
     if "=" not in text and ":" not in text:
         return []
     found = set()
+    seen: dict[Literal, tuple[bool, bool, int]] = {}  # whether it can be a secret, also beside other names than a passphrase's, and its shape
+    last: dict[int, tuple[int, Counter]] = {}  # characters of the last literal without quotes, by its end
     for name, literal in assignments(text):
-        if name_score(name) >= 2 and sum(b - a for a, b in literal.pieces) <= _LONGEST:
-            if literal_score(name, "".join(text[a:b] for a, b in literal.pieces)) >= 5:
-                found.add((literal.start, 3, literal.end))
+        points = name_score(name)
+        if points < 2:
+            continue
+        if literal not in seen:
+            (a, b), *more = literal.pieces
+            if not more and b in last and last[b][0] <= a:  # the rest of the same run
+                counts = last[b][1]
+                counts.subtract(text[last[b][0] : a])
+            else:
+                counts = Counter("".join(text[x:y] for x, y in literal.pieces))
+            if not more:
+                last[b] = (a, counts)
+            placeholder = _PLACEHOLDER.fullmatch("".join(text[x:y] for x, y in literal.pieces)) if more else _PLACEHOLDER.fullmatch(text, a, b)
+            joined = "" if not counts[" "] else "".join(text[x:y] for x, y in literal.pieces)
+            free = " " not in joined.strip() or bool(_SPACED.search(joined))
+            seen[literal] = (counts.total() >= 8 and not placeholder, free, _shape(counts))
+        possible, free, shape = seen[literal]
+        if possible and (free or "passphrase" in name.lower()) and points + shape >= 5:
+            found.add((literal.start, 3, literal.end))
     return sorted(found)
 
 
