@@ -1,5 +1,6 @@
 """DuckDB SQL with the rows of those queries that SQL can express."""
 
+from sparkloom.llm import fingerprints
 from sparkloom.llm.decontaminate import HITS, MASKS, SHARE, SPAN
 from sparkloom.llm.quality import RULES, STOP_WORDS
 from sparkloom.llm.url_filter import RULES as URL_RULES
@@ -105,3 +106,71 @@ select page_id, host, path, case {rule} end as rule,
 
 
 URL_FILTER = _url_filter()
+
+
+# CRC-32 of a text: its table of 256 entries by rule, then one step per byte.
+_CRC_TABLE = """tab as (select list(entry order by i) as tab from (select i, list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) as entry from range(256) r(i)))"""
+
+
+def _crc(text: str) -> str:
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda k: cast('0x' || substr(hex(encode({text})), cast(2 * k + 1 as bigint), 2) as bigint))"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)]), 4294967295), 4294967295)"
+
+
+RUNS = rf"""
+with {_CRC_TABLE},
+d as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w, {_crc("cast(doc_id as varchar)")} as h from documents, tab),
+e as (select doc_id, w, h, case when len(w) > 0 then (h // 10) % len(w) end as a from d),
+f as (select doc_id, w, h, a, 1 + (len(w) - a) // (3 + (h // 10) % 8) as p from e),
+t as (select doc_id, case when h % 10 = 0 and len(w) > 0 then list_transform(range(len(w)), lambda i: case when i < a then w[i + 1] else w[a + (i - a) % p + 1] end) else w end as w from f),
+g as (select doc_id, len(w) as n, i, md5(array_to_string(w[i + 1:i + 5], ' ')) as gram from (select doc_id, w, unnest(range(0, len(w) - 4)) as i from t)),
+same as (select x.doc_id, x.i, y.i - x.i as q from g x join g y using (doc_id, gram) where y.i > x.i and 4 * (y.i - x.i) <= x.n),
+r as (select doc_id, start, length, min(q) as period from (
+  select doc_id, q, min(i) as start, count(*) + 4 + q as length from (select *, i - row_number() over (partition by doc_id, q order by i) as island from same) group by doc_id, q, island)
+  where length >= greatest(6, 4 * q) group by 1, 2, 3),
+best as (select * from r qualify row_number() over (partition by doc_id order by length / period desc, start, period) = 1),
+listed as (select doc_id, count(*) as n, string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period) as s from r group by 1),
+gone as (select distinct doc_id, unnest(range(start + period, start + length)) as i from r),
+kept as (select x.doc_id, string_agg(word, ' ' order by x.i) as s from (select doc_id, unnest(w) as word, unnest(range(len(w))) as i from t) x anti join gone on gone.doc_id = x.doc_id and gone.i = x.i group by 1)
+select t.doc_id, coalesce(listed.n, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
+  sha256(coalesce(listed.s, '')) as runs_sha256, sha256(coalesce(kept.s, '')) as collapsed_sha256
+from t left join best using (doc_id) left join listed using (doc_id) left join kept using (doc_id)
+"""
+
+VARIANTS = rf"""
+with recursive {_CRC_TABLE},
+x as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as x, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as run from documents) group by 1, 2),
+h as (select x, n, {_crc("concat(doc_id, ':', x)")} as h from x, tab),
+w as (select case when h % 31 = 0 then concat(substr(x, 1, h % length(x)), substr(x, h % length(x) + 2)) else x end as word, cast(sum(n) as bigint) as n from h group by 1 having length(word) >= 7 and sum(n) >= 2),
+lost as (select distinct word, n, k, concat(substr(word, 1, k - 1), substr(word, k + 1)) as rest from (select word, n, unnest(range(1, length(word) + 1)) as k from w)),
+pairs as (select a.word, a.n, b.word as near, b.n as near_n from lost a join lost b on a.rest = b.rest and a.k = b.k and a.word <> b.word
+  union select w.word, w.n, l.word, l.n from w join lost l on l.rest = w.word union select l.word, l.n, w.word, w.n from w join lost l on l.rest = w.word),
+best as (select word, count(*) as n_near from pairs group by 1),
+form as (select word, near as form, near_n as form_n from (select * from pairs qualify row_number() over (partition by word order by near_n desc, near) = 1) where near_n >= 10 * n),
+chain as (select word, form as far, 1 as step from form union all select c.word, f.form, step + 1 from chain c join form f on f.word = c.far),
+ends as (select word, far as root from chain qualify row_number() over (partition by word order by step desc) = 1)
+select word, form, coalesce(root, word) as root, n, coalesce(n_near, 0) as n_near, form_n from w left join best using (word) left join form using (word) left join ends using (word)
+"""
+
+_K, _DIGITS, _WIDTH = fingerprints.SIZE, fingerprints.DIGITS, fingerprints.WIDTH
+
+
+def _sketch(words: str) -> str:
+    return f"""list_sort(list_distinct(list_transform(case when len({words}) = 0 then [] else range(greatest(len({words}) - {_WIDTH - 1}, 1)) end,
+  lambda i: left(md5(array_to_string({words}[i + 1:i + {_WIDTH}], ' ')), {_DIGITS}))))[1:{_K}]"""
+
+
+def _resemblance(a: str, b: str) -> str:
+    union = f"list_sort(list_distinct(list_concat({a}, {b})))[1:{_K}]"
+    return f"case when len({a}) = 0 and len({b}) = 0 then 1.0 else len(list_intersect({union}, list_intersect({a}, {b}))) / len({union}) end"
+
+
+FINGERPRINTS = rf"""
+with d as (select doc_id, coalesce(text, '') as t, coalesce(lead(text) over (order by doc_id desc), first_value(text) over (order by doc_id desc), '') as next from documents),
+e as (select doc_id, t, next, substr(t, 1, length(t) - length(t) // 2) || substr(next, 1, length(t) // 2) as edited from d),
+w as (select *, {_WORDS.format("t")} as wt, {_WORDS.format("edited")} as we, {_WORDS.format("next")} as wn from e),
+s as (select doc_id, length(t) as n_chars, sha256(edited) as edited_sha256, {_sketch("wt")} as a, {_sketch("we")} as b, {_sketch("wn")} as c from w)
+select doc_id, cast(n_chars as bigint) as n_chars, edited_sha256, array_to_string(a, '') as fingerprint, array_to_string(b, '') as edited_fingerprint,
+  cast({_resemblance("a", "b")} as double) as near_edited, cast({_resemblance("a", "c")} as double) as near_next from s
+"""
