@@ -117,18 +117,19 @@ def edited_by_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    docs = docs.select("*", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("mark"))
+    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("mark"))
     n = F.length("text").cast("bigint")
 
     ids = _numbered(docs.select("doc_id", "mark", n.alias("n")))
     ids = cut_lineage(ids.withColumn("id", F.coalesce("doc_id", F.lit(0))))
-    wants = ids.select(F.col("next_at").alias("at"), F.col("id").alias("to_id"), F.col("mark").alias("to_mark"), F.floor(F.col("n") / 2).cast("int").alias("give"))
+    docs = docs.drop("doc_id")  # it comes with the ids: both joins read the same columns, so texts are dealt once
+    wants = ids.select(F.col("next_at").alias("at"), F.col("doc_id"), F.col("id").alias("to_id"), F.col("mark").alias("to_mark"), F.floor(F.col("n") / 2).cast("int").alias("give"))
     wants = ids.select("at", "id", "mark").join(wants, "at").drop("at")
 
-    gives = docs.join(wants, ["id", "mark"]).select("id", "mark", "to_id", "to_mark", "text", F.left("text", F.col("give")).alias("head"))
-    gives = gives.groupBy("id", "mark").agg(*[F.first(c).alias(c) for c in ("to_id", "to_mark", "text", "head")])  # repeated rows give once
+    gives = docs.join(wants, ["id", "mark"]).select("id", "mark", "doc_id", "to_id", "to_mark", "text", F.left("text", F.col("give")).alias("head"))
+    gives = gives.groupBy("id", "mark").agg(*[F.first(c).alias(c) for c in ("doc_id", "to_id", "to_mark", "text", "head")])  # repeated rows give once
     packed = F.unhex(F.array_join(sketch(F.col("text"), size, width), "")).alias("next_hashes")
-    gives = gives.select(F.col("to_id").alias("id"), F.col("to_mark").alias("mark"), "head", packed)
+    gives = gives.select("doc_id", F.col("to_id").alias("id"), F.col("to_mark").alias("mark"), "head", packed)
 
     own = F.left("text", n - F.floor(n / 2))
     joined = docs.join(gives, ["id", "mark"]).select("doc_id", n.alias("n_chars"), "text", F.concat(own, "head").alias("edited"), "next_hashes")
