@@ -206,6 +206,15 @@ def bm25_stored(spark, sf_dir):
     return B.field_scores(B.read_field_index(spark, path), wanted).withColumn("score", F.round("score", 6))
 
 
+def bm25_null_query(spark, sf_dir):
+    """Best parts for every part type and one query without text, in a stored index: the latter finds nothing."""
+    path = scratch_path(spark, "fields")
+    B.write_field_index(B.field_index(B.field_documents(part_documents(spark, sf_dir))), path, buckets=8)
+    types = read(spark, sf_dir, "part").select(F.col("p_type").alias("query_id"), F.col("p_type").alias("text")).distinct()
+    queries = types.unionByName(spark.createDataFrame([("none", None)], "query_id string, text string"))
+    return B.search_fields(B.read_field_index(spark, path), queries, k=3)
+
+
 def field_index_mixed_buckets(spark, sf_dir):
     """Multi-field search in an index stored by two batches with their own numbers of buckets."""
     path = scratch_path(spark, "fields")
@@ -229,8 +238,27 @@ def create_search_index(spark, sf_dir):
     )
     for mode, rest in (("overwrite", 0), ("append", 1)):
         jobs.create_search_index(rows.filter(F.pmod(F.length("name"), F.lit(2)) == rest), path, mode, 4)
-    stored = spark.read.parquet(f"{path}/documents").select("doc_id", "content", "source", F.lit(True).alias("good"))
-    bad = spark.read.schema("name string, record string").json(f"{path}/_corrupt")
+    return _stored_records(spark, path)
+
+
+def create_search_index_appended(spark, sf_dir):
+    """Searchable documents after an append that dies before its commit and is repeated: each one once."""
+    path = scratch_path(spark, "search")
+    parts = part_records(spark, sf_dir)
+    rows = parts.select(F.concat(F.lit("part "), "doc_id").alias("name"), F.to_json(F.struct("make", "tags")).alias("record"), F.lit("f").alias("source"))
+    later = rows.filter(F.pmod(F.length("name"), F.lit(2)) == 1)
+    jobs.create_search_index(rows.filter(F.pmod(F.length("name"), F.lit(2)) == 0), path, "overwrite", 4)
+    # What such an append leaves behind: its documents, and no commit.
+    half = later.select(F.col("name").alias("doc_id"), "name", F.lit("half").alias("content"), "source", F.lit("dead").alias("batch"))
+    half.write.mode("append").partitionBy("batch").parquet(f"{path}/documents")
+    index = jobs.create_search_index(later, path, "append", 4)
+    found = index.postings.filter(F.col("field") == B.EXACT).select(F.col("term").alias("name"), "doc_id")
+    return jobs.indexed_documents(spark, path).join(found, ["doc_id", "name"]).select("doc_id", "content", "source")
+
+
+def _stored_records(spark, path):
+    stored = jobs.indexed_documents(spark, path).select("doc_id", "content", "source", F.lit(True).alias("good"))
+    bad = jobs.rejected_records(spark, path)
     return stored.unionByName(bad.select(F.col("name").alias("doc_id"), F.col("record").alias("content"), F.lit(None).cast("string").alias("source"), F.lit(False).alias("good")))
 
 
@@ -259,6 +287,8 @@ QUERIES = {
         bm25_stored,
         field_index_mixed_buckets,
         create_search_index,
+        create_search_index_appended,
+        bm25_null_query,
     )
 }
 
@@ -323,6 +353,13 @@ wanted as (select query_id, field, term, count(*) as qtf from (
   select query_id, 'name' as field, term from words union all select query_id, 'content', term from words
   union all select query_id, 'exact_name', text from texts) w group by all)
 """
+_TYPES = r"""
+texts as (select distinct p_type as query_id, p_type as text from part union all select 'none', null),
+words as (select query_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) as term from texts),
+wanted as (select query_id, field, term, count(*) as qtf from (
+  select query_id, 'name' as field, term from words union all select query_id, 'content', term from words
+  union all select query_id, 'exact_name', text from texts where text is not null) w group by all)
+"""
 _SCOPED = """
 wanted as (select *, 1 as qtf from (values ('s1', 'make.type', 'economy'), ('s2', 'Brand Name', 'brand'), ('s2', 'Brand Name', '17'), ('s3', 'tags', '7')) v(query_id, field, term))
 """
@@ -366,6 +403,9 @@ ORACLES = {
         concat_ws(chr(10), p_brand, p_type, p_type, 'size ' || p_size) as content,
         '{{"id":' || p_size || ',"make":{"Brand Name":' || to_json(p_brand) || ',"type":' || to_json(p_type) || '},"tags":[' || to_json(p_type) || ',' || to_json('size ' || p_size) || ']}' as broken from part)
       select name as doc_id, case when bad then broken else content end as content, case when not bad then source end as source, not bad as good from p""",
+    "create_search_index_appended": "select 'part ' || p_partkey as doc_id, concat_ws(chr(10), p_brand, p_type, p_type, 'size ' || p_size) as content, 'f' as source from part",
+    "bm25_null_query": f"""with {PART_FIELDS}, {_TYPES}, {_BM25} select query_id, doc_id, score, cast(rank as integer) as rank from (
+     select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from scores) r where rank <= 3""",
     "field_documents": f"with {PART_FIELDS} select doc_id, field, array_to_string(tokens, ' ') as tokens from fields",
     "record_content": "select p_partkey as doc_id, concat_ws(chr(10), p_brand, p_type, p_type, 'size ' || p_size) as content from part",
     "bm25_multi_field": f"with {PART_FIELDS}, {_WANTED}, {_BM25} select * from scores",

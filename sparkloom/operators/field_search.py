@@ -11,6 +11,7 @@ from sparkloom.functions.text import analyze
 from sparkloom.operators.index import BUCKETS, StoredIndex, read_batches, store_batch
 from sparkloom.operators.leaves import content
 from sparkloom.operators.scale import cut_lineage, hinted, lookup_join, settle, top_k
+from sparkloom.operators.topk import DIRECT_HITS, numbered, placed, pruned
 
 NAME, CONTENT, EXACT = "name", "content", "exact_name"
 
@@ -18,13 +19,15 @@ NAME, CONTENT, EXACT = "name", "content", "exact_name"
 class FieldIndex(NamedTuple):
     """``postings (field, term, doc_id, dl, tf)``, ``terms (field, term, df)``, ``stats (field, n_docs, total)``.
 
-    A stored index has ``narrow``: the same index reduced to the rows of wanted terms.
+    A stored index has ``narrow``: the same index reduced to the rows of wanted terms. One that is made on the way
+    has ``settled``: the same index with its postings computed once and stored.
     """
 
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
     narrow: "Callable[[DataFrame], FieldIndex] | None" = None
+    settled: "Callable[[], FieldIndex] | None" = None
 
 
 def search_documents(
@@ -109,7 +112,11 @@ def field_index(rows: DataFrame, only: DataFrame | None = None) -> FieldIndex:
             postings = lookup_join(counted, only, ["field", "term"], ["doc_id"], "left_semi")
             return _field_index(postings, tokens.filter(F.col("term") == _WHOLE).withColumn("tf", F.lit(1)))
     counted = tokens.groupBy("field", "term", "doc_id", "dl").agg(F.count("*").alias("tf"), F.bool_or(F.col("term") == _WHOLE).alias("_whole"))
-    return _field_index(counted.filter(~F.col("_whole")).drop("_whole"), counted.filter("_whole").drop("_whole"))
+
+    def index(rows: DataFrame) -> FieldIndex:
+        return _field_index(rows.filter(~F.col("_whole")).drop("_whole"), rows.filter("_whole").drop("_whole"))
+
+    return index(counted)._replace(settled=lambda: index(cut_lineage(counted)))
 
 
 def _field_index(postings: DataFrame, whole: DataFrame) -> FieldIndex:
@@ -118,9 +125,12 @@ def _field_index(postings: DataFrame, whole: DataFrame) -> FieldIndex:
     return FieldIndex(postings, terms, stats)
 
 
-def write_field_index(index: FieldIndex, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
-    """Store the index by term bucket; ``mode="append"`` adds further documents, with any number of buckets."""
-    store_batch(index.postings, lambda _: index.stats, path, mode, buckets)
+def write_field_index(index: FieldIndex, path: str, mode: str = "overwrite", buckets: int = BUCKETS, beside: dict[str, DataFrame] | None = None) -> None:
+    """Store the index by term bucket; ``mode="append"`` adds further documents, with any number of buckets.
+
+    Tables named in ``beside`` are committed together with it.
+    """
+    store_batch(index.postings, lambda _: index.stats, path, mode, buckets, beside)
 
 
 def read_field_index(spark: SparkSession, path: str) -> FieldIndex:
@@ -138,7 +148,7 @@ def read_field_index(spark: SparkSession, path: str) -> FieldIndex:
 def field_query_terms(queries: DataFrame, fields: tuple[str, ...] = (NAME, CONTENT, EXACT)) -> DataFrame:
     """Rows ``(query_id, field, term, qtf)`` of ``(query_id, text)``.
 
-    A query row with a ``field`` searches that field only.
+    A query row with a ``field`` searches that field only. A NULL text has no terms.
     """
     if "field" not in queries.columns:
         queries = queries.withColumn("field", F.lit(None).cast("string"))
@@ -148,7 +158,7 @@ def field_query_terms(queries: DataFrame, fields: tuple[str, ...] = (NAME, CONTE
         F.explode(F.when(F.col("field").isNotNull(), F.array("field")).otherwise(F.array(*map(F.lit, fields)))).alias("field"),
     )
     terms = F.when(F.col("field") == EXACT, F.array("text")).otherwise(analyze(F.col("text")))
-    rows = scoped.select("query_id", "field", F.explode(terms).alias("term"))
+    rows = scoped.select("query_id", "field", F.explode(terms).alias("term")).filter(F.col("term").isNotNull())
     return rows.groupBy("query_id", "field", "term").agg(F.count("*").alias("qtf"))
 
 
@@ -159,9 +169,25 @@ def stored_length(dl: Column) -> Column:
     return F.when(dl < 24, dl).otherwise(24 + F.floor(over / step) * step)
 
 
+def term_weight(df: Column, n_docs: Column) -> Column:
+    return F.log(1 + (n_docs - df + 0.5) / (df + 0.5))
+
+
+def saturation(tf: Column, dl: Column, n_docs: Column, total: Column) -> Column:
+    """What a posting adds per unit of its term's weight."""
+    return tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * dl / (total / n_docs)))
+
+
 def bm25(tf: Column, df: Column, dl: Column, n_docs: Column, total: Column) -> Column:
-    idf = F.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-    return idf * tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * dl / (total / n_docs)))
+    return term_weight(df, n_docs) * saturation(tf, dl, n_docs, total)
+
+
+def _weighted(index: FieldIndex, wanted: DataFrame, small: bool) -> DataFrame:
+    """``wanted`` with the statistics of its terms and fields."""
+    weighted = index.terms.join(hinted(wanted, small), ["field", "term"])
+    # At most one row per wanted term is left of the statistics.
+    stats = index.stats.join(hinted(wanted.select("field").distinct(), small), "field", "left_semi")
+    return weighted.join(hinted(stats, small), "field")
 
 
 def field_scores(index: FieldIndex, wanted: DataFrame, exact_lengths: bool = False) -> DataFrame:
@@ -170,10 +196,7 @@ def field_scores(index: FieldIndex, wanted: DataFrame, exact_lengths: bool = Fal
     if small and index.narrow:
         index = index.narrow(wanted)
     postings = index.postings
-    weighted = index.terms.join(hinted(wanted, small), ["field", "term"])
-    # At most one row per wanted term is left of the statistics.
-    stats = index.stats.join(hinted(wanted.select("field").distinct(), small), "field", "left_semi")
-    weighted = weighted.join(hinted(stats, small), "field")
+    weighted = _weighted(index, wanted, small)
     if small:
         # A document's postings of query terms meet before they multiply by queries.
         kept = F.broadcast(wanted.select("field", "term").distinct())
@@ -186,14 +209,41 @@ def field_scores(index: FieldIndex, wanted: DataFrame, exact_lengths: bool = Fal
     return hits.groupBy("query_id", "doc_id").agg(F.sum(score).alias("score"))
 
 
+def best_field_scores(index: FieldIndex, wanted: DataFrame, k: int, exact_lengths: bool = False, direct: int = DIRECT_HITS) -> DataFrame:
+    """``field_scores`` rounded to six digits, without most of the documents that are not among the best ``k`` of a query.
+
+    A posting's impact (its saturated frequency) does not depend on the query, so documents are grouped by the sum of
+    theirs, and a document meets a query only if it has a term that is essential for the k-th score.
+    Where the queries have no more than ``direct`` postings to meet, all matches are scored instead.
+    """
+    wanted, small = settle(wanted)
+    if small:
+        index = index.narrow(wanted) if index.narrow else index.settled() if index.settled else index
+        hits = index.terms.join(F.broadcast(wanted), ["field", "term"]).agg(F.sum("df")).first()[0] or 0
+    if not small or hits <= direct:
+        return field_scores(index, wanted, exact_lengths).withColumn("score", F.round("score", 6))
+    numbers = numbered(wanted.select("query_id"))
+    weight = F.col("qtf") * term_weight(F.col("df"), F.col("n_docs"))
+    weighted = _weighted(index, wanted, small).join(F.broadcast(numbers), "query_id").select("query", "field", "term", weight.alias("weight"))
+    weighted = cut_lineage(weighted)
+    dl = F.col("dl") if exact_lengths else stored_length(F.col("dl"))
+    kept = index.postings.join(F.broadcast(wanted.select("field", "term").distinct()), ["field", "term"]).join(F.broadcast(index.stats), "field")
+    rows = placed(kept, saturation(F.col("tf"), dl, F.col("n_docs"), F.col("total")))
+
+    def scores(hits: DataFrame) -> DataFrame:
+        return hits.groupBy("query", "doc_id").agg(F.round(F.sum(F.col("impact") * F.col("weight")), 6).alias("score"))
+
+    return pruned(rows, weighted, scores, k).join(F.broadcast(numbers), "query").select("query_id", "doc_id", "score")
+
+
 def search_fields(
     index: FieldIndex,
     queries: DataFrame,
     fields: tuple[str, ...] = (NAME, CONTENT, EXACT),
     k: int = 5,
     exact_lengths: bool = False,
+    direct: int = DIRECT_HITS,
 ) -> DataFrame:
     """Best ``k`` documents per query ``(query_id, text)``, score summed over fields; ties by document."""
-    scores = field_scores(index, field_query_terms(queries, fields), exact_lengths)
-    rounded = scores.withColumn("score", F.round("score", 6))
+    rounded = best_field_scores(index, field_query_terms(queries, fields), k, exact_lengths, direct)
     return top_k(rounded, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, ["doc_id"])

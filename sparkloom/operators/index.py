@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sparkloom.fixed_values import FIELD_TERM_MAX_CHARS
 from sparkloom.functions.text import format_key, tokenize
-from sparkloom.operators.scale import lookup_join
+from sparkloom.operators.scale import cut_lineage, lookup_join
 
 BUCKETS = 256
 
@@ -22,12 +22,15 @@ BUCKETS = 256
 class Index(NamedTuple):
     """``postings (field, term, doc_id, tf)`` and ``terms (field, term, df, idf_standard, idf_smooth)``.
 
-    A stored index has ``narrow``: the same index reduced to the rows of wanted terms.
+    A stored index has ``narrow``: the same index reduced to the rows of wanted terms. One that is made on the way
+    has ``settled``: the same index with its postings computed once and stored. ``n_docs`` is the size of the collection.
     """
 
     postings: DataFrame
     terms: DataFrame
     narrow: "Callable[[DataFrame], Index] | None" = None
+    settled: "Callable[[], Index] | None" = None
+    n_docs: Column | None = None
 
 
 def tokens(leaves: DataFrame) -> DataFrame:
@@ -88,7 +91,12 @@ def term_stats(postings_df: DataFrame, n_docs: Column) -> DataFrame:
 def build_index(token_rows: DataFrame, n_docs: Column) -> Index:
     """Index of ``(field, term, doc_id)`` rows from a collection of ``n_docs`` documents."""
     counted = postings(token_rows)
-    return Index(counted, term_stats(counted, n_docs))
+
+    def settled() -> Index:
+        stored = cut_lineage(counted)
+        return Index(stored, term_stats(stored, n_docs), n_docs=n_docs)
+
+    return Index(counted, term_stats(counted, n_docs), None, settled, n_docs)
 
 
 def sorted_index(index: Index) -> DataFrame:
@@ -135,14 +143,18 @@ def _stored(table: DataFrame, path: str, batch: str) -> DataFrame:
     return table.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch") == batch)
 
 
-def store_batch(postings_df: DataFrame, sizes: Callable[[DataFrame], DataFrame], path: str, mode: str, buckets: int) -> None:
+def store_batch(
+    postings_df: DataFrame, sizes: Callable[[DataFrame], DataFrame], path: str, mode: str, buckets: int, beside: dict[str, DataFrame] | None = None
+) -> None:
     """Store postings, term counts and ``sizes`` (made from the stored postings), then commit them by one row.
 
-    The commit is written last and alone: a job that dies before leaves files that no
-    reader looks at, and running it again adds nothing twice. ``mode="overwrite"`` starts
+    Tables named in ``beside`` belong to the same batch. The commit is written last and alone: a job that dies before
+    leaves files that no reader looks at, and running it again adds nothing twice. ``mode="overwrite"`` starts
     a new generation, which hides all batches before.
     """
     spark, batch = postings_df.sparkSession, uuid.uuid4().hex
+    for name, rows in (beside or {}).items():
+        rows.withColumn("batch", F.lit(batch)).write.mode("append").partitionBy("batch").parquet(f"{path}/{name}")
     stored = _stored(postings_df.withColumn("bucket", term_bucket(buckets)), f"{path}/postings", batch)
     freqs = stored.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
     _stored(freqs, f"{path}/freqs", batch)
@@ -189,7 +201,7 @@ class StoredIndex(NamedTuple):
             for n in counts
         ]
         kept = reduce(Column.__or__, parts, F.lit(False))
-        terms = sorted({p["term"] for p in places})
+        terms = sorted({p["term"] for p in places if p["term"] is not None})
         if len(terms) <= _NAMED_TERMS:
             kept = kept & F.col("term").isin(terms)
         return self._replace(postings=self.postings.filter(kept), freqs=self.freqs.filter(kept))
@@ -215,6 +227,12 @@ def read_batches(spark: SparkSession, path: str) -> StoredIndex:
     )
 
 
+def read_beside(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """Rows of a table that was stored beside an index, of committed batches alone."""
+    mine = F.col("batch").isin([b.batch for b in read_batches(spark, path).batches])
+    return spark.read.schema(f"{schema}, batch string").parquet(f"{path}/{name}").filter(mine).drop("batch")
+
+
 def write_index(postings_df: DataFrame, n_docs: int, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
     """Store an index by term bucket, so that a lookup reads the buckets of its terms only.
 
@@ -233,7 +251,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     def index(part: StoredIndex, narrow) -> Index:
         freqs = part.freqs.groupBy("field", "term").agg(F.sum("df").alias("df"))
         weights = idf_standard(F.col("df"), n_docs).alias("idf_standard"), idf_smooth(F.col("df"), n_docs).alias("idf_smooth")
-        return Index(part.postings.drop("batch", "bucket"), freqs.select("field", "term", "df", *weights), narrow)
+        return Index(part.postings.drop("batch", "bucket"), freqs.select("field", "term", "df", *weights), narrow, n_docs=n_docs)
 
     return index(whole, lambda wanted: index(whole.narrowed(wanted), None))
 

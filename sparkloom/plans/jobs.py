@@ -84,8 +84,9 @@ def index_records(records: DataFrame, target: str, mode: str = "overwrite", buck
 def create_search_index(records: DataFrame, target: str, mode: str = "overwrite", buckets: int = I.BUCKETS) -> B.FieldIndex:
     """Store the multi-field index of JSON records ``(name, record)``; the name is the document id.
 
-    Name, content and, where there is one, the ``source`` path are stored under
-    ``documents``. Records that are no JSON are left out and stored under ``_corrupt``.
+    Name, content and, where there is one, the ``source`` path are stored beside it (``indexed_documents``). Records that
+    are no JSON are left out and stored beside it too (``rejected_records``). All become visible by one commit: a write
+    that dies half-way shows nothing and can be repeated.
     """
     parsed = records.withColumn("value", F.try_parse_json("record"))
     source = F.col("source") if "source" in records.columns else F.lit(None).cast("string")
@@ -93,12 +94,24 @@ def create_search_index(records: DataFrame, target: str, mode: str = "overwrite"
     # Parsed and opened once; the index, the stored texts and the bad records all read this table.
     docs = cut_lineage(docs.withColumn("bad", F.col("value").isNull()).drop("value"))
     good = docs.filter("not bad")
-    docs.filter("bad").select(F.col("doc_id").alias("name"), "record").write.mode(mode).json(f"{target}/_corrupt")
-    good.select("doc_id", "name", "content", "source").write.mode(mode).parquet(f"{target}/documents")
-    B.write_field_index(B.field_index(B.field_documents(good)), target, mode, buckets)
+    beside = {
+        "documents": good.select("doc_id", "name", "content", "source"),
+        "rejected": docs.filter("bad").select(F.col("doc_id").alias("name"), "record"),
+    }
+    B.write_field_index(B.field_index(B.field_documents(good)), target, mode, buckets, beside)
     return B.read_field_index(records.sparkSession, target)
 
 
+def indexed_documents(spark: SparkSession, target: str) -> DataFrame:
+    """Rows ``(doc_id, name, content, source)`` of the committed documents of a search index."""
+    return I.read_beside(spark, target, "documents", "doc_id string, name string, content string, source string")
+
+
+def rejected_records(spark: SparkSession, target: str) -> DataFrame:
+    """Rows ``(name, record)`` that a search index has left out."""
+    return I.read_beside(spark, target, "rejected", "name string, record string")
+
+
 def search_results(index: B.FieldIndex, queries: DataFrame, contents: DataFrame, k: int = 5) -> DataFrame:
     """Ranked results ``(query_id, rank, doc_id, score, snippet)``; ``contents`` holds ``(doc_id, content)``."""
     best = B.search_fields(index, queries, k=k)

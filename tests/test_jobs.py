@@ -84,14 +84,14 @@ def test_json_to_search(spark, tmp_path):
 
     index = B.read_field_index(spark, str(tmp_path / "index"))
     queries = spark.createDataFrame([("any", "red", None), ("path", "mice", "diet.main"), ("exact", "Red fox", "exact_name")], "query_id string, text string, field string")
-    contents = spark.read.parquet(str(tmp_path / "index/documents"))
+    contents = jobs.indexed_documents(spark, str(tmp_path / "index"))
     assert {r.doc_id: (r.content, r.source is None) for r in contents.collect()} == {
         "Red fox": ("mice\nsmall\nred", False), "Bear": ("honey", False), "Fox": ("red mice", True),
     }
     got = {(r.query_id, r["rank"]): (r.doc_id, r.snippet) for r in jobs.search_results(index, queries, contents).collect()}
     assert got[("path", 1)] == ("Red fox", "mice small red") and got[("exact", 1)][0] == "Red fox"
     assert {d for (q, _), (d, _) in got.items() if q == "any"} == {"Red fox", "Fox"}
-    assert [r.name for r in spark.read.json(str(tmp_path / "index/_corrupt")).collect()] == ["Broken"]
+    assert [r.name for r in jobs.rejected_records(spark, str(tmp_path / "index")).collect()] == ["Broken"]
     (tmp_path / "list.json").write_text("[1]")
     with pytest.raises(Exception, match="not a JSON object"):
         readers.read_keyed_json(spark, str(tmp_path / "list.json")).collect()
@@ -141,6 +141,24 @@ def test_half_written_batches_do_not_count(spark, tmp_path, monkeypatch):
         I.read_index(spark, str(tmp_path / "none"))
 
 
+def test_a_repeated_append_shows_documents_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "i")
+    rows = spark.createDataFrame([("Dog", '{"diet": "meat"}'), ("Bad", "{")], "name string, record string")
+    jobs.create_search_index(spark.createDataFrame([("Fox", '{"diet": "mice"}')], "name string, record string"), path, buckets=4)
+    with monkeypatch.context() as m:
+        m.setattr(I, "_ddl", lambda df: 1 / 0)  # dies after all tables are written, before the commit
+        with pytest.raises(ZeroDivisionError):
+            jobs.create_search_index(rows, path, "append", 4)
+    assert [r.doc_id for r in jobs.indexed_documents(spark, path).collect()] == ["Fox"] and jobs.rejected_records(spark, path).count() == 0
+    index = jobs.create_search_index(rows, path, "append", 4)
+    queries = spark.createDataFrame([("q", "meat"), ("none", None)], "query_id string, text string")
+    found = jobs.search_results(index, queries, jobs.indexed_documents(spark, path))
+    assert [(r.query_id, r["rank"], r.doc_id) for r in found.collect()] == [("q", 1, "Dog")]
+    assert [r.name for r in jobs.rejected_records(spark, path).collect()] == ["Bad"]
+    jobs.create_search_index(rows.limit(0), path, "overwrite", 4)
+    assert jobs.indexed_documents(spark, path).count() == 0
+
+
 def test_url_sets_and_metadata(spark, tmp_path):
     urls = spark.createDataFrame([("b ",), ("a",), ("",), ("a",)], "url string")
     for _ in range(2):

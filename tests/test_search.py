@@ -189,13 +189,55 @@ def test_field_scores_by_hand(spark):
     assert max(got, key=got.get) == 0
 
 
-def test_a_query_for_all_terms_starts_from_the_rarest(spark, corpus):
+def test_mixed_queries_start_from_necessary_terms(spark, corpus):
     docs, df = corpus
     index = I.build_index(I.text_tokens(df), I.collection_size(df))
-    queries = S.prepare(S.query_table(spark, {"a": S.term("hot") & S.term("w1"), "b": S.term("w2") | S.term("w3"), "c": S.term("hot") & S.term("nowhere"), "d": S.term("hot")}))
+    hot, w1, w2, w3 = S.term("hot"), S.term("w1"), S.term("w2"), S.term("w3")
+    queries = S.prepare(S.query_table(spark, {
+        "a": hot & w1, "b": w2 | w3, "c": hot & S.term("nowhere"), "d": hot, "e": hot & (w1 | w2), "f": (hot | w1) & w3, "g": (hot & w1) | (hot & w2), "h": w3.then(hot), "i": hot & (w1 | S.term("nowhere")),
+    }))
     weighted = index.terms.join(queries.terms, ["field", "term"])
-    hits = S._rarest_first(index.postings.join(queries.terms.select("field", "term").distinct(), ["field", "term"]), weighted, queries)
-    got = {q: {r.doc_id for r in hits.filter(F.col("query_id") == q).select("doc_id").distinct().collect()} for q in "abd"}
-    having = lambda w: {d for d, t in docs if w in t.split()}
-    assert got["a"] == having("w1") and got["b"] == having("w2") | having("w3") and got["d"] == having("hot")
-    assert {r.query_id for r in S.match_scores(index, queries).select("query_id").distinct().collect()} == {"a", "b", "d"}
+    cover = {}
+    for r in S.necessary_terms(weighted, queries).collect():
+        cover.setdefault(r.query_id, set()).add(r.term)
+    assert cover == {"a": {"w1"}, "c": {"nowhere"}, "e": {"w1", "w2"}, "f": {"w3"}, "g": {"w1", "w2"}, "h": {"w3"}, "i": {"w1", "nowhere"}}
+    hits = S._hits(S._wanted(index, queries), weighted, queries)
+    got = {q: {r.doc_id for r in hits.filter(F.col("query_id") == q).select("doc_id").distinct().collect()} for q in "abcdefghi"}
+    having = lambda *w: {d for d, t in docs if set(w) & set(t.split())}
+    want = {"a": having("w1"), "b": having("w2", "w3"), "c": set(), "d": having("hot"), "e": having("w1", "w2"), "f": having("w3"), "g": having("w1", "w2"), "h": having("w3"), "i": having("w1")}
+    assert got == want
+    assert {r.query_id for r in S.match_scores(index, queries).select("query_id").distinct().collect()} == set("abdefghi")
+
+
+@pytest.mark.parametrize("k", [1, 5, 1000])
+def test_bounds_do_not_change_the_best(spark, corpus, k):
+    _, df = corpus
+    index = I.build_index(I.text_tokens(df), I.collection_size(df))
+    random.seed(k)
+    cases = {f"q{i}": random_expr(3)[0] for i in range(25)}
+    cases |= {f"any{i}": S.any_of(*[S.term(w) for w in random.sample(WORDS + ["hot", "missing"], 12)]) for i in range(25)}
+    cases["none"] = S.term("missing")
+    queries = S.prepare(S.query_table(spark, cases))
+    for rank in (S.rank_tfidf, S.rank_tfidf_smooth):
+        want, got = (sorted(map(tuple, rank(index, queries, k, direct).collect())) for direct in (10**9, 0))
+        assert got == want and len({r[0] for r in got}) > 25
+
+
+def test_bounds_leave_out_most_documents(spark):
+    """On the queries of ``batch_topk`` and ``bm25_content`` at sf0.01, the results being those without bounds."""
+    from checks import search_queries as Q
+    from checks.index_queries import doc_tokens, documents, read
+
+    sf = "/root/testdata/sf0.01"
+    queries, n_docs = S.prepare(Q.item_queries(spark, sf)), I.collection_size(documents(spark, sf))
+    index = S.index_for(doc_tokens(spark, sf), n_docs, queries)
+    every = S.match_scores(index, queries).count()
+    assert S.best_scores(index, queries, "idf_standard", 10, direct=0).count() < 0.5 * every
+    rows = B.text_fields(read(spark, sf, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"), "text"), {B.CONTENT: F.col("text")})
+    texts = read(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text")
+    wanted = B.field_query_terms(texts, (B.CONTENT,))
+    index = B.field_index(rows, wanted.select("field", "term").distinct())
+    every = B.field_scores(index, wanted).count()
+    assert B.best_field_scores(index, wanted, 5, direct=0).count() < 0.6 * every
+    want, got = (sorted(map(tuple, B.search_fields(index, texts, (B.CONTENT,), 5, direct=direct).collect())) for direct in (10**9, 0))
+    assert got == want
