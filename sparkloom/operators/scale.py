@@ -13,9 +13,20 @@ HOT_ROWS = 20_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, else the session's warehouse; both are shared by all executors."""
+    """Folder named by ``spark.checkpoint.dir``, which all executors share; else the session's warehouse.
+
+    A warehouse on the driver's own disk does for a local session only. On a cluster executors could not read back what
+    others wrote there, so such a session has to name a folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    own_disk = warehouse.startswith("file:") or "://" not in warehouse
+    if own_disk and not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -69,6 +80,30 @@ def hot_values(df: DataFrame, on: list[str], hot_rows: int | None = None) -> Dat
     return counts.filter(F.col("count") > hot_rows).select("_hot", salts.alias("_salts"))
 
 
+def salted(df: DataFrame, on: list[str], spread_by: list[str], hot: DataFrame, small: bool) -> DataFrame:
+    """``df`` with ``_salt``: rows of values in ``hot (_hot, _salts)`` are spread over their salts by ``spread_by``, others have 0."""
+    joined = df.join(hinted(hot, small), F.xxhash64(*on) == F.col("_hot"), "left")
+    return joined.withColumn("_salt", F.coalesce(_salt(spread_by, F.col("_salts")), F.lit(0))).drop("_hot", "_salts")
+
+
+def per_salt(df: DataFrame, on: list[str], hot: DataFrame, small: bool) -> DataFrame:
+    """``df``, the other side of ``salted``: rows of hot values repeated for each of their salts."""
+    joined = df.join(hinted(hot, small), F.xxhash64(*on) == F.col("_hot"), "left")
+    every_salt = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    return joined.withColumn("_salt", every_salt).drop("_hot", "_salts")
+
+
+def hot_of_counts(counts: DataFrame, on: list[str], n_col: str, least: int) -> tuple[DataFrame, bool]:
+    """Hot values ``(_hot, _salts)`` of a table that has the rows per value already, settled.
+
+    A value is hot above an even share of one partition, and above ``least``; so there are no more of them than partitions.
+    """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(least, (counts.agg(F.sum(n_col)).first()[0] or 0) // partitions)
+    hot = counts.filter(F.col(n_col) > share).groupBy(F.xxhash64(*on).alias("_hot"))
+    return settle(hot.agg(F.ceil(F.max(n_col) / share).cast("int").alias("_salts")))
+
+
 def lookup_join(
     left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "left", hot_rows: int | None = None
 ) -> DataFrame:
@@ -81,14 +116,8 @@ def lookup_join(
     names columns of ``left`` that differ between the rows of one value.
     """
     left = cut_lineage(left)
-    hashed = F.xxhash64(*on)
     hot, small = settle(hot_values(left, on, hot_rows))
-    salted_left = left.join(hinted(hot, small), hashed == F.col("_hot"), "left")
-    salted_left = salted_left.withColumn("_salt", F.coalesce(_salt(spread_by, F.col("_salts")), F.lit(0))).drop("_hot", "_salts")
-    salted_right = right.join(hinted(hot, small), hashed == F.col("_hot"), "left")
-    every_salt = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    salted_right = salted_right.withColumn("_salt", every_salt).drop("_hot", "_salts")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    return salted(left, on, spread_by, hot, small).join(per_salt(right, on, hot, small), [*on, "_salt"], how).drop("_salt")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

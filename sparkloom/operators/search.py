@@ -168,11 +168,12 @@ def prepare(queries: "DataFrame | Prepared") -> Prepared:
 def index_for(token_rows: DataFrame, n_docs: Column, queries: "DataFrame | Prepared") -> Index:
     """Index of the query terms alone, for a search without a stored index.
 
-    Other tokens are dropped inside the scan, so they are neither counted nor shuffled.
+    Other tokens are dropped inside the scan, so they are neither counted nor shuffled, and so are those of documents
+    without an id. A join by document asks for an id too; saying so here keeps all uses of the postings equal, and Spark runs them once.
     """
     prepared = prepare(queries)
     wanted = hinted(prepared.terms.select("field", "term").distinct(), prepared.small)
-    return build_index(token_rows.join(wanted, ["field", "term"], "left_semi"), n_docs)
+    return build_index(token_rows.filter(F.col("doc_id").isNotNull()).join(wanted, ["field", "term"], "left_semi"), n_docs)
 
 
 def necessary_terms(weighted: DataFrame, prepared: Prepared) -> DataFrame:
@@ -217,7 +218,9 @@ def _hits(postings: DataFrame, weighted: DataFrame, prepared: Prepared) -> DataF
         parts.append(postings.join(F.broadcast(plain), ["field", "term"]))
     if prepared.covered:
         cover = F.broadcast(necessary_terms(weighted, prepared))
-        may = postings.join(cover, ["field", "term"]).groupBy("doc_id").agg(F.collect_set("query_id").alias("_may"))
+        # Naming the frequency keeps the rows as wide as those that are scored, so both come from one shuffle.
+        queries = F.collect_set(F.when(F.col("tf") > 0, F.col("query_id")))
+        may = postings.join(cover, ["field", "term"]).groupBy("doc_id").agg(queries.alias("_may"))
         others = weighted.join(F.broadcast(prepared.table.filter(F.col("shape") != "any").select("query_id")), "query_id", "left_semi")
         met = postings.join(may, "doc_id").join(F.broadcast(others), ["field", "term"])
         parts.append(met.filter(F.array_contains("_may", F.col("query_id"))).drop("_may"))
