@@ -108,6 +108,7 @@ def contaminated(
 
 def without_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` that hold no benchmark item, with all columns; rows without an id stay."""
-    ids = cut_lineage(contaminated(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("_held")).distinct())
+    ids = cut_lineage(contaminated(df, benchmark, id_col, text_col).select("doc_id").distinct())
     small = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if small else ids, F.col(id_col) == F.col("_held"), "left_anti")
+    whole = df.select(F.col(id_col).alias("doc_id"), F.struct(*df.columns).alias("row"))
+    return whole.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select("row.*")

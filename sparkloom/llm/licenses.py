@@ -3,12 +3,22 @@
 import difflib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+# Variants of one license family with their long names.
+_CC = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+
 # Usual wordings of license notices, by SPDX identifier.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -20,6 +30,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT license."),
+    ("MIT", "Released under the terms of the MIT license."),
     (
         "MIT",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software '
@@ -27,6 +38,15 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
         "or substantial portions of the Software.",
     ),
+    (
+        "MIT",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
+        'or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
     (
         "BSD-2-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must "
@@ -58,6 +78,34 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
         "either version 2.1 of the License, or (at your option) any later version.",
     ),
+    (
+        "LGPL-3.0",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    (
+        "BSL-1.0",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an "
+        "acknowledgment in the product documentation would be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be misrepresented as "
+        "being the original software. This notice may not be removed or altered from any source distribution.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
     (
         "MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
@@ -67,18 +115,15 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
         "permission notice appear in all copies.",
     ),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    *((f"CC-{v}-4.0", f"Licensed under CC {v} 4.0.") for v in _CC),
+    *((f"CC-{v}-4.0", f"This work is licensed under a Creative Commons {long} 4.0 International License.") for v, long in _CC.items()),
+    ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    *((name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "ISC")),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "ISC", "CC0-1.0", "BSL-1.0", "Zlib", "EPL-2.0")),
 )
 
-_CUE = re.compile(r"(?i)licen[cs]|copyright|permission|redistribut|spdx|public domain|free software|source code form|conditions")
+_CUE = re.compile(r"(?i)licen[cs]|copyright|permission|redistribut|spdx|public domain|free software|source code form|conditions|warrant(?:y|ies)|held liable|misrepresent")
 # Parts of a text that a block is made of: sentences and lines.
 _PART = re.compile(r"[^\n]+?(?:[.;:!?][\"')]*(?=[\x20\t]|\n|\Z)|(?=\n|\Z))")
 _WORD = re.compile(r"[^\W_]+(?:[.][0-9]+)*")
@@ -86,16 +131,21 @@ _NUMBER = re.compile(r"[0-9]")
 
 # Parts without a cue that may lie between two parts of one block, or behind the last.
 _BRIDGE = 2
-# Characters of the longest block, and how far the pieces of a longer one overlap.
+# Characters of the longest block; pieces of a longer one overlap by twice the longest template, and at least by this many.
 _LONGEST_BLOCK, _OVERLAP = 8000, 2000
-# Words that tell one license from another; a template that lacks one of its own in a block is not there.
-_NAMING = frozenset("apache mit bsd gnu lesser mozilla isc cc sa nc nd creative commons attribution sharealike noncommercial".split())
+# Words of a template in which a text may have numbers of its own.
+_LONG = 40
+# Words that tell one license from another; a template and its place in a text have the same ones.
+_NAMING = frozenset(
+    "apache mit bsd gnu gpl lgpl agpl lesser library affero mozilla mpl isc cc cc0 by sa nc nd creative commons attribution sharealike noncommercial noderivatives zero universal boost zlib "
+    "eclipse epl artistic unlicense bsl clause".split()
+)
 
 
-def blocks(text: str) -> Iterator[tuple[int, int]]:
+def blocks(text: str, overlap: int = _OVERLAP) -> Iterator[tuple[int, int]]:
     """Places of runs of parts with a cue, with up to two other parts between and after them.
 
-    A very long run is given out as pieces that overlap by more than any template is long.
+    A very long run is given out as pieces that share ``overlap`` characters, more than any template is long.
     """
     if not _CUE.search(text):
         return
@@ -106,44 +156,54 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         elif start >= 0 and k - last <= _BRIDGE:
             end = m.end()
         elif start >= 0:
-            yield from _pieces(start, end)
+            yield from _pieces(start, end, overlap)
             start = -1
     if start >= 0:
-        yield from _pieces(start, end)
+        yield from _pieces(start, end, overlap)
 
 
-def _pieces(start: int, end: int) -> Iterator[tuple[int, int]]:
-    while end - start > _LONGEST_BLOCK:
-        yield start, start + _LONGEST_BLOCK
-        start += _LONGEST_BLOCK - _OVERLAP
+def _pieces(start: int, end: int, overlap: int) -> Iterator[tuple[int, int]]:
+    longest = max(_LONGEST_BLOCK, 2 * overlap)
+    while end - start > longest:
+        yield start, start + longest
+        start += longest - overlap
     yield start, end
 
 
+def _telling(words: list[str]) -> tuple[list[str], list[str]]:
+    """Naming words and numbers of a wording."""
+    return sorted(_NAMING.intersection(words)), sorted(w for w in words if _NUMBER.search(w))
+
+
 class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         self.templates = templates
         self.words = [[w[0].lower() for w in _WORD.finditer(text)] for _, text in templates]
         self.counts = [Counter(words) for words in self.words]
+        self.overlap = max([_OVERLAP, *(2 * len(text) for _, text in templates)])
         self.alone = zstandard.ZstdCompressor(level=9, write_content_size=False)
         self.given = [
             zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
             for _, text in templates
         ]
 
-    def reductions(self, block: str) -> list[float]:
+    def reductions(self, block: str, templates: Iterable[int]) -> dict[int, float]:
         """Share of the block's compressed size that each template saves as a dictionary."""
         data = block.encode()
         alone = len(self.alone.compress(data))
-        return [1 - len(c.compress(data)) / alone for c in self.given]
+        return {k: 1 - len(self.given[k].compress(data)) / alone for k in templates}
 
-    def possible(self, found: list[re.Match]) -> dict[int, int]:
-        """Templates of which four fifths of the words are in the block in any order, with how many are: ``compare`` refuses all others."""
+    def possible(self, found: list[re.Match]) -> list[int]:
+        """Templates of which four fifths of the words are in the block in any order: ``compare`` refuses all others."""
         have = Counter(m[0].lower() for m in found)
-        common = {k: sum(min(n, have[w]) for w, n in words.items()) for k, words in enumerate(self.counts)}
-        return {k: n for k, n in common.items() if n >= 0.8 * len(self.words[k])}
+        return [k for k, words in enumerate(self.counts) if sum(min(n, have[w]) for w, n in words.items()) >= 0.8 * len(self.words[k])]
 
     def compare(self, k: int, found: list[re.Match]) -> dict | None:
-        """The template laid over the block's words, None if under four fifths of it are there, a number differs or a naming word is not there."""
+        """The template laid over the block's words.
+
+        None if under four fifths of it are there, if half as much stands between its words, or if the two wordings of
+        a difference do not name the same: a naming word or a number that only one of them has is another license.
+        """
         want, have = self.words[k], [m[0].lower() for m in found]
         matcher = difflib.SequenceMatcher(None, want, have, autojunk=False)
         same = [b for b in matcher.get_matching_blocks() if b.size]
@@ -157,16 +217,23 @@ class Scanner:
             if what != "equal" and (j > i or inside):
                 differences.append((" ".join(want[i:j]), " ".join(inside)))
         extra = last - first - kept
-        if extra > 0.5 * len(want) or any(_NUMBER.search(a) and a != b for a, b in differences):
-            return None
-        if any(not _NAMING.isdisjoint(a.split()) and not _NAMING.intersection(a.split()) <= set(b.split()) for a, b in differences):
+        if extra > 0.5 * len(want):
             return None
+        for a, b in differences:
+            (names, numbers), (other_names, other_numbers) = _telling(a.split()), _telling(b.split())
+            # Numbers of a text, such as years and list numbers, may stand where the template has none and names nothing.
+            if names != other_names or (numbers != other_numbers and (numbers or len(want) < _LONG)):
+                return None
         return {"same": kept, "template_words": len(want), "extra": extra, "from": first, "to": last, "differences": differences}
 
     def scan(self, text: str) -> list[dict]:
-        """Findings in order of their places; what lies beside one in its block is looked at again."""
+        """Findings in order of their places; what lies beside one in its block is looked at again.
+
+        The templates are gone through by how much they reduce the block, and the first that its wording confirms is the
+        finding. Templates of which too few words are there could not be confirmed and are not compressed with.
+        """
         out: list[dict] = []
-        todo = [*blocks(text)]
+        todo = [*blocks(text, self.overlap)]
         while todo:
             start, end = todo.pop()
             block = text[start:end]
@@ -176,20 +243,13 @@ class Scanner:
             common = self.possible(found)
             if not common:
                 continue
-            gains = self.reductions(block)
-            best = None
+            gains = self.reductions(block, common)
             for k in sorted(common, key=lambda k: (-gains[k], k)):
-                # No wording of k ranks higher than all its common words without a gap.
-                if best and 2 * common[k] - len(self.words[k]) <= best[0][0]:
-                    continue
                 match = self.compare(k, found)
                 if match:
-                    rank = (match["same"] - match["extra"] - (match["template_words"] - match["same"]), gains[k], -k)
-                    if best is None or rank > best[0]:
-                        best = (rank, k, match)
-            if best is None:
+                    break
+            else:
                 continue
-            _, k, match = best
             a, b = found[match["from"]].start(), found[match["to"] - 1].end()
             out.append(
                 {
@@ -239,6 +299,6 @@ def license_notices(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the notice is ``exact``. Row by row, without a shuffle.
 
     Null and empty texts have no notices. Null ids stay null, repeated rows give repeated
-    notices, of templates that fit equally the first counts, other columns are not looked at.
+    notices, of templates that reduce equally the first counts, other columns are not looked at.
     """
     return df.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(_scan(templates), _FOUND)

@@ -10,9 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkloom.llm.common import connected, mix, ngram_hashes, word_hashes
-from sparkloom.operators.scale import cut_lineage
+from sparkloom.operators.scale import cut_lineage, hot_of_counts, per_salt, salted
 
 WORDS = 5
+# Partners of one document that one task compares with it; each is a comparison of two whole sets.
+HUB = 250
+
 # Size of the bitmap that tells dissimilar sets apart before they are compared; a power of two.
 BITMAP_LONGS = 32
 
@@ -121,11 +124,15 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs ``(a, b)`` whose whole sets are similar.
 
-    The side that repeats less (``b``) brings its set first; a hub's set is then read once
-    for all its partners, by a join that Spark splits when the hub is hot.
+    The side that repeats less (``b``) brings its set first. A hub (``a``) with many partners meets them in several
+    tasks: partners are counted on ids alone, spread over salts, and the hub's set is sent once per salt.
     """
-    with_b = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    with_both = with_b.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    pairs = cut_lineage(pairs)
+    hot = hot_of_counts(pairs.groupBy("a").agg(F.count("*").alias("n")), ["a"], "n", HUB)
+    spread = salted(pairs, ["a"], ["b"], *hot)
+    with_b = spread.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
+    sets_a = per_salt(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), ["a"], *hot)
+    with_both = with_b.join(sets_a, ["a", "_salt"])
     both = F.size(F.array_intersect("set_a", "set_b"))
     return with_both.filter(_similar(both, F.size("set_a"), F.size("set_b"), percent)).select("a", "b").distinct()
 
@@ -222,8 +229,8 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     by the hash of the whole row. Rows without an id stay.
     """
     groups = near_groups(df, id_col, text_col, **options)
-    kept = groups.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_kept_id")).distinct()
-    joined = df.join(kept, F.col(id_col).cast("bigint") == F.col("_kept_id"))
-    first = Window.partitionBy("_kept_id").orderBy(F.xxhash64(*df.columns))
-    one = joined.withColumn("_kept_rank", F.row_number().over(first)).filter("_kept_rank = 1").select(*df.columns)
+    kept = groups.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id")).distinct()
+    whole = df.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(*df.columns).alias("hash"), F.struct(*df.columns).alias("row"))
+    first = Window.partitionBy("id").orderBy("hash")
+    one = whole.join(kept, "id").withColumn("rank", F.row_number().over(first)).filter("rank = 1").select("row.*")
     return one.unionByName(df.filter(F.col(id_col).isNull()))

@@ -262,9 +262,22 @@ def spans_of(texts: list[str], field: Field) -> list[tuple[list, list]]:
             chains.append([f for _, _, f in run])
             owners.append((i, run))
     for (i, run), labels in zip(owners, field.decode(chains)):
-        base, added = out[i]
-        added += [s for s in _tagged(texts[i], run, labels) if not any(s[1] < b and a < s[2] for _, a, b in base)]
-    return out
+        out[i][1].extend(_tagged(texts[i], run, labels))
+    return [(base, _outside(added, base)) for base, added in out]
+
+
+def _outside(added: list, base: list) -> list:
+    """Spans that overlap no base span; one pass over both in order of their starts."""
+    if not added or not base:
+        return added
+    ordered, kept, at, until = sorted((a, b) for _, a, b in base), [], 0, -1
+    for span in sorted(added, key=lambda s: s[1]):
+        while at < len(ordered) and ordered[at][0] <= span[1]:
+            until = max(until, ordered[at][1])
+            at += 1
+        if until <= span[1] and (at == len(ordered) or ordered[at][0] >= span[2]):
+            kept.append(span)
+    return kept
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -334,10 +347,14 @@ def labelled_table(spark: SparkSession, n: int = 400) -> DataFrame:
 
 
 def trained(labelled: DataFrame, most_rows: int = 5000) -> Field:
-    """The field fitted in the driver on at most ``most_rows`` labelled rows, the first by their hash."""
+    """The field fitted in the driver on at most ``most_rows`` labelled rows, the first by their hash.
+
+    Without any labelled word the field adds nothing.
+    """
     order = F.xxhash64("words", "labels")
     rows = labelled.select("words", "labels").orderBy(order, "words", "labels").limit(most_rows).collect()
-    return Field.fit([(list(r["words"]), list(r["labels"])) for r in rows if r["words"]])
+    usable = [(list(r["words"]), list(r["labels"])) for r in rows if r["words"]]
+    return Field.fit(usable) if usable else Field(np.zeros((FEATURES, len(LABELS)), np.float32), np.zeros((len(LABELS), len(LABELS)), np.float32))
 
 
 _FOUND = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, found array<struct<kind:string,start:int,end:int>>"

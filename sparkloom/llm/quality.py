@@ -34,7 +34,7 @@ STOP_WORDS = {
 }
 
 RULES = (
-    Rule("words", "n_words", None, 50, 100_000),
+    Rule("words", "n_words", None, 50, None),
     Rule("word_length", "word_chars", "n_words", 2, 12),
     Rule("symbols", "n_symbols", "n_words", None, 0.1),
     Rule("exclamations", "n_exclamations", "n_words", None, 0.2),

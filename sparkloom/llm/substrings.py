@@ -9,10 +9,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from sparkloom.llm.common import mix, word_hashes
-from sparkloom.operators.scale import cut_lineage
+from sparkloom.operators.scale import cut_lineage, hot_of_counts, per_salt, salted
 
 WINDOW = 50
 
+# Rows of one value that are left to one task.
+HOT = 2000
+
 # Odd bases of two independent rolling hashes modulo 2^64.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -148,6 +151,17 @@ def without(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
     return kept + words[at:]
 
 
+def _with_counts(rows: DataFrame, counts: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` whose value is in ``counts (*on, low, high, n)``, with ``low``.
+
+    A passage of very many texts is one value with very many rows. How many is known from the count, so its rows
+    are spread over salts and its count is sent once per salt.
+    """
+    counts = cut_lineage(counts.select(*on, "low", "n"))
+    hot = hot_of_counts(counts, on, "n", HOT)
+    return salted(rows, on, ["doc_id"], *hot).join(per_salt(counts.drop("n"), on, *hot), [*on, "_salt"]).drop("_salt")
+
+
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Rows ``(doc_id, n_words, spans, kept_sha256)``, one per row of ``df``.
 
@@ -162,8 +176,8 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     3. The windows that remain are counted by two independent 64-bit hashes, and those
        whose first document is smaller are gathered per document and merged.
 
-    A passage in very many texts is one row per task in both counts; the joins that give
-    counts back are ones that Spark splits when a key is hot.
+    A passage in very many texts is one row per task in both counts, and spread over salts in the joins that give
+    counts back.
 
     Null and empty texts have no words. Null ids neither remove nor lose words. Rows that repeat
     an id do not remove each other's words. Other columns are not looked at.
@@ -175,16 +189,16 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     own = long.join(heads.withColumnRenamed("head", "doc_id"), ["sequence", "doc_id"])
     marks = own.select("doc_id", "sequence", F.explode("anchors").alias("anchor"))
-    shared = marks.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("anchor")
-    wanted = marks.join(shared, "anchor").groupBy("doc_id", "sequence").agg(F.collect_set("anchor").alias("anchors"))
+    shared = marks.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).filter("low < high")
+    wanted = _with_counts(marks, shared, ["anchor"]).groupBy("doc_id", "sequence").agg(F.collect_set("anchor").alias("anchors"))
     passages = docs.join(wanted, "doc_id").select("doc_id", "sequence", "text", "anchors")
     passages = cut_lineage(passages.mapInArrow(_own_text, _PASSAGES))
 
     arrays = passages.mapInArrow(_windows(window), _WINDOWS)
     rows = arrays.select("doc_id", "sequence", F.explode(F.arrays_zip("places", "first", "second")).alias("w"))
     rows = rows.select("doc_id", "sequence", F.col("w.places").alias("place"), F.col("w.first").alias("first"), F.col("w.second").alias("second"))
-    counted = rows.groupBy("first", "second").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    later = rows.join(counted.select("first", "second", "low"), ["first", "second"]).filter(F.col("low") < F.col("doc_id"))
+    counted = rows.groupBy("first", "second").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).filter("low < high")
+    later = _with_counts(rows, counted, ["first", "second"]).filter(F.col("low") < F.col("doc_id"))
     places = later.groupBy("doc_id", "sequence").agg(F.collect_set("place").alias("places"))
     changed = passages.drop("anchors").join(places, ["doc_id", "sequence"]).mapInArrow(_cut(window), _CHANGED)
     changed = changed.dropDuplicates(["doc_id", "sequence"])

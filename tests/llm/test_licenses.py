@@ -1,3 +1,5 @@
+import random
+
 from sparkloom.llm import licenses
 
 
@@ -68,3 +70,72 @@ def test_bsd_by_its_clauses():
     assert [f["license"] for f in licenses.Scanner().scan(two)] == ["BSD-2-Clause"]
     assert [f["license"] for f in licenses.Scanner().scan(two + third)] == ["BSD-3-Clause"]
     assert [f["license"] for f in licenses.Scanner().scan("SPDX-License-Identifier: BSD-2-Clause")] == ["BSD-2-Clause"]
+
+
+def test_names_that_a_text_adds_are_another_license():
+    scanner = licenses.Scanner()
+    cases = {
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["AGPL-3.0"],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0"],
+        "This work is licensed under the GNU General Public License, version 3.": ["GPL-3.0"],
+        "Licensed under the Lesser Apache License, Version 2.0.": [],
+        "Licensed under CC0 1.0 Universal.": ["CC0-1.0"],
+        "Released under the terms of the MIT license.": ["MIT"],
+        "Licensed under CC BY 3.0.": [],
+        **{f"Licensed under CC {v} 4.0.": [f"CC-{v}-4.0"] for v in licenses._CC},
+        **{f"This work is licensed under a Creative Commons {long} 4.0 International License.": [f"CC-{v}-4.0"] for v, long in licenses._CC.items()},
+    }
+    for text, want in cases.items():
+        assert [f["license"] for f in scanner.scan(f"Some words. {text} More words.")] == want, text
+
+
+def confirmed_by_wording(words):
+    """Every template against every run of words, by the stated rule and without compression."""
+    out = set()
+    for name, text in licenses.TEMPLATES:
+        want = [w[0].lower() for w in licenses._WORD.finditer(text)]
+        for start in range(len(words)):
+            have = words[start : start + len(want)]
+            if sum(a == b for a, b in zip(want, have)) >= 0.8 * len(want) and licenses._telling(want) == licenses._telling(have):
+                out.add(name)
+    return out
+
+
+def test_findings_equal_brute_force():
+    rng = random.Random(6)
+    scanner = licenses.Scanner()
+    plain = [t for t in licenses.TEMPLATES if len(t[1]) < 500]
+    for name, notice in plain * 2:
+        words = notice.split(" ")
+        free = [k for k, w in enumerate(words) if not licenses._CUE.search(w) and _plain(w)]
+        if free and rng.random() < 0.7 and len(words) >= 8:
+            at = rng.choice(free)
+            changed = [*words[:at], "other", *words[at + 1 :]]
+            words = changed if licenses._CUE.search(" ".join(changed)) else words
+        text = "A few words come first.\n" + " ".join(words) + "\nThen some more words"
+        want = confirmed_by_wording([w[0].lower() for w in licenses._WORD.finditer(text)])
+        found = scanner.scan(text)
+        assert {f["license"] for f in found} <= want and (name in {f["license"] for f in found}) == (name in want), text
+
+
+def _plain(word):
+    names, numbers = licenses._telling([w[0].lower() for w in licenses._WORD.finditer(word)])
+    return not names and not numbers and word.isalpha()
+
+
+def test_the_reduction_decides_among_confirmed_templates(monkeypatch):
+    text = "Released under the MIT License."
+    first = licenses.Scanner().scan(text)[0]
+    assert (first["template"], first["exact"]) == (next(k for k, t in enumerate(licenses.TEMPLATES) if t[1] == text), True)
+    real = licenses.Scanner.reductions
+    monkeypatch.setattr(licenses.Scanner, "reductions", lambda self, block, templates: {k: -g for k, g in real(self, block, templates).items()})
+    other = licenses.Scanner().scan(text)[0]
+    assert other["template"] != first["template"] and not other["exact"] and other["license"] == "MIT"
+
+
+def test_long_templates_cross_no_border():
+    rng = random.Random(8)
+    long = "License of the long kind. " + " ".join(f"term{rng.randint(0, 10**6)}" for _ in range(900))
+    scanner = licenses.Scanner((("Long", long),))
+    text = "the license says so. " * 2000 + long + " the license says so." * 2000
+    assert [(f["license"], f["exact"]) for f in scanner.scan(text)] == [("Long", True)]

@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparkloom.llm import near_dedup
 from sparkloom.llm.common import connected
 
@@ -94,3 +96,17 @@ def test_components(spark, edges):
         for a, b in edges:
             top[a] = top[b] = min(top[a], top[b])
     assert got == top
+
+
+def test_hubs_are_spread_and_names_do_not_clash(documents, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HUB", 3)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(80)] + [(100 + i, " ".join(f"y{i}z{k}" for k in range(20))) for i in range(5)]
+    df = documents(rows)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_groups(df).collect())
+    assert got == sorted(brute(rows))
+    for name in ("_kept_id", "_kept_rank", "id", "hash", "row", "rank", "_hot", "_salt", "a", "b"):
+        df = df.withColumn(name, F.lit(1))
+    kept = near_dedup.drop_near_duplicates(df)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 100, 101, 102, 103, 104]
+    assert near_dedup.drop_near_duplicates(df.limit(0)).count() == near_dedup.near_groups(df.limit(0)).count() == 0

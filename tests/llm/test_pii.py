@@ -99,3 +99,20 @@ def test_rows(documents, odd_texts, field, spark):
 def test_training_is_repeatable(spark):
     one, two = (pii.trained(pii.labelled_table(spark, 60)) for _ in range(2))
     assert (one.weights == two.weights).all() and (one.moves == two.moves).all()
+
+
+def test_without_labelled_rows_nothing_is_added(spark, documents):
+    empty = spark.createDataFrame([], "words array<string>, labels array<string>")
+    field = pii.trained(empty)
+    rows = pii.personal_data(documents([(1, "call +1 202 555 0143 or 4111111111111112"), (2, None)]), field).collect()
+    assert {r["doc_id"]: r["n_phone"] for r in rows} == {1: 1, 2: 0} and not any("crf" in r["spans"] for r in rows)
+    assert pii.personal_data(documents([(1, "a")]).limit(0), field).count() == 0
+
+
+def test_added_spans_are_swept_once():
+    base = [(0, 10, 20), (1, 15, 40), (0, 50, 60)]
+    added = [(4, 0, 10), (4, 0, 11), (4, 30, 35), (4, 40, 50), (4, 45, 51), (4, 59, 70), (4, 60, 61), (4, 9, 80)]
+    want = [s for s in added if not any(s[1] < b and a < s[2] for _, a, b in base)]
+    assert sorted(pii._outside(added, base)) == sorted(want)
+    many = [(0, 10 * k, 10 * k + 4) for k in range(100_000)]
+    assert len(pii._outside([(4, a + 5, b + 4) for _, a, b in many], many)) == 100_000

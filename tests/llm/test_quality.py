@@ -60,3 +60,9 @@ def test_no_shuffle_and_no_python(documents, capsys):
     quality.quality(documents([(1, "a")])).explain()
     plan = capsys.readouterr().out
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_clean_texts_stay(documents):
+    long = " ".join(f"the w{k} of" for k in range(60_000))
+    assert [r["kept"] for r in quality.quality(documents([(1, long)])).collect()] == [True]
+    assert quality.quality(documents([(1, "a")]).limit(0)).count() == 0

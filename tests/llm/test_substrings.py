@@ -44,6 +44,13 @@ def test_spans_equal_brute_force(documents, window):
     assert found(documents(rows), window) == brute(rows, window)
 
 
+def test_passages_of_many_texts_are_spread(documents, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT", 3)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(i, " ".join([f"a{i}", *passage, f"b{i}"])) for i in range(200)] + [(i, f"alone {i} " * 40) for i in range(300, 310)]
+    assert found(documents(rows), 50) == brute(rows, 50)
+
+
 def test_odd_rows(documents, odd_texts):
     rows = substrings.repeated_spans(documents(odd_texts)).collect()
     assert len(rows) == len(odd_texts)
