@@ -1,17 +1,20 @@
 """Benchmark decontamination: spaced seeds join documents and benchmark items, overlaps are verified around hits."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+from collections.abc import Callable
+from functools import reduce
 
-from sparkloom.operators.scale import cut_lineage
+from pyspark.sql import Column, DataFrame, functions as F
 
-# Token positions that a seed looks at; a substitution at any other position leaves it whole.
-MASKS = ("1111111", "11101001101", "1100110000111", "1010001011000101")
+from sparkloom.operators.scale import cut_lineage, lookup_join
 
 # Whole items need this share of their tokens at the same offset, parts need HITS of SPAN.
 SHARE = 0.8
 SPAN, HITS = 20, 17
-# Longest block of neighbouring tokens that is a seed of its own, so that no overlap that holds is without a seed.
-BLOCK = 4
+# Most tokens that a seed looks at.
+WEIGHT = 4
+# From this length on all items have the same masks.
+_LONG = 32
 
 # Seeds are broadcast up to this many rows of three numbers (about 30 MB as a hash table).
 BROADCAST_SEEDS = 500_000
@@ -19,6 +22,34 @@ BROADCAST_SEEDS = 500_000
 BROADCAST_IDS = 1_000_000
 
 
+def mask(weight: int, stride: int) -> str:
+    """A mask of ``weight`` tokens, each ``stride`` after the one before; a substitution at any other position leaves a seed whole."""
+    return "1" + ("0" * (stride - 1) + "1") * (weight - 1)
+
+
+def differing(n: int) -> int:
+    """How many of an item's ``n`` tokens may differ."""
+    return n - math.ceil(SHARE * n - 1e-9)
+
+
+def masks_of(n: int) -> tuple[str, ...]:
+    """Masks that leave no overlap of an item of ``n`` tokens without a seed.
+
+    ``s`` seeds of weight ``w`` and stride ``s`` that start one after another fill ``s * w`` neighbouring tokens and share none. Strides 2 and 3
+    together fill every multiple of ``w`` from ``2 w`` on, so ``n`` tokens hold ``n // w`` seeds that share no token: if that is more than
+    may differ, one of them is whole. One stride is used where it is enough. Any ``SPAN`` tokens hold four
+    of weight 4 and stride 2, of which three differences leave one. Items of which no token may differ are one seed.
+    """
+    d = differing(n)
+    if not d:
+        return ("1" * min(n, WEIGHT),)
+    weight = next(w for w in range(WEIGHT, 0, -1) if n // w > max(d, 1))
+    for stride in (2, 3):
+        if stride * (n // (stride * weight)) > d:
+            return (mask(weight, stride),)
+    return mask(weight, 2), mask(weight, 3)
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters and digits; none for null."""
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
@@ -30,7 +61,7 @@ def _seed(words: Column, at: Column, mask: str) -> Column:
     return F.when(at + len(mask) <= F.size(words), F.xxhash64(F.lit(mask), *picked))
 
 
-def _seeds(df: DataFrame, masks: tuple[str, ...], at: str) -> DataFrame:
+def _seeds(df: DataFrame, masks: list[str], at: str) -> DataFrame:
     """One row per token position and mask: the row's columns, ``at`` and ``seed``."""
     shortest = min(len(m) for m in masks)
     last = F.size("words") - shortest
@@ -39,15 +70,6 @@ def _seeds(df: DataFrame, masks: tuple[str, ...], at: str) -> DataFrame:
     return places.withColumn("seed", F.explode(seeds)).filter(F.col("seed").isNotNull())
 
 
-def _block_length(n: Column) -> Column:
-    """Length of the blocks that an item is cut into: more blocks than tokens may differ, so one block is whole.
-
-    Any SPAN tokens hold four blocks of four, of which three differences leave one.
-    """
-    differing = n - F.ceil(SHARE * n - 1e-9)
-    return F.least(F.lit(BLOCK), F.floor(n / (differing + 1))).cast("int")
-
-
 def _verified(hits: DataFrame) -> DataFrame:
     """Hits whose overlap holds: rows ``(doc_id, item_id, start, matched, n_tokens)``.
 
@@ -67,18 +89,18 @@ def _verified(hits: DataFrame) -> DataFrame:
 
 def contaminated(
     df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    masks: tuple[str, ...] = MASKS, broadcast_seeds: int = BROADCAST_SEEDS,
+    masks: Callable[[int], tuple[str, ...]] = masks_of, broadcast_seeds: int = BROADCAST_SEEDS,
 ) -> DataFrame:
     """Rows ``(doc_id, item_id, start, matched, n_tokens)``, one per document and item it holds.
 
     An item is held when a seed meets and, at that offset, ``SHARE`` of the item's tokens are
     equal or some ``SPAN`` tokens of it have ``HITS`` equal ones. Of several places the one with
-    most matches counts, then the first. Besides the masks, blocks of at most ``BLOCK`` tokens of an item are seeds, so
-    an overlap that holds always has one, also in short items.
+    most matches counts, then the first. ``masks`` gives the spaced seeds of an item by its length; by default every
+    overlap that holds has a whole one.
 
     The seeds of the benchmark are counted. Up to ``broadcast_seeds`` rows they go to the documents,
     whose windows are hashed, probed and verified in one stage: only verified overlaps are shuffled. Beyond, windows are
-    joined by seed and the texts fetched for hits.
+    joined by seed, the windows of a frequent seed spread over salts, and the texts fetched for hits.
 
     Null and empty texts and items hold nothing. Rows with a null id or item id are left
     out. Rows that repeat an id are one document that holds what any of them holds. Other columns are not looked at.
@@ -87,20 +109,23 @@ def contaminated(
     items = benchmark.filter(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), tokens(F.col(item_text_col)).alias("words"))
     items = cut_lineage(items.filter(F.size("words") > 0).distinct())
 
-    seeds = _seeds(items, masks, "item_at")
-    length = _block_length(F.size("words"))
-    lengths = sorted(r["n"] for r in items.select(length.alias("n")).distinct().collect())  # at most BLOCK rows
-    for n in lengths:
-        seeds = seeds.unionByName(_seeds(items.filter(length == n), ("1" * n,), "item_at").filter(F.col("item_at") % n == 0))
-    seeds = cut_lineage(seeds.select("seed", "item_id", "item_at").distinct())
+    length = F.least(F.size("words"), F.lit(_LONG))
+    users: dict[str, list[int]] = {}
+    for r in items.select(length.alias("n")).distinct().collect():  # at most _LONG rows
+        for m in masks(r["n"]):
+            users.setdefault(m, []).append(r["n"])
+    if not users:
+        users = {"1": [0]}
+    parts = [_seeds(items.filter(length.isin(lengths)), [m], "item_at") for m, lengths in sorted(users.items())]
+    seeds = cut_lineage(reduce(DataFrame.unionByName, parts).select("seed", "item_id", "item_at").distinct())
     item_words = items.withColumnRenamed("words", "item_words")
 
-    windows = _seeds(docs, tuple(dict.fromkeys((*masks, *("1" * n for n in lengths)))), "at")
+    windows = _seeds(docs, sorted(users), "at")
     if seeds.count() <= broadcast_seeds:
         hits = windows.join(F.broadcast(seeds), "seed").join(F.broadcast(item_words), "item_id")
     else:
-        met = windows.select("doc_id", "at", "seed").join(seeds, "seed").select("doc_id", "item_id", F.expr("at - item_at").alias("at")).distinct()
-        met = met.withColumn("item_at", F.lit(0))
+        met = lookup_join(windows.select("doc_id", "at", "seed"), seeds, ["seed"], ["doc_id", "at"], "inner")
+        met = met.select("doc_id", "item_id", F.expr("at - item_at").alias("at")).distinct().withColumn("item_at", F.lit(0))
         hits = met.join(docs, "doc_id").join(item_words, "item_id")
     best = F.max_by(F.struct("start", "matched", "n_tokens"), F.struct("matched", -F.col("start")))
     return _verified(hits).groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.start", "b.matched", "b.n_tokens")

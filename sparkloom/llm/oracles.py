@@ -1,7 +1,7 @@
 """DuckDB SQL with the rows of those queries that SQL can express."""
 
 from sparkloom.llm import fingerprints
-from sparkloom.llm.decontaminate import HITS, MASKS, SHARE, SPAN
+from sparkloom.llm.decontaminate import HITS, SHARE, SPAN
 from sparkloom.llm.quality import RULES, STOP_WORDS
 from sparkloom.llm.url_filter import RULES as URL_RULES
 
@@ -63,27 +63,19 @@ from d left join kept using (doc_id)
 """
 
 
-def _decontaminate() -> str:
-    seeds = " union all ".join(
-        f"select id, i - 1 as at, '{m}' || array_to_string([{', '.join(f'w[i + {k}]' for k, c in enumerate(m) if c == '1')}], ' ') as seed "
-        f"from (select id, w, unnest(range(1, len(w) - {len(m) - 2})) as i from {{0}})"
-        for m in MASKS
-    )
-    words = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')".replace("{{", "{").replace("}}", "}")
-    return f"""
-with d as (select doc_id as id, {words} as w from documents), b as (select item_id as id, {words} as w from benchmark),
-ds as ({seeds.format("d")}), bs as ({seeds.format("b")}),
-hits as (select distinct ds.id as doc_id, bs.id as item_id, ds.at - bs.at as start from ds join bs using (seed)),
-laid as (select doc_id, item_id, start, len(b.w) as n, list_transform(range(1, len(b.w) + 1), lambda k: case when start + k >= 1 then coalesce(d.w[start + k] = b.w[k], false) else false end) as same
-  from hits join d on d.id = doc_id join b on b.id = item_id),
-counted as (select *, len(list_filter(same, lambda x: x)) as matched,
-  len(list_filter(range(1, greatest(n - {SPAN - 2}, 2)), lambda k: len(list_filter(same[k:k + {SPAN - 1}], lambda x: x)) >= {HITS})) > 0 as part from laid)
-select doc_id, item_id, cast(start as integer) as start, cast(matched as integer) as matched, cast(n as integer) as n_tokens from counted
-where matched >= {SHARE} * n or (n > {SPAN} and part) qualify row_number() over (partition by doc_id, item_id order by matched desc, start) = 1
-"""
-
+_TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 
-DECONTAMINATE = _decontaminate()
+# Without seeds: every offset at which any token is equal is counted.
+DECONTAMINATE = f"""
+with d as (select doc_id, {_TOKENS} as w from documents), b as (select item_id, {_TOKENS} as w from benchmark),
+dt as (select doc_id, unnest(w) as token, unnest(range(len(w))) as pos from d), bt as (select item_id, len(w) as n, unnest(w) as token, unnest(range(len(w))) as item_at from b),
+laid as (select doc_id, item_id, n, pos - item_at as start, count(*) as matched from dt join bt using (token) group by all having count(*) >= least({SHARE} * n, case when n > {SPAN} then {HITS} else n end)),
+places as (select laid.*, item_at from laid join bt using (item_id) join dt on dt.doc_id = laid.doc_id and dt.token = bt.token and dt.pos = laid.start + bt.item_at where matched < {SHARE} * laid.n),
+parts as (select distinct doc_id, item_id, start from (select *, count(*) over (partition by doc_id, item_id, start order by item_at range between current row and {SPAN - 1} following) as near from places) where near >= {HITS}),
+held as (select * from laid where matched >= {SHARE} * n union all select laid.* from laid join parts using (doc_id, item_id, start))
+select doc_id, item_id, cast(start as integer) as start, cast(matched as integer) as matched, cast(n as integer) as n_tokens from held
+qualify row_number() over (partition by doc_id, item_id order by matched desc, start) = 1
+"""
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"

@@ -1,7 +1,9 @@
 import itertools
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate as d
 
@@ -64,14 +66,14 @@ def test_no_python_in_the_plan(spark, documents, benchmark, capsys):
 @pytest.mark.parametrize("bound", [10**6, 0])
 def test_every_placement_of_substitutions(spark, documents, bound):
     rng = random.Random(5)
-    lengths = [4, 5, 6, 7, 8, 9, 10, 12, 15, 16, 19, 24]
+    lengths = [1, 2, 3, *range(4, 26), 28, 30]
     items = {n: [f"i{n}x{k}" for k in range(n)] for n in lengths}
     rows, want = [], {}
     for n, words in items.items():
-        allowed = n // 5
+        allowed = n - math.ceil(0.8 * n - 1e-9)
         for m in (allowed, allowed + 1):
             places = [*itertools.combinations(range(n), m)]
-            for gone in places if len(places) <= 70 else rng.sample(places, 70):
+            for gone in places if len(places) <= 40 else rng.sample(places, 40):
                 laid = ["other" if k in gone else w for k, w in enumerate(words)]
                 rows.append((len(rows), " ".join(["before", "it", *laid, "after"])))
                 part = any(sum(k not in gone for k in range(a, a + 20)) >= 17 for a in range(n - 19)) and n > 20
@@ -79,3 +81,45 @@ def test_every_placement_of_substitutions(spark, documents, bound):
                     want[(len(rows) - 1, n)] = (2, n - m, n)
     got = d.contaminated(documents(rows), frame(spark, [(n, " ".join(words)) for n, words in items.items()]), broadcast_seeds=bound).collect()
     assert {(r["doc_id"], r["item_id"]): (r["start"], r["matched"], r["n_tokens"]) for r in got} == want
+
+
+def test_clashing_names_of_the_filter(spark, documents):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id bigint, text string")
+    df = documents([(1, "x one two three four five six seven eight y"), (2, "clean words"), (None, "no id")])
+    for name in ("_held", "row", "ids"):
+        df = df.withColumn(name, F.lit(1))
+    kept = d.without_contaminated(df, bench)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {2, None}
+    assert d.without_contaminated(df.limit(0), bench).count() == 0
+    assert d.without_contaminated(df, bench.limit(0)).count() == 3
+
+
+def whole(n, gone, masks):
+    """Whether some placement of a mask in ``n`` tokens looks at none of the tokens that differ."""
+    return any(
+        all(c == "0" or start + k not in gone for k, c in enumerate(m)) for m in masks for start in range(n - len(m) + 1)
+    )
+
+
+def test_masks_lose_nothing_and_are_all_needed():
+    rng = random.Random(7)
+    for n in range(1, 61):
+        masks, allowed = d.masks_of(n), d.differing(n)
+        assert masks == d.masks_of(min(n, d._LONG)) and (n < 5 or all("0" in m for m in masks))
+        places = itertools.combinations(range(n), allowed) if math.comb(n, allowed) <= 20_000 else (rng.sample(range(n), allowed) for _ in range(20_000))
+        assert all(whole(n, set(gone), masks) for gone in places), n
+        for m in masks if n in (20, 21, 22) else ():
+            rest = tuple(x for x in masks if x != m)
+            assert not all(whole(n, set(gone), rest) for gone in itertools.combinations(range(n), allowed))
+    for gone in itertools.combinations(range(20), 3):  # parts of long items
+        assert whole(20, set(gone), d.masks_of(61))
+
+
+def test_the_masks_find_the_overlaps(spark, documents):
+    words = [f"t{k}" for k in range(30)]
+    bench = frame(spark, [(1, " ".join(words))])
+    rows = documents([(1, " ".join(words)), (2, " ".join("x" if k % 5 == 4 else w for k, w in enumerate(words)))])
+    assert {r["doc_id"] for r in d.contaminated(rows, bench).collect()} == {1, 2}
+    # A mask that is longer than the item finds nothing; neighbouring tokens miss the second text, of which no five in a row are equal.
+    assert d.contaminated(rows, bench, masks=lambda n: ("1" * 400,)).count() == 0
+    assert {r["doc_id"] for r in d.contaminated(rows, bench, masks=lambda n: ("11111",)).collect()} == {1}
