@@ -76,3 +76,100 @@ def test_long_literals_and_keys_with_spaces():
     assert literals(f'tls_private_key = "{long}"') == literals(f"tls_private_key: {long}") == [long]
     assert literals('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
     assert literals('password = "Please enter your password"') == []
+
+
+KEY = "7hJ9kQ2mXv81LpZ4"
+
+
+def test_strings_of_all_kinds():
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nMIIEvQIBADANBgkq\nhkiG9w0BAQEF\n-----END RSA PRIVATE KEY-----"
+    assert literals(f'PRIVATE_KEY = """{pem}"""\nx = 1\n') == [pem]
+    assert literals("private_key: |\n  " + pem.replace("\n", "\n  ") + "\nother: 1\n") == [pem.replace("\n", "\n  ")]
+    assert literals(f"const privateKey = `{pem}`;") == [pem]
+    assert literals(f"export PRIVATE_KEY=$(cat <<EOF\n{pem}\nEOF\n)") == [pem]
+    assert literals(f"private_key = <<-EOT\n  {pem}\n  EOT\n")[0].endswith(pem)
+    assert literals(f"<config><db_password> {KEY} </db_password></config>") == [KEY]
+    assert literals(f'<add key="ApiSecret" value="{KEY}"/>') == [KEY]
+    assert literals(f"- name: DB_PASSWORD\n  value: {KEY}\n") == [KEY]
+    assert literals('s = "{\\"auth_token\\": \\"' + KEY + '\\"}"') == [KEY]
+    assert literals(f"conn = 'Server=db;Password={KEY}'") == [KEY]
+
+
+def test_joined_literals():
+    assert literals('auth_credential = "7hJ9kQ2m" "Xv81LpZ4"') == ['7hJ9kQ2m" "Xv81LpZ4']
+    assert literals('auth_credential = (\n  "7hJ9kQ2m"\n  "Xv81LpZ4")') == ['7hJ9kQ2m"\n  "Xv81LpZ4']
+    assert literals(f'PREFIX = "live_"\nauth_credential = PREFIX + "{KEY}"') == ["live_", KEY]
+    assert literals(f'auth_credential = region() + "x"\nauth_credential = region + "{KEY}"') == [KEY]
+
+
+def test_defaults_of_calls_and_alternatives():
+    for text in (
+        f'db_credentials = os.environ.get("X", "{KEY}")',
+        f'db_credentials = env("X", default="{KEY}")',
+        f'db_credentials = os.getenv("X") or "{KEY}"',
+        f'const dbCredentials = process.env.X || "{KEY}";',
+        f'db_credentials = decode("{KEY}")',
+        f"DB_CREDENTIALS=${{X:-{KEY}}}",
+    ):
+        assert literals(text) == [KEY], text
+    for text in ('db_credentials = os.environ.get("DB_CREDENTIALS_V2")', 'token = os.environ["TOKEN_V2_NAME"]', 'db_secret = load(read("Vault9Entry/path"))'):
+        assert literals(text) == [], text
+
+
+def test_bindings_end_with_their_scope():
+    assert literals(f'class A:\n    k = "{KEY}"\n\ncredential = A.k\n') == [KEY]
+    assert literals(f'class A {{ static k = "{KEY}"; }}\nlet credential = A.k;') == [KEY]
+    assert literals(f'A = {{"k": "{KEY}"}}\ncredential = A["k"]\n') == [KEY]
+    assert literals(f'def f():\n    k = "{KEY}"\n\ndef g():\n    credential = k\n') == []
+    assert literals(f'function f() {{ let k = "{KEY}"; }}\nlet credential = k;') == []
+    assert literals(f'k = "{KEY}"\nk = make()\ncredential = k\n') == []
+    assert literals(f'class A:\n    def f(self):\n        self.k = "{KEY}"\n    def g(self):\n        credential = self.k\n') == [KEY]
+
+
+def test_prose_and_messages_are_no_secrets():
+    for text in (
+        "The password: it's what \"users\" type, isn't it? Don't share tokens: never.",
+        'print("password: " + name)',
+        'log("token = %s" % shown)',
+        'raise ValueError("secret: must be set")',
+        "token = self.config.token",
+        '"""Docstring about password = none."""',
+    ):
+        assert literals(text) == [], text
+
+
+def test_programs_equal_a_plain_reading():
+    """Programs of bindings, blocks and uses against an interpreter that walks their statements."""
+    rng = random.Random(4)
+    for _ in range(400):
+        lines, env, want = [], [{}], set()
+        for n in range(rng.randint(1, 14)):
+            pad = "  " * (len(env) - 1)
+            what = rng.random()
+            if what < 0.3:
+                name, value = rng.choice("abc"), f"Zx81kQpLm99v{n:03d}"
+                lines.append(f'{pad}let {name} = "{value}";')
+                env[-1][name] = {value}
+            elif what < 0.45:
+                lines.append(f"{pad}if (ok) {{")
+                env.append({})
+            elif what < 0.6 and len(env) > 1:
+                env.pop()
+                lines.append("  " * (len(env) - 1) + "}")
+            elif what < 0.7:
+                name = rng.choice("abc")
+                lines.append(f"{pad}{name} = make();")
+                if any(name in e for e in env):
+                    env[-1][name] = set()
+            else:
+                first, second = rng.choice("abc"), rng.choice("abc")
+                known = [next((e[x] for e in reversed(env) if x in e), set()) for x in (first, second)]
+                lines.append(f"{pad}authToken = {first} + {second};")
+                want |= known[0] | known[1]
+        assert set(literals("\n".join(lines))) == want, "\n".join(lines)
+
+
+def test_odd_syntax_takes_linear_time():
+    for part in ('\\"', '"""', "`", "token=`", "k=<<A\n", "k: |\n", "<token>", "token=f(", "{", "}", "A={a=1,", "class A:\n", "token=(", "'", 'token="x" + ', "token=a.b.", "name: x\nvalue: y\n", 'token=get("a",'):
+        text = "token " + part * (200_000 // len(part))
+        secrets.method_spans(text)
