@@ -108,7 +108,7 @@ def _trade(spark, sf_dir):
     lines = read(spark, sf_dir, "lineitem")
     part, supp = F.concat(F.lit("p"), "l_partkey"), F.concat(F.lit("s"), "l_suppkey")
     edges = lines.select(part.alias("url"), supp.alias("target_url"))
-    back = lines.select(supp.alias("url"), part.alias("target_url")).filter(F.col("l_linenumber") > 1)
+    back = lines.select(supp.alias("url"), part.alias("target_url"))
     return edges.unionByName(back)
 
 
@@ -275,7 +275,7 @@ reasons as (select url, case when url in (select url from visited) then 'visited
 
 # No shortest path in these tables is near forty steps long.
 _WALK = """with recursive edges as (
-        select 'p' || l_partkey as url, 's' || l_suppkey as target_url from lineitem union select 's' || l_suppkey, 'p' || l_partkey from lineitem where l_linenumber > 1),
+        select 'p' || l_partkey as url, 's' || l_suppkey as target_url from lineitem union select 's' || l_suppkey, 'p' || l_partkey from lineitem),
       walk(url, depth) as (select 's' || min(s_suppkey), 0 from supplier union
         select target_url, depth + 1 from walk join edges using (url) where depth < {most})
       select url, min(depth) as depth from walk group by url"""

@@ -39,10 +39,20 @@ def decode_entities(col: Column) -> Column:
     return bind(col, decoded)
 
 
-def _entity_map(closed: bool) -> Column:
-    """Named entities of HTML 5 as one constant map, names with or without the closing semicolon."""
-    names = {n.rstrip(";"): c for n, c in html5.items() if n.endswith(";") == closed}
-    return F.str_to_map(F.lit("\x02".join(f"{n}\x01{c}" for n, c in names.items())), F.lit("\x02"), F.lit("\x01"))
+def _entity(closed: bool):
+    """Lookup of named entities of HTML 5, names with or without the closing semicolon.
+
+    A lookup in a map reads its keys one by one, so names are grouped by their first letter
+    and a lookup reads the letters and one group.
+    """
+    groups: dict[str, list[str]] = {}
+    for name, chars in html5.items():
+        if name.endswith(";") == closed:
+            groups.setdefault(name[0], []).append(f"{name.rstrip(';')}\x01{chars}")
+    table = F.create_map(
+        *[x for letter, names in groups.items() for x in (F.lit(letter), F.str_to_map(F.lit("\x02".join(names)), F.lit("\x02"), F.lit("\x01")))]
+    )
+    return lambda name: F.try_element_at(F.try_element_at(table, F.left(name, F.lit(1))), name)
 
 
 def _character(number: Column) -> Column:
@@ -59,7 +69,7 @@ def _character(number: Column) -> Column:
 def unescape_html(col: Column) -> Column:
     """Decode every HTML entity in one pass, as browsers do: a name without semicolon counts by its longest known prefix."""
     pattern = r"(?s)(&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[^\t\n\f <&#;]{1,32};?|[^&]+|&)"
-    closed, plain = _entity_map(True), _entity_map(False)
+    closed, plain = _entity(True), _entity(False)
 
     def number(ref: Column) -> Column:
         is_hex = ref.rlike("^&#[xX]")
@@ -72,11 +82,11 @@ def unescape_html(col: Column) -> Column:
 
         def prefixed(name: Column) -> Column:
             ends = F.sequence(F.length(name), F.lit(1), F.lit(-1))
-            end = first_of(F.filter(ends, lambda n: (n >= 2) & F.try_element_at(plain, F.substring(name, F.lit(1), n)).isNotNull()))
-            known = F.concat(F.try_element_at(plain, F.substring(name, F.lit(1), end)), F.substring(ref, end + 2, F.length(ref)))
+            end = first_of(F.filter(ends, lambda n: (n >= 2) & plain(F.substring(name, F.lit(1), n)).isNotNull()))
+            known = F.concat(plain(F.substring(name, F.lit(1), end)), F.substring(ref, end + 2, F.length(ref)))
             return F.when(end.isNotNull(), known).otherwise(ref)
 
-        whole = F.when(ref.endswith(";"), F.try_element_at(closed, name))
+        whole = F.when(ref.endswith(";"), closed(name))
         return F.coalesce(whole, bind(name, prefixed))
 
     def decoded(text: Column) -> Column:

@@ -61,9 +61,15 @@ _JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 
 def _levels(text: Column) -> Column:
-    """No fewer than the levels of a JSON text: its opening brackets outside of strings."""
-    brackets = F.regexp_count(F.regexp_replace(text, _JSON_STRING, ""), F.lit(r"[{\[]"))
-    return F.greatest(F.coalesce(brackets, F.lit(1)), F.lit(1))
+    """Levels of a JSON text: the deepest place of its brackets outside of strings, in one pass."""
+    runs = F.regexp_extract_all(F.regexp_replace(text, _JSON_STRING + r"|[^{}\[\]\"]++", ""), F.lit(r"([{\[]+|[}\]]+)"), F.lit(1))
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("deepest"))
+
+    def step(acc: Column, run: Column) -> Column:
+        depth = acc["depth"] + F.when(run.startswith("{") | run.startswith("["), F.length(run)).otherwise(-F.length(run))
+        return F.struct(depth.alias("depth"), F.greatest(acc["deepest"], depth).alias("deepest"))
+
+    return F.coalesce(F.aggregate(runs, zero, step)["deepest"], F.lit(1))
 
 
 def variant_leaves(
@@ -76,8 +82,7 @@ def variant_leaves(
     """Array of the leaves of a VARIANT column; ``text`` is its JSON where at hand.
 
     A list passes its key down to its items. The record is opened level by level, as
-    often as its text has brackets; levels after the last one with anything to open cost
-    next to nothing.
+    often as its brackets are deep.
     """
     entries = "map<string,variant>"
     node = F.struct(

@@ -64,29 +64,49 @@ def next_frontier(
     return fresh.select("at.page_id", "at.pos", "target_url")
 
 
+WALK_BUCKETS = 64
+
+
 def reachable_pages(links: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Rows ``(url, depth)`` of all pages reached from ``seeds (url)`` over ``links (url, target_url)``.
 
     The edges are stored once, so no round parses a page again. One round per depth adds its pages to one table in
-    the shared folder, which the next round reads once; lost executors repeat one round
+    the shared folder, split by round and by a hash of the URL. A round opens the last round's pages, and of all
+    earlier ones just the buckets that its targets fall into; lost executors repeat one round
     only. A round of few bytes is broadcast; larger ones are joined by shuffle, hot sources salted.
     """
     spark = links.sparkSession
     edges = cut_lineage(links.select("url", "target_url").filter(F.col("target_url").isNotNull()).distinct())
     seen, depth = scratch_path(spark, "seen"), 0
-    schema = f"url {seeds.schema['url'].dataType.simpleString()}, depth int"
-    seeds.select("url").distinct().write.parquet(f"{seen}/depth=0")
-    while max_depth is None or depth < max_depth:
-        now = spark.read.schema(schema).parquet(seen).filter(F.col("depth") == depth).select("url")
+    schema = f"url {seeds.schema['url'].dataType.simpleString()}, bucket int, depth int"
+    bucket = F.pmod(F.xxhash64("url"), F.lit(WALK_BUCKETS)).cast("int").alias("bucket")
+    filled: set[int] = set()  # buckets that hold a page, at most WALK_BUCKETS
+
+    def stored(places: str) -> DataFrame:
+        return spark.read.schema(schema).option("basePath", seen).parquet(f"{seen}/{places}")
+
+    def keep(pages: DataFrame, buckets: set[int]) -> None:
+        pages.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{seen}/depth={depth}")
+        filled.update(buckets)
+
+    def buckets_of(pages: DataFrame) -> set[int]:
+        return {r["bucket"] for r in pages.select("bucket").distinct().collect()}
+
+    now = cut_lineage(seeds.select("url", bucket).distinct())
+    keep(now, buckets_of(now))
+    while filled and (max_depth is None or depth < max_depth):
+        small = byte_size(now) <= BROADCAST_BYTES
+        out = edges.join(F.broadcast(now), "url", "left_semi") if small else lookup_join(edges, now.select("url"), ["url"], ["target_url"], "inner")
+        targets = cut_lineage(out.select(F.col("target_url").alias("url")).distinct().select("url", bucket))
+        met = buckets_of(targets)
+        if known := ",".join(map(str, sorted(met & filled))):
+            targets = targets.join(stored(f"depth=*/bucket={{{known}}}").select("url"), "url", "left_anti")
+        now = cut_lineage(targets)
         if now.isEmpty():
             break
-        small = byte_size(now) <= BROADCAST_BYTES
-        out = edges.join(F.broadcast(now), "url", "left_semi") if small else lookup_join(edges, now, ["url"], ["target_url"], "inner")
-        known = spark.read.schema(schema).parquet(seen).select("url")
-        fresh = out.select(F.col("target_url").alias("url")).distinct().join(known, "url", "left_anti")
         depth += 1
-        fresh.write.parquet(f"{seen}/depth={depth}")
-    return spark.read.schema(schema).parquet(seen)
+        keep(now, met)
+    return spark.read.schema(schema).parquet(seen).select("url", "depth")
 
 
 def skip_reasons(queue: DataFrame, visited: DataFrame, stored: DataFrame, excluded: tuple[str, ...] = ("/lists/",)) -> DataFrame:

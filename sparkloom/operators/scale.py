@@ -65,19 +65,26 @@ def _salt(spread_by: list[str], salts: Column) -> Column:
     return F.pmod(F.xxhash64(*spread_by), salts).cast("int")
 
 
+# Values that a sketch of frequent ones follows at least, and per partition.
+SKETCH_VALUES, SKETCH_PER_PARTITION = 4096, 16
+
+
 def hot_values(df: DataFrame, on: list[str], hot_rows: int | None = None) -> DataFrame:
     """Rows ``(_hot, _salts)``: hash of each value of ``on`` that has more rows than an even share of one partition,
     and how many such shares it fills.
 
-    No more values than partitions can have that many rows, so without ``hot_rows`` the
-    table is as short as the number of shuffle partitions.
+    One pass over the columns of ``on``: a sketch with a bounded number of counters per task, merged at the end. It
+    follows several times as many values as can pass an even share, so those are in it; a count may be
+    somewhat high, which only adds salts.
     """
-    counts = df.groupBy(F.xxhash64(*on).alias("_hot")).count()
-    if hot_rows is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        hot_rows = max(HOT_ROWS, df.count() // partitions)
-    salts = F.ceil(F.col("count") / hot_rows).cast("int")
-    return counts.filter(F.col("count") > hot_rows).select("_hot", salts.alias("_salts"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    followed = F.lit(min(1_000_000, max(SKETCH_VALUES, SKETCH_PER_PARTITION * partitions)))
+    top = F.call_function("approx_top_k", F.xxhash64(*on), followed, followed)
+    share = F.greatest(F.lit(HOT_ROWS), F.count("*") / partitions) if hot_rows is None else F.lit(hot_rows)
+    found = df.agg(top.alias("top"), share.alias("share")).select("share", F.explode("top").alias("at"))
+    return found.filter(F.col("at.count") > F.col("share")).select(
+        F.col("at.item").alias("_hot"), F.ceil(F.col("at.count") / F.col("share")).cast("int").alias("_salts")
+    )
 
 
 def salted(df: DataFrame, on: list[str], spread_by: list[str], hot: DataFrame, small: bool) -> DataFrame:
@@ -109,14 +116,17 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left``, where one value of ``on`` may hold most rows, with ``right``.
 
-    ``left`` is computed once and stored. Its hot values are counted first (partial counts
-    over hashes, so the shuffle carries one row per value and task). Their rows are spread
+    The hot values of ``left`` are found in one pass over its key columns; ``left`` itself is not stored, and without
+    a hot value this is a plain join. Else the rows of hot values are spread
     over as many salts as the value fills shares of a partition, and their rows on the right, usually one, are repeated
     per salt; NULL counts as a value. A hash collision only adds salts. ``spread_by``
     names columns of ``left`` that differ between the rows of one value.
     """
-    left = cut_lineage(left)
-    hot, small = settle(hot_values(left, on, hot_rows))
+    hot = cut_lineage(hot_values(left, on, hot_rows))
+    size = byte_size(hot)
+    if size == 0:
+        return left.join(right, on, how)
+    small = size <= BROADCAST_BYTES
     return salted(left, on, spread_by, hot, small).join(per_salt(right, on, hot, small), [*on, "_salt"], how).drop("_salt")
 
 

@@ -28,6 +28,31 @@ def test_reachable_pages(spark, monkeypatch, limit, bound):
     assert {r.url: r.depth for r in got} == bfs(edges, ["n1", "n2"], limit) and len(got) == len({r.url for r in got})
 
 
+def test_a_round_opens_the_buckets_of_its_targets_only(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+
+    opened, parquet = [], DataFrameReader.parquet
+
+    def noting(self, *paths, **options):
+        df = parquet(self, *paths, **options)
+        if "bucket={" in paths[0]:
+            opened.append(len(df.inputFiles()))
+        return df
+
+    monkeypatch.setattr(DataFrameReader, "parquet", noting)
+    links = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(30)], "url string, target_url string")
+    got = P.reachable_pages(links, spark.createDataFrame([("n0",)], "url string")).collect()
+    assert {r.url: r.depth for r in got} == {f"n{i}": i for i in range(31)}
+    assert max(opened, default=0) <= 4 and sum(opened) < 31
+
+
+@pytest.mark.parametrize("seeds", [[], [(None,)], [("nowhere",), ("nowhere",)]])
+def test_walk_from_odd_seeds(spark, seeds):
+    links = spark.createDataFrame([("a", "b"), (None, "c"), ("a", None)], "url string, target_url string")
+    got = P.reachable_pages(links, spark.createDataFrame(seeds, "url string")).collect()
+    assert sorted((r.url, r.depth) for r in got) == sorted({(*s, 0) for s in seeds})
+
+
 def test_frontier_leaves_out_known_pages_and_details(spark):
     base = "https://x.test"
     pages = spark.createDataFrame([(1, f"{base}/animals/", ""), (2, f"{base}/animals/cat/", "")], "page_id int, url string, html string")

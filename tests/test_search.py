@@ -117,6 +117,25 @@ def test_hot_values_are_a_share_of_the_rows(spark):
     assert [r._salts for r in hot] == [-(-60_000 // share)]
 
 
+def test_salted_joins_store_hot_values_only(spark, monkeypatch):
+    stored, cut = [], scale.cut_lineage
+    monkeypatch.setattr(scale, "cut_lineage", lambda df: stored.append(df.columns) or cut(df))
+    left = spark.range(0, 1000).select(F.lit(1).alias("v"), "id")
+    right = spark.createDataFrame([(1, 2)], "v int, w int")
+    plain = scale.lookup_join(left, right, ["v"], ["id"], "left")
+    spread = scale.lookup_join(left, right, ["v"], ["id"], "left", hot_rows=100)
+    assert stored == [["_hot", "_salts"]] * 2 and plain.count() == spread.count() == 1000
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan(plain) and "_salt" in plan(spread)
+    assert scale.lookup_join(left.limit(0), right, ["v"], ["id"], "inner").count() == 0
+
+
+def test_levels_are_those_of_the_brackets(spark):
+    texts = {"1": 1, "[]": 1, '{"a": [1, {"b": "[[[["}], "c\\"[": {}}': 3, "[" + ",".join(['{"a": 1}'] * 1000) + "]": 2, "[" * 40 + "]" * 40: 40, None: 1}
+    df = spark.createDataFrame([(t, n) for t, n in texts.items()], "t string, n int")
+    assert [(r.n, r.got) for r in df.select("n", L._levels(F.col("t")).alias("got")).collect() if r.n != r.got] == []
+
+
 def test_adjacent_and_malformed_queries(spark, corpus):
     docs, df = corpus
     exprs = {
