@@ -23,7 +23,8 @@ class Index(NamedTuple):
     """``postings (field, term, doc_id, tf)`` and ``terms (field, term, df, idf_standard, idf_smooth)``.
 
     A stored index has ``narrow``: the same index reduced to the rows of wanted terms. One that is made on the way
-    has ``settled``: the same index with its postings computed once and stored. ``n_docs`` is the size of the collection.
+    has ``settled``: the same index with its postings computed once and stored. ``n_docs`` is the size of the collection, ``tokens`` the rows that
+    the postings count, where they are at hand.
     """
 
     postings: DataFrame
@@ -31,6 +32,7 @@ class Index(NamedTuple):
     narrow: "Callable[[DataFrame], Index] | None" = None
     settled: "Callable[[], Index] | None" = None
     n_docs: Column | None = None
+    tokens: DataFrame | None = None
 
 
 def tokens(leaves: DataFrame) -> DataFrame:
@@ -96,15 +98,16 @@ def build_index(token_rows: DataFrame, n_docs: Column) -> Index:
         stored = cut_lineage(counted)
         return Index(stored, term_stats(stored, n_docs), n_docs=n_docs)
 
-    return Index(counted, term_stats(counted, n_docs), None, settled, n_docs)
+    return Index(counted, term_stats(counted, n_docs), None, settled, n_docs, token_rows)
 
 
 def sorted_index(index: Index) -> DataFrame:
     """Postings with their statistics, terms and then documents ascending.
 
-    The document is part of the sort key, so a very frequent term is sorted by many tasks.
+    The document is part of the sort key, so a very frequent term is sorted by many tasks. Frequent terms are found
+    among the tokens, before any shuffle.
     """
-    joined = lookup_join(index.postings, index.terms, ["field", "term"], ["doc_id"], "inner")
+    joined = lookup_join(index.postings, index.terms, ["field", "term"], ["doc_id"], "inner", keys=index.tokens)
     return joined.orderBy("field", "term", "doc_id")
 
 

@@ -112,7 +112,7 @@ def hot_of_counts(counts: DataFrame, on: list[str], n_col: str, least: int) -> t
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "left", hot_rows: int | None = None
+    left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "left", hot_rows: int | None = None, keys: DataFrame | None = None
 ) -> DataFrame:
     """Join ``left``, where one value of ``on`` may hold most rows, with ``right``.
 
@@ -120,9 +120,10 @@ def lookup_join(
     a hot value this is a plain join. Else the rows of hot values are spread
     over as many salts as the value fills shares of a partition, and their rows on the right, usually one, are repeated
     per salt; NULL counts as a value. A hash collision only adds salts. ``spread_by``
-    names columns of ``left`` that differ between the rows of one value.
+    names columns of ``left`` that differ between the rows of one value. ``keys`` is a cheaper table to find hot values
+    in, with at least as many rows per value.
     """
-    hot = cut_lineage(hot_values(left, on, hot_rows))
+    hot = cut_lineage(hot_values(left if keys is None else keys, on, hot_rows))
     size = byte_size(hot)
     if size == 0:
         return left.join(right, on, how)
