@@ -48,8 +48,8 @@ select doc_id as wiki_id, concat('Animal ', doc_id, ' (', lang, ')') as title, c
  concat('{{Redirect|Old ', doc_id, '|other uses|Z (disambiguation)|[[Page|Label ', lang, ']]|OLD ', doc_id, '}}', chr(10),
  case doc_id % 3 when 0 then '{{Speciesbox' when 1 then '{{ speciesbox' else '{{Infobox' end, chr(10),
  '| status = LC <!-- c -->', chr(10), '| genus = ''''Genus''''', chr(10), '| species = ', lang, chr(10), '| taxon =', chr(10),
- '| status_ref = {{cite|title=''''Panthera leo'''' and Felis catus}}', chr(10), '| synonyms_ref = {{cite|title=Canis lupus familiaris}}', chr(10),
- '| title = [[Synonymy]]', chr(10), '|{{Species list', chr(10), '|''''Vulpes vulpes'''' L.', chr(10), '| range = wide', chr(10), '|''''Ursus arctos''''', chr(10), '}}', chr(10), '}}', chr(10), '}}', chr(10),
+ '| status_ref = {{cite|title=''''Panthera leo'''' and Felis catus}}', chr(10), '| synonyms_ref = {{cite|title=Canis lupus ', lang, '}}', chr(10),
+ '| title = [[', case doc_id % 4 when 0 then 'Subspecies' when 1 then 'Synonyms of ' else 'Synonymy' end, ']]', chr(10), '|{{Species list', chr(10), '|''''Vulpes ', lower(translate(cast(doc_id % 1000 as varchar(10)), '0123456789', 'abcdefghij')), 'us'''' L.', chr(10), '| range = wide', chr(10), '|''''Ursus arctos''''', chr(10), '}}', chr(10), '}}', chr(10), '}}', chr(10),
  'Intro [[A|', source, ']] [[B]] {{a|{{b}}}}<ref name="q"/><ref>x</ref> [[File:a.jpg|thumb]] ', text, chr(10), chr(10), chr(10), chr(10),
  '== Range ==', chr(10), 'x', chr(10), '=== Sub ===', chr(10), '== range ==', chr(10), '==Diet', source, '==', chr(10), '== References ==', chr(10),
  '[[Category:', lang, ' animals|k]] [[category:All]]') as text from documents

@@ -288,7 +288,9 @@ ABSTRACT = _clean("string_split(body, chr(10) || '== Range ==')[1]")
 HEADINGS = "'Range|Diet' || source"
 CATEGORIES = "lang || ' animals|All'"
 TITLES = "'Old ' || wiki_id || '|Label ' || lang"
-SYNONYMS = "'Canis lupus familiaris|Vulpes vulpes'"
+# The listed name counts only where the title before it names synonyms; the reference comes first.
+SYNONYMS = r"""regexp_extract(block, 'synonyms_ref = \{\{cite\|title=([^}]+)\}\}', 1)
+ || case when regexp_matches(block, '(?m)^\| title = \[\[Synonym') then '|' || regexp_extract(block, '(?m)^\|''''([^'']+)'''' L', 1) else '' end"""
 NAMES = f"{SYNONYMS} || '|Panthera leo and|Felis catus|Panthera leo|Genus ' || lang"
 FX_DOCS = f"{FX}, {BOX}, docs as (select b.*, d.lang, d.source from boxed b join documents d on b.wiki_id = d.doc_id)"
 RECORD = f"""wiki_id, trim(title) as animal_name, {_field('status')} as status, {_field('genus')} as genus, {_field('species')} as species,

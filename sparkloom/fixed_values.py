@@ -103,6 +103,10 @@ REF_AND_TAG_PATTERNS = (r"(?i)<ref[^>]*?/\s*>", r"(?is)<ref[^>]*?>.*?</ref>", r"
 FILE_LINK_PATTERN = r"(?i)\[\[(?:File|Image):[^\]]+\]\]"
 CATEGORY_PATTERN = r"(?i)\[\[Category:([^\]]+)\]\]"
 TITLE_VALUE_PATTERN = r"(?iU)\btitle\s*=\s*([^|{}\n\r]+)"
+REDIRECT_NOTE_PATTERN = r"(?s)\{\{\s*[Rr]edirect\s*\|([^}]+)\}\}"
+INNERMOST_TEMPLATE_PATTERN = r"\{\{[^{}]*\}\}"
+ONE_ARGUMENT_TEMPLATE_PATTERN = r"\{\{[^|{}]*\|([^{}]*)\}\}"
+SYNONYM_WORD_PATTERN = r"(?iU)\bsynonym\w*\b"
 ITALICS_PATTERN = r"''+([^']{1,200})''+"
 
 # Patterns of the pages of one site that facts are read from (Java regex).
@@ -116,6 +120,8 @@ MAIN_TEXT_PATTERNS = (
     r"""(?is)<div[^>]+id=["']single-animal-text["'][^>]*>(.*?)<div[^>]+id=["']single-animal-sidebar["']""",
     r"""(?is)<div[^>]+id=["']single-animal-text["'][^>]*>(.*)</div>\s*</div>\s*</div>""",
 )
+SECTION_PATTERN = r"(?is)(<h2[^>]*>.*?</h2>.*?)(?=<h2[^>]*>|\z)"
+SECTION_PARTS_PATTERN = r"(?is)^<h2[^>]*>(.*?)</h2>(.*)$"
 PARAGRAPH_PATTERN = r"(?is)<p[^>]*>(.*?)</p>"
 LINKED_ITEM_PATTERN = r"(?i)<li><a[^>]*>([^<]+)</a></li>"
 CLASSED_ITEM_PATTERN = r'(?i)<li[^>]*class="[^"]*list-item[^"]*"[^>]*>([^<]+)</li>'
