@@ -4,6 +4,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkloom.operators.scale import cut_lineage
+
 BLOCK_WORDS = 8
 _KEYS_PER_BLOCK = 40  # about 13 bits for each key
 _MOST_BLOCKS = 1 << 17  # 9 MB at nine longs a block: the broadcast never grows beyond
@@ -91,7 +93,7 @@ def judge_urls(
     listed and are allowed. Null ids and repeated rows pass through. An empty list blocks
     nothing. Other columns are not looked at.
     """
-    listed = listed_urls.select(canonical(F.col(listed_col)).alias("listed")).filter(host_of(F.col(listed_col)) != "").distinct()
+    listed = cut_lineage(listed_urls.select(canonical(F.col(listed_col)).alias("listed")).filter(host_of(F.col(listed_col)) != "").distinct())
     count = listed.select(F.approx_count_distinct("listed")).first()[0]
     blocks = 1
     while blocks < _MOST_BLOCKS and blocks * _KEYS_PER_BLOCK < count:

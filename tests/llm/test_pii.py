@@ -37,7 +37,57 @@ def test_long_runs_take_linear_time():
 
 @pytest.fixture(scope="module")
 def field():
-    return pii.Field.fit(pii.labelled_rows())
+    return pii.Field.fit(pii.marked_rows(pii.HAND_LABELLED) + pii.labelled_rows())
+
+
+# Labelled by hand and not trained on; the lines with invented words are cut from the given documents.
+HELD_OUT = """
+ja mente [ip 97.51.17.173] ueadoos [card 9807915762804490] raie, esllra ñll
+ANONHEON.!! THTH!! THTHLYEA!! [card 5927243074273351]!! OF!! INGNT!! THONLY
+thonble. Shre hewhha thlystti [phone +1 (017) 555-7713] rethsh on toonreeaw
+dhe*** eres*** here,### to%%% [phone +1 (988) 555-0546]%%% haea*** onedwhtion#
+heitheitsch enieaupf und. Und [email und.34@mail7.example.com] geiever vererbe in
+ENVIÉ LLEAU!! LES!! DE!! OUÉRÉ!! [ip 169.122.221.182]!! MENT!! EUXCHTRE!!
+e.*** Licensed under CC BY-NC 4.0. the Apache License, Version 2.0.
+Hean. Esanwh [card 2353820953013749] [card 4550997810720808] thheed hand, 235382
+token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce" Lytint that erhe on
+Neral Public License, version 3. Either thing of 2007
+yíraos. | menteez | ieesll | [ip 161.17.88.162] | queción | quedoar
+After 6 pm dial [phone (646) 555-0119] and leave a message of 30 seconds.
+Write to [email p.keller@firma.example.ch] or [email support2@helpdesk.example.com], ticket 55102.
+The visa [card 4539 5787 6362 1480] was used 3 times on 04/11/2020.
+My mastercard is [card 5425-2334-3010-9909], valid until 11/26.
+Host [ip 172.16.254.3] answered 200 in 0.35 s, host [ip 172.16.254.9] did not.
+Téléphone [phone 04 55 50 87 21], bureau 318, ouvert de 9h30 à 12h.
+Tel. [phone 0221/5550172], Raum 2.104, Mo 10-12 Uhr
+Llame al [phone +34 915 550 178] antes del 15.06.2019.
+Text [phone 503-555-0146] by 21:00 on 3 March.
+The new mail is [email anna.berg@mail], not the 2017 one.
+Python 3.9.1 needs 25.4 MB, 3.8.6 needed 24.9 MB.
+From 1804 to 1815 about 3500000 people died in 7 wars.
+Article 12.3.4 applies to 85 % of the 1,204 cases.
+Room 12-204, 3rd floor, 10:15-11:45, 28 seats
+The train 2231 of 07:52 was 14 minutes late on 2018-02-11.
+Add 250 g of flour, 125 ml of milk and 3 eggs, bake 40 minutes at 180 degrees.
+ISBN 0-306-40615-2 and ISSN 2049-3630, 2nd edition, 1999
+id = 0x7ffd3a21, pid 40213, 98.6 % of 16 cores
+Order 4401-22 of 12.09.2014 over 1.250,00 was paid.
+"""
+
+
+def test_held_out_sentences(field):
+    """Precision and recall of whole spans on sentences that no pattern made."""
+    right = found = wanted = 0
+    for words, labels in pii.marked_rows(HELD_OUT):
+        gold, at = set(), 0
+        for word, label in zip(words, labels):
+            if label[0] == "B":
+                gold.add((label[2:], at))
+            at += len(word) + 1
+        [(base, added)] = pii.spans_of([" ".join(words)], field)
+        got = {(pii.KINDS[kind].removeprefix("crf_"), start) for kind, start, _ in base + added}
+        right, found, wanted = right + len(gold & got), found + len(got), wanted + len(gold)
+    assert right / found > 0.9 and right / wanted > 0.9, (right, found, wanted)
 
 
 def test_held_out_accuracy(field):
