@@ -104,7 +104,6 @@ FILE_LINK_PATTERN = r"(?i)\[\[(?:File|Image):[^\]]+\]\]"
 CATEGORY_PATTERN = r"(?i)\[\[Category:([^\]]+)\]\]"
 TITLE_VALUE_PATTERN = r"(?iU)\btitle\s*=\s*([^|{}\n\r]+)"
 REDIRECT_NOTE_PATTERN = r"(?s)\{\{\s*[Rr]edirect\s*\|([^}]+)\}\}"
-INNERMOST_TEMPLATE_PATTERN = r"\{\{[^{}]*\}\}"
 ONE_ARGUMENT_TEMPLATE_PATTERN = r"\{\{[^|{}]*\|([^{}]*)\}\}"
 SYNONYM_WORD_PATTERN = r"(?iU)\bsynonym\w*\b"
 ITALICS_PATTERN = r"''+([^']{1,200})''+"
