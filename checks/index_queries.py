@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
 from sparkloom.operators import index as I, leaves as L
+from sparkloom.operators.scale import dealt
 from sparkloom.sources.readers import read_table
 
 
@@ -17,7 +18,7 @@ def documents(spark, sf_dir):
 
 def part_records(spark, sf_dir):
     """Parts as nested records: a scalar, a struct and a list."""
-    p = read(spark, sf_dir, "part")
+    p = dealt(read(spark, sf_dir, "part"))
     return p.select(
         F.col("p_partkey").alias("doc_id"),
         F.col("p_name").alias("name"),

@@ -60,6 +60,21 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+# Rows that one task takes of a table whose rows are short and whose steps are not.
+TASK_ROWS = 10_000
+
+
+def dealt(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` in tasks of about ``task_rows`` rows, however few files or row groups hold them.
+
+    A scan is split by bytes, so millions of short rows that pack well are one task, and with it all steps in the row
+    that follow. Rows are dealt by their own values, so a repeated task deals them alike and a NULL or repeated
+    key weighs nothing; a table of one task's size stays as it is.
+    """
+    tasks = -(-df.count() // task_rows)
+    return df.repartition(tasks, *df.columns) if tasks > 1 else df
+
+
 def _salt(spread_by: list[str], salts: Column) -> Column:
     """Salt from the row's own values, so that a repeated task gives the same one."""
     return F.pmod(F.xxhash64(*spread_by), salts).cast("int")
