@@ -67,7 +67,7 @@ def matched_name(spark, sf_dir):
 
 def _people(spark, sf_dir):
     """Names shared by many records on both sides: word pairs of part names, brands and types."""
-    parts = read(spark, sf_dir, "part")
+    parts = scale.dealt(read(spark, sf_dir, "part"))
     left = parts.select(
         F.col("p_partkey").cast("string").alias("key"),
         F.col("p_name").alias("common_name"),
