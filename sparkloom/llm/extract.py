@@ -3,24 +3,31 @@
 import hashlib
 import html
 import json
+import pickle
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import eq
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sparkloom.llm.url_filter import host_of
 from sparkloom.operators.scale import byte_size, cut_lineage, hinted, lookup_join
 
-# Pages per host that a wrapper is inferred from: those with the smallest hash of their id.
-SAMPLE_PAGES = 8
+# A container or tag is part of a host's template if it stands on at least one in this many of the host's pages, all of them counted.
+TEMPLATE_PART = 8
+# Structures that one task aligns; more of a host are aligned in groups of about this size, then the results.
+ALIGNED = 64
 # A container's text is fixed if it stands on that many pages with different main texts, and on this share of those that have the container.
 FIXED_PAGES, FIXED_SHARE = 8, 0.5
 # Groups up to this length are tried one by one as repetitions, longer ones where that many keys in a row recur at their distance.
 _SHORT_GROUP = 24
+# Tags and texts of distinct structures that a scan task holds before it sends them on.
+_HELD = 200_000
 # Bits of the alignment of two streams that are held at once (32 MB); longer streams are halved.
 _IN_MEMORY = 1 << 28
 # Containers nested deeper than this have no path; they are like the one around them.
@@ -121,7 +128,7 @@ def _merge(a: Node, b: Node, same_page: bool) -> Node:
     """Two equal nodes as one; of one page they keep a hash of all their texts, of two pages only what is the same."""
     if a[0] == "#":
         if same_page:
-            texts = None if a[1] is None or b[1] is None else ("", hash((a[1], b[1])))
+            texts = None if a[1] is None or b[1] is None else ("", _hash(a[1], b[1]))
         else:
             texts = a[1] if a[1] == b[1] else None
         return ["#", texts, a[2] + b[2]]
@@ -130,10 +137,12 @@ def _merge(a: Node, b: Node, same_page: bool) -> Node:
 
 def fold(nodes: list[Node]) -> list[Node]:
     """Neighbouring equal groups become one repeated group, short groups first, until nothing repeats."""
-    size = 1
+    size, keys = 1, [_key(n) for n in nodes]
     while size <= len(nodes) // 2:
+        if sum(map(eq, keys, keys[size:])) < size:  # too few keys recur at this distance
+            size = _next_size(nodes, size)
+            continue
         out: list[Node] = []
-        keys = [_key(n) for n in nodes]
         at, changed = 0, False
         while at < len(nodes):
             count = 1
@@ -149,7 +158,7 @@ def fold(nodes: list[Node]) -> list[Node]:
             else:
                 out.append(nodes[at])
                 at += 1
-        nodes = out
+        nodes, keys = out, [_key(n) for n in out]
         size = 1 if changed else _next_size(nodes, size)
     return nodes
 
@@ -185,13 +194,17 @@ def _absorb(nodes: list[Node], groups: dict[str, list[str]]) -> list[Node]:
     return nodes
 
 
+def _flat(nodes: list[Node]) -> tuple[list[Node], list[bool]]:
+    """Nodes with optional groups opened, and whether each was in one."""
+    opened = [(x, n[0] == "?") for n in nodes for x in (n[1] if n[0] == "?" else [n])]
+    return [x for x, _ in opened], [optional for _, optional in opened]
+
+
 def align(a: list[Node], b: list[Node]) -> list[Node]:
     """Generalise two streams: differing texts become slots, unmatched stretches optional groups."""
     repeated = {_key(n): [_key(x) for x in n[1]] for n in (*a, *b) if n[0] == "+"}
     a, b = fold(_absorb(a, repeated)), fold(_absorb(b, repeated))
-    flat = [n[1] if n[0] == "?" else [n] for n in a]
-    optional = [n[0] == "?" for n in a for _ in (n[1] if n[0] == "?" else [n])]
-    a = [n for group in flat for n in group]
+    (a, optional), (b, absent) = _flat(a), _flat(b)
     out: list[Node] = []
 
     def add(nodes: list[Node], is_optional: bool) -> None:
@@ -202,8 +215,8 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
 
     for what, i, j, k, m in _steps([_key(n) for n in a], [_key(n) for n in b]):
         if what == "equal":
-            for x, y, opt in zip(a[i:j], b[k:m], optional[i:j]):
-                add([_merge(x, y, False)], opt)
+            for x, y, one, other in zip(a[i:j], b[k:m], optional[i:j], absent[k:m]):
+                add([_merge(x, y, False)], one or other)
         else:
             add(a[i:j], True)
             add(b[k:m], True)
@@ -368,9 +381,12 @@ def content_root(nodes: list[Node]) -> str:
     return marked or (_root_path(nodes)[0] or ("",))[-1]
 
 
-def content_paths(nodes: list[Node]) -> dict[str, bool]:
-    """What the wrapper says of every container path in it: whether texts right inside are main text."""
-    marked = _marked_root(nodes)
+def content_paths(nodes: list[Node], marked: str | None = None) -> dict[str, bool]:
+    """What the wrapper says of every container path in it: whether texts right inside are main text.
+
+    ``marked`` is the kind of root that the wrapper's pages have, where that is known.
+    """
+    marked = _marked_root(nodes) if marked is None else marked
     root, same = ((), frozenset()) if marked else _root_path(nodes)
     found = {"": not marked and not root}
 
@@ -389,6 +405,60 @@ def content_paths(nodes: list[Node]) -> dict[str, bool]:
     return found
 
 
+# --- what all pages of a host have in common ---
+
+
+def _placed(nodes: list[Node]) -> Iterator[tuple[Node, int, bool]]:
+    """Each tag and text of a stream with the hash of the container path around it, and whether it opens that container.
+
+    A container's own tags stand in it.
+    """
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    for node in nodes:
+        closes = node[0].startswith("</")
+        element = node[0][2:-1] if closes else node[0][1:-1].partition(" ")[0]
+        inner = stack[-1][1] if stack else 0
+        if closes and opened[element]:
+            last = ""
+            while last != element:
+                last, inner = stack.pop()
+                opened[last] -= 1
+        elif not closes and element in _CONTAINERS:
+            inner = _hash(inner, node[0]) if len(stack) < _DEEPEST else inner
+            stack.append((element, inner))
+            opened[element] += 1
+            yield node, inner, True
+            continue
+        yield node, inner, False
+
+
+def _part(node: Node, place: int) -> int:
+    """Hash of a tag that is no container, at its place."""
+    return _hash(place, node[0], "")
+
+
+def page_parts(nodes: list[Node]) -> set[int]:
+    """Hashes of the containers and the named tags that a page has, each with its place; 0 for the page."""
+    return {0, *(place if opens else _part(node, place) for node, place, opens in _placed(nodes) if opens or " " in node[0])}
+
+
+def template(nodes: list[Node], parts: frozenset[int]) -> list[Node]:
+    """A page's stream without containers that are not in ``parts``, and without the names of other such tags."""
+    out = []
+    for node, place, opens in _placed(nodes):
+        if place and place not in parts:
+            continue
+        rare = not opens and " " in node[0] and _part(node, place) not in parts
+        out.append([node[0].partition(" ")[0] + ">"] if rare else node)
+    return out
+
+
+def _join_same(a: list[Node], b: list[Node]) -> list[Node]:
+    """Two streams of equal keys as one, in any order: texts that differ become slots."""
+    return [_merge(x, y, False) for x, y in zip(a, b)]
+
+
 # --- applying a wrapper ---
 
 _PRIME, _BASE = (1 << 61) - 1, 0x5BD1E9955BD1E995 % ((1 << 61) - 1)
@@ -462,13 +532,19 @@ def _blocks(page: str, paths: dict[str, bool]) -> tuple[list[str], list[tuple[in
     return blocks, containers, unjudged
 
 
-def _judged(page: str, paths: dict[str, bool] | None) -> tuple[list[str], list[tuple[int, int, int]]]:
-    """Blocks and containers of main text. A page that the wrapper does not fit gets a wrapper of its own: one
-    where nothing is found, or less than stands in containers that the wrapper has not seen."""
-    blocks, containers, unjudged = _blocks(page, paths) if paths else ([], [], 0)
-    if page and unjudged >= sum(map(len, blocks)):
-        blocks, containers, _ = _blocks(page, content_paths(infer([page])))
-    return blocks, containers
+Paths = dict[str, bool] | list[dict[str, bool]]
+
+
+def _judged(page: str, paths: Paths | None) -> tuple[list[str], list[tuple[int, int, int]]]:
+    """Blocks and containers of main text, by the first of the host's wrappers that fits. A page that none fits gets a
+    wrapper of its own: one where nothing is found, or less than stands in containers that the wrapper has not seen."""
+    if not page:
+        return [], []
+    for known in [paths] if isinstance(paths, dict) else paths or []:
+        blocks, containers, unjudged = _blocks(page, known) if known else ([], [], 0)
+        if unjudged < sum(map(len, blocks)):
+            return blocks, containers
+    return _blocks(page, content_paths(infer([page])))[:2]
 
 
 def _keyed(blocks: list[str], containers: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
@@ -481,7 +557,7 @@ def _keyed(blocks: list[str], containers: list[tuple[int, int, int]]) -> Iterato
         yield place, _hash(place, end - first, (sums[end] - sums[first] * powers[end - first]) % _PRIME), first, end
 
 
-def container_rows(page: str, paths: dict[str, bool] | None) -> set[tuple[int, int, int]]:
+def container_rows(page: str, paths: Paths | None) -> set[tuple[int, int, int]]:
     """Rows ``(path, key, page)`` for the containers that hold at most half of the page's main text.
 
     ``key`` stands for the path with the container's text, ``page`` for the main text around and in it, so copies of a page count once.
@@ -497,7 +573,7 @@ def container_rows(page: str, paths: dict[str, bool] | None) -> set[tuple[int, i
     return {(place, key, whole) for place, key, _, _ in _keyed(blocks, minor)}
 
 
-def main_text(page: str, paths: dict[str, bool] | None = None, fixed: frozenset[int] = frozenset()) -> str:
+def main_text(page: str, paths: Paths | None = None, fixed: frozenset[int] = frozenset()) -> str:
     """Main text of a page by the wrapper's paths, blocks joined by an empty line.
 
     Containers whose key is in ``fixed`` are left out, unless that leaves nothing.
@@ -509,18 +585,85 @@ def main_text(page: str, paths: dict[str, bool] | None = None, fixed: frozenset[
     return "\n\n".join(blocks)
 
 
-_WRAPPERS = "host string, root string, paths string, wrapper string"
+_PARTS_SEEN = "host string, kind string, part bigint, n bigint"
+_STRUCTURES = "host string, kind string, structure string, order bigint, nodes binary"
+_WRAPPERS = "host string, kind string, root string, paths string, wrapper string"
 _TEXTS = "page_id bigint, url string, host string, text string, n_chars bigint"
 
 
-def _infer(key: tuple, pages: pd.DataFrame) -> pd.DataFrame:
-    nodes = infer([p for p in pages.sort_values(["order", "html"])["html"]])
-    paths = json.dumps(content_paths(nodes), ensure_ascii=False)
-    return pd.DataFrame({"host": [key[0]], "root": [content_root(nodes)], "paths": [paths], "wrapper": [expression(nodes)]})
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        seen: Counter[tuple[str, str, int]] = Counter()
+        for host, page in zip(batch.column("host"), batch.column("html")):
+            nodes = stream(page.as_py())
+            key = host.as_py(), _marked_root(nodes)
+            seen.update((*key, part) for part in page_parts(nodes))
+        rows = [(*key, n) for key, n in sorted(seen.items())]
+        kinds = pa.string(), pa.string(), pa.int64(), pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["host", "kind", "part", "n"])
+
+
+def _structures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct structures of the pages of each batch, texts that differ between their pages as slots."""
+    for batch in batches:
+        parts: dict[str, dict[str, frozenset[int]]] = {}
+        known: dict[tuple, tuple[int, list[Node]]] = {}
+        held = 0
+        for host, order, page, text in zip(*(batch.column(c) for c in ("host", "order", "html", "parts"))):
+            of_kind = text.as_py()
+            if of_kind not in parts:
+                parts[of_kind] = {k: frozenset(map(int, v.split(","))) for k, v in json.loads(of_kind).items()}
+            raw = stream(page.as_py())
+            kind = _marked_root(raw)
+            nodes = template(raw, parts[of_kind][kind])
+            key = host.as_py(), kind, "".join(map(_key, nodes))
+            if key in known:
+                first, others = known[key]
+                known[key] = min(first, order.as_py()), _join_same(others, nodes)
+            else:
+                known[key] = order.as_py(), nodes
+                held += len(nodes)
+            if held > _HELD:
+                yield _rows_of(known)
+                known, held = {}, 0
+        yield _rows_of(known)
+
+
+def _rows_of(known: dict[tuple, tuple[int, list[Node]]]) -> pa.RecordBatch:
+    """Rows of structures, repetitions folded."""
+    rows = []
+    for (host, kind, _), (order, nodes) in known.items():
+        nodes = fold(nodes)
+        structure = hashlib.blake2b("".join(map(_key, nodes)).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        rows.append((host, kind, structure, order, pickle.dumps(nodes)))
+    kinds = pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["host", "kind", "structure", "order", "nodes"])
+
 
+def _folded(join: Callable[[list[Node], list[Node]], list[Node]], key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """One row for several of a host, joined in an order that does not depend on tasks."""
+    rows = rows.sort_values(["order", "structure", "nodes"])
+    nodes = reduce(join, map(pickle.loads, rows["nodes"]))
+    return pd.DataFrame({"host": [key[0]], "kind": [key[1]], "structure": [rows["structure"].min()], "order": [rows["order"].min()], "nodes": [pickle.dumps(nodes)]})
 
-def _paths_of(batch: pa.RecordBatch) -> Iterator[tuple[str, dict[str, bool] | None]]:
-    known: dict[str | None, dict | None] = {None: None}
+
+def _one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    return _folded(_join_same, key, rows)
+
+
+def _aligned(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    return _folded(align, key, rows)
+
+
+def _infer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    host, kind = key
+    nodes = pickle.loads(_aligned(key, rows)["nodes"][0])
+    paths = json.dumps(content_paths(nodes, kind), ensure_ascii=False)
+    return pd.DataFrame({"host": [host], "kind": [kind], "root": [kind or content_root(nodes)], "paths": [paths], "wrapper": [expression(nodes)]})
+
+
+def _paths_of(batch: pa.RecordBatch) -> Iterator[tuple[str, Paths | None]]:
+    known: dict[str | None, Paths | None] = {None: None}
     for page, paths in zip(batch.column("html"), batch.column("paths")):
         key = paths.as_py()
         if key not in known:
@@ -549,16 +692,44 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def host_wrappers(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
-    """Rows ``(host, root, paths, wrapper)``: one wrapper per host, from at most ``sample_pages`` of its pages.
+def template_parts(pages: DataFrame) -> DataFrame:
+    """Rows ``(_host, parts)``: per kind of root, the containers and named tags on at least one in ``TEMPLATE_PART`` of all
+    pages ``(host, html)`` of a host. Others, such as those named by a page's own number, are no part of a template;
+    so a host has at most ``TEMPLATE_PART`` times as many as one page.
+    """
+    seen = cut_lineage(pages.mapInArrow(_parts, _PARTS_SEEN).groupBy("host", "kind", "part").agg(F.sum("n").alias("n")))
+    totals = seen.filter("part = 0").select("host", "kind", F.col("n").alias("pages"))
+    kept = lookup_join(seen, totals, ["host", "kind"], ["part"], "inner").filter(F.col("n") * TEMPLATE_PART >= F.col("pages"))
+    by_kind = kept.groupBy("host", "kind").agg(F.array_join(F.sort_array(F.collect_list(F.col("part").cast("string"))), ",").alias("parts"))
+    of_kinds = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("kind", "parts")))))
+    return cut_lineage(by_kind.groupBy(F.col("host").alias("_host")).agg(of_kinds.alias("parts")))
+
+
+def host_wrappers(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Rows ``(host, kind, root, paths, wrapper)``: one wrapper per host and kind of marked root, from all its pages.
 
-    Every task keeps no more than the sample of a host before the shuffle, so a host with a third of all pages is
-    as small as any other.
+    Scan tasks join pages of one structure to one row; the structures of a host meet in groups of ``ALIGNED``, and their
+    wrappers again, until one is left. So a host with a third of all pages is as small as the structures of its templates,
+    and nothing depends on how pages are dealt to tasks.
     """
     order = F.xxhash64(F.col(id_col), F.col(html_col))
-    pages = df.select(host_of(F.col(url_col)).alias("host"), order.alias("order"), F.col(html_col).alias("html")).filter(F.col("html") != "")
-    ranked = pages.withColumn("_rank", F.row_number().over(Window.partitionBy("host").orderBy("order", "html")))
-    return ranked.filter(F.col("_rank") <= sample_pages).drop("_rank").groupBy("host").applyInPandas(_infer, _WRAPPERS)
+    pages = df.select(F.coalesce(host_of(F.col(url_col)), F.lit("")).alias("host"), order.alias("order"), F.col(html_col).alias("html")).filter(F.col("html") != "")
+    found = _with_wrappers(pages, template_parts(pages.select("host", "html"))).mapInArrow(_structures, _STRUCTURES)
+    rows = cut_lineage(found.groupBy("host", "kind", "structure").applyInPandas(_one, _STRUCTURES))
+    while True:
+        counts = rows.groupBy("host", "kind").agg(F.count("*").alias("_n"))
+        if (counts.agg(F.max("_n")).first()[0] or 0) <= ALIGNED:
+            return rows.groupBy("host", "kind").applyInPandas(_infer, _WRAPPERS)
+        group = F.pmod(F.xxhash64("structure"), F.ceil(F.col("_n") / ALIGNED)).alias("_group")
+        grouped = rows.join(counts, ["host", "kind"]).select(*rows.columns, group)
+        rows = cut_lineage(grouped.groupBy("host", "kind", "_group").applyInPandas(_aligned, _STRUCTURES))
+
+
+def _paths_by_host(wrappers: DataFrame) -> DataFrame:
+    """Rows ``(_host, paths)``: the paths of a host's wrappers as a list, those with a marked root first."""
+    rank = F.array_position(F.array(*map(F.lit, (*_ROOTS, ""))), F.col("kind"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "paths"))), lambda r: r["paths"])
+    return wrappers.groupBy(F.col("host").alias("_host")).agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("paths"))
 
 
 def fixed_containers(pages: DataFrame) -> DataFrame:
@@ -581,7 +752,7 @@ def _with_wrappers(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
     return pages.join(hinted(wrappers, small), F.col("host") == F.col("_host"), "left").drop("_host")
 
 
-def page_texts(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+def page_texts(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Rows ``(page_id, url, host, text, n_chars)``, one per row of ``df``; ``text`` is the whole main text.
 
     A wrapper tells where the main text of its host's pages is; containers in it that say the same on most of all
@@ -591,7 +762,7 @@ def page_texts(df: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     A null or empty html gives an empty text. A page without a host shares a wrapper with others of that kind. Null
     ids and URLs stay null, repeated rows give repeated rows, other columns are not looked at.
     """
-    wrappers = cut_lineage(host_wrappers(df, id_col, url_col, html_col, sample_pages).select(F.col("host").alias("_host"), "paths"))
+    wrappers = cut_lineage(_paths_by_host(host_wrappers(df, id_col, url_col, html_col)))
     pages = df.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     fixed = fixed_containers(_with_wrappers(pages.select("host", "html"), wrappers).withColumn("host", F.xxhash64("host")))
     both = cut_lineage(wrappers.join(fixed.withColumnRenamed("host", "_key"), F.xxhash64("_host") == F.col("_key"), "left").drop("_key"))

@@ -178,6 +178,38 @@ def test_page_of_another_template_gets_its_own_wrapper():
     assert text(seen[0], seen) == "Text 0 of the post"
 
 
+def test_wrappers_come_from_all_pages(pages):
+    """On 30 hosts, two of 14 pages have one more container; it is in every wrapper, however pages are dealt."""
+    import json
+
+    html = lambda k: f'<body><div class="post"><p>Text {k} of it</p></div>{"<div class=box><p>Box</p></div>" if k % 14 < 2 else ""}</body>'
+    df = pages([(k, f"http://h{k // 14}.b/", html(k)) for k in range(420)])
+    one, many = ({r["host"]: r for r in extract.host_wrappers(d).collect()} for d in (df.coalesce(1), df.repartition(7, "page_id")))
+    assert one == many and len(one) == 30
+    assert all(" > body > div class=box" in json.loads(r["paths"]) and r["root"] == "div class=post" for r in one.values())
+
+
+def test_many_structures_are_aligned_in_groups(pages, monkeypatch):
+    import json
+
+    def html(k):
+        return "<body><div class=post>" + "".join(f"<{t}>{t} {k} {i}</{t}>" for i, t in enumerate(["p", "h2", "pre"][int(c)] for c in format(k, "b").replace("1", "2"))) + f"</div><div class=top>Same</div><div id=x{k}>own {k}</div></body>"
+
+    df = pages([(k, "http://a.b/", html(k)) for k in range(60)])
+    whole = extract.host_wrappers(df).collect()
+    monkeypatch.setattr(extract, "ALIGNED", 4)
+    grouped = extract.host_wrappers(df.repartition(5, "page_id")).collect()
+    assert [r["root"] for r in whole + grouped] == ["div class=post"] * 2
+    assert json.loads(whole[0]["paths"]) == json.loads(grouped[0]["paths"]) == {"": False, " > body": False, " > body > div class=post": True, " > body > div class=top": False}
+
+
+def test_pages_of_two_kinds_have_a_wrapper_each(pages):
+    rows = [(k, "http://a.b/", f"<body><div class=x>Same</div><div class=post><p>Text {k} of it</p></div></body>") for k in range(40)]
+    rows += [(40, "http://a.b/", "<body><article id=a40><p>Other</p></article><div class=post>no</div></body>")]
+    got = {r["page_id"]: r["text"] for r in extract.page_texts(pages(rows)).collect()}
+    assert got == {k: f"Text {k} of it" for k in range(40)} | {40: "Other"}
+
+
 def test_page_is_title_and_document(spark):
     """Every page of the small tables holds its title and one document, nothing else."""
     import re
