@@ -51,8 +51,8 @@ def index_idf(spark, sf_dir):
 
 
 def index_sorted(spark, sf_dir):
-    n_docs = I.collection_size(documents(spark, sf_dir))
-    rows = I.sorted_index(I.build_index(doc_tokens(spark, sf_dir), n_docs))
+    docs = documents(spark, sf_dir)
+    rows = I.sorted_index(I.build_index(I.text_tokens(I.by_document(docs)), I.collection_size(docs)))
     return rows.select("field", "term", "doc_id", "tf", "df", F.round("idf_standard", 6).alias("idf_standard"))
 
 

@@ -10,11 +10,11 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from sparkloom.fixed_values import FIELD_TERM_MAX_CHARS
 from sparkloom.functions.text import format_key, tokenize
-from sparkloom.operators.scale import cut_lineage, lookup_join
+from sparkloom.operators.scale import HOT_ROWS, cut_lineage
 
 BUCKETS = 256
 
@@ -55,6 +55,21 @@ def text_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+# Texts that one task counts the tokens of.
+TASK_TEXTS = 2_000
+
+
+def by_document(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` dealt to tasks by id, so that the tokens of an id are counted where they are and no posting is shuffled for it.
+
+    For an index of all terms, as texts take less room than their postings. Where an id (or NULL) has more rows than a task takes,
+    ``docs`` stay as they are, and their postings meet by term and document.
+    """
+    n_rows, most = docs.groupBy(id_col).count().agg(F.sum("count"), F.max("count")).first()
+    tasks = -(-(n_rows or 0) // TASK_TEXTS)
+    return docs.repartition(tasks, id_col) if tasks > 1 and most <= TASK_TEXTS else docs
+
+
 def postings(token_rows: DataFrame) -> DataFrame:
     """Term frequency per document. The count starts in the scan task of the document."""
     return token_rows.groupBy("field", "term", "doc_id").agg(F.count("*").alias("tf"))
@@ -104,11 +119,28 @@ def build_index(token_rows: DataFrame, n_docs: Column) -> Index:
 def sorted_index(index: Index) -> DataFrame:
     """Postings with their statistics, terms and then documents ascending.
 
-    The document is part of the sort key, so a very frequent term is sorted by many tasks. Frequent terms are found
-    among the tokens, before any shuffle.
+    The postings are computed once and cross the network once, to the place that the order gives them; the documents of a term are counted there.
+    A term with more postings than an even share of one partition is sorted by many tasks, by its documents, so its count comes
+    from the terms; there are no more such terms than partitions.
     """
-    joined = lookup_join(index.postings, index.terms, ["field", "term"], ["doc_id"], "inner", keys=index.tokens)
-    return joined.orderBy("field", "term", "doc_id")
+    if index.settled:
+        index = index.settled()
+    dfs = cut_lineage(index.terms.select("field", "term", "df"))
+    total, first, last = dfs.agg(F.sum("df"), F.min("field"), F.max("field")).first()
+    partitions = int(dfs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frequent = dfs.filter(F.col("df") > max(HOT_ROWS, (total or 0) // partitions)).withColumnRenamed("df", "_df")
+    rows = index.postings.join(F.broadcast(frequent), ["field", "term"], "left")
+    rows = rows.withColumn("_piece", F.when(F.col("_df").isNotNull(), F.col("doc_id")))
+    keys = ["field", "term"]
+    if first is not None and first == last:
+        # Comparing the one field of all rows would be most of the sort.
+        rows, keys = rows.withColumn("field", F.lit(first)), ["term"]
+    whole = Window.partitionBy(*keys, "_piece").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.repartitionByRange(*keys, "_piece").withColumn("df", F.coalesce("_df", F.count("*").over(whole)))
+    rows = rows.orderBy(*keys, "_piece", "doc_id")
+    df = F.col("df")
+    weights = idf_standard(df, index.n_docs).alias("idf_standard"), idf_smooth(df, index.n_docs).alias("idf_smooth")
+    return rows.select("field", "term", "doc_id", "tf", "df", *weights)
 
 
 def term_bucket(buckets: int = BUCKETS) -> Column:
