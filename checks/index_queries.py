@@ -131,7 +131,7 @@ def stored_index(spark, sf_dir):
 
     path = scratch_path(spark, "index")
     docs = documents(spark, sf_dir)
-    I.write_index(index_postings(spark, sf_dir), docs.count(), path, buckets=8)
+    I.write_index(I.postings(I.text_tokens(I.by_document(docs))), docs.count(), path, buckets=8)
     terms = I.read_index(spark, path).terms
     return terms.select("field", "term", "df", F.round("idf_standard", 6).alias("idf_standard"), F.round("idf_smooth", 6).alias("idf_smooth"))
 

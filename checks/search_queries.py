@@ -130,7 +130,7 @@ def _stored_in_two(spark, sf_dir, buckets):
     english = F.coalesce(F.col("lang") == "en", F.lit(False))
     for mode, kept, n in (("overwrite", english, buckets[0]), ("append", ~english, buckets[1])):
         some = docs.filter(kept)
-        I.write_index(I.postings(I.text_tokens(some)), some.count(), path, mode, buckets=n)
+        I.write_index(I.postings(I.text_tokens(I.by_document(some))), some.count(), path, mode, buckets=n)
     return I.read_index(spark, path)
 
 

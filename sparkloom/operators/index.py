@@ -170,9 +170,10 @@ def _stored(table: DataFrame, path: str, batch: str) -> DataFrame:
     Batches are only ever added: what counts is said by the commit rows. Rebalancing splits the bucket of a very
     frequent term into files of normal size.
     """
-    placed = table.withColumn("batch", F.lit(batch)).hint("rebalance", "bucket")
+    placed = table.hint("rebalance", "bucket")
     order = [c for c in ("bucket", "field", "term", "doc_id") if c in table.columns]
-    placed.sortWithinPartitions(*order).write.mode("append").partitionBy("batch", "bucket").parquet(path)
+    # Named by the folder, the batch is no column of the rows that are shuffled and sorted.
+    placed.sortWithinPartitions(*order).write.mode("append").partitionBy("bucket").parquet(f"{path}/batch={batch}")
     kept = [f for f in table.schema.fields if f.name != "bucket"]
     schema = T.StructType([*kept, T.StructField("batch", T.StringType()), T.StructField("bucket", T.IntegerType())])
     return table.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch") == batch)

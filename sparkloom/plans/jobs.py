@@ -70,7 +70,7 @@ def match_and_merge(left: DataFrame, right: DataFrame, target: str) -> Merged:
 
 def index_texts(docs: DataFrame, target: str, mode: str = "overwrite", buckets: int = I.BUCKETS) -> I.Index:
     """Store the term index of ``docs (doc_id, text)``."""
-    I.write_index(I.postings(I.text_tokens(docs)), docs.count(), target, mode, buckets)
+    I.write_index(I.postings(I.text_tokens(I.by_document(docs))), docs.count(), target, mode, buckets)
     return I.read_index(docs.sparkSession, target)
 
 

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from checks import index_queries
+from checks import index_queries, search_queries
 from sparkloom.operators import index as I
 
 WORDS = [f"w{i}" for i in range(30)]
@@ -84,3 +84,25 @@ def test_rows_of_one_id_are_not_one_task(spark, small_tasks):
     assert I.by_document(docs) is docs
     assert {tuple(r)[:3]: r["tf"] for r in I.postings(I.text_tokens(I.by_document(docs))).collect()} == counted(rows)
     assert I.by_document(docs.limit(0)).count() == 0
+
+
+def test_stored_postings_are_shuffled_by_bucket_alone(spark, folder, small_tasks, monkeypatch):
+    plans, write = [], I.write_index
+    monkeypatch.setattr(I, "write_index", lambda postings, *a, **kw: plans.append(plan(postings)) or write(postings, *a, **kw))
+    search_queries.stored_index_mixed_buckets(spark, folder)
+    index_queries.stored_index(spark, folder)
+    assert len(plans) == 3 and all(re.findall(r"Exchange hashpartitioning\((\w+)", p) == ["doc_id"] for p in plans)
+
+
+def test_batches_are_named_by_their_folder(spark, tmp_path, monkeypatch):
+    """The rows that are shuffled and sorted do not carry the name of the batch."""
+    frame, seen = type(spark.range(0)), []
+    kept = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, *a: seen.append(self.columns) or kept(self, *a))
+    path = str(tmp_path)
+    for mode, n in (("overwrite", 3), ("append", 2)):
+        rows = rows_of(60, lambda i, n=n: i * 10 + n)
+        I.write_index(I.postings(I.text_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"))), 60, path, mode, n)
+        expected = counted(rows) if mode == "overwrite" else expected + counted(rows)
+    assert seen and all("batch" not in c for c in seen)
+    assert {tuple(r)[:3]: r["tf"] for r in I.read_index(spark, path).postings.select("field", "term", "doc_id", "tf").collect()} == expected
